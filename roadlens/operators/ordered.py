@@ -10,7 +10,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
+from pyspark.sql.window import Window, WindowSpec
 
 from roadlens.session import shared_dir
 
@@ -21,6 +21,11 @@ def _chunk(order: str, chunk_rows: int) -> Column:
     return F.floor(F.col(order) / F.lit(chunk_rows))
 
 
+def _partition(keys: Sequence[str]) -> WindowSpec:
+    """Window over ``keys``, sorted by their hash first: comparing it settles most pairs."""
+    return Window.partitionBy(F.xxhash64(*keys), *keys)
+
+
 def previous_in_key(df: DataFrame, keys: Sequence[str], order: str, value: str,
                     chunk_rows: int = CHUNK_ROWS) -> DataFrame:
     """Adds ``is_first`` and ``previous``: the ``value`` of the key's row before this one.
@@ -29,7 +34,7 @@ def previous_in_key(df: DataFrame, keys: Sequence[str], order: str, value: str,
     order numbers, so a hot key spreads over many tasks; then only the first row
     of each range looks up the last value of the key's preceding range.
     """
-    chunk = Window.partitionBy(*keys, "_chunk").orderBy(order)
+    chunk = _partition([*keys, "_chunk"]).orderBy(order)
     whole = chunk.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     boxed = F.struct(F.col(value).alias("v"))
     local = df.withColumn("_chunk", _chunk(order, chunk_rows)).withColumns({
@@ -37,7 +42,7 @@ def previous_in_key(df: DataFrame, keys: Sequence[str], order: str, value: str,
         "_prev": F.lag(boxed).over(chunk),
         "_tail": F.last(boxed).over(whole),
     })
-    across = Window.partitionBy(*keys).orderBy("_chunk")
+    across = _partition(keys).orderBy("_chunk")
     heads = (local.filter(F.col("_n") == 1)
              .withColumn("_prev", F.lag("_tail").over(across)))
     inner = local.filter(F.col("_n") > 1)
@@ -102,6 +107,6 @@ def top_n_per_group(df: DataFrame, keys: Sequence[str], order: Sequence[Column],
         df = df.withColumn("_task", task).withColumn("_set", F.col("_task") % 1000)
         stages = [["_task", "_set"], ["_set"], []]
     for extra in stages:
-        group = Window.partitionBy(*keys, *extra).orderBy(*order)
+        group = _partition([*keys, *extra]).orderBy(*order)
         df = df.withColumn("_n", F.row_number().over(group)).filter(F.col("_n") <= n)
     return df.select(columns)

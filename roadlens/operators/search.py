@@ -52,7 +52,9 @@ def date_histogram(df: DataFrame, unit: str = "day", field: str = TIME_FIELD) ->
     counts = (df.filter(_named(field).isNotNull())
               .groupBy(bucket(_named(field)).alias("key"))
               .agg(F.count(F.lit(1)).alias("n")))
-    bounds = counts.agg(F.min("key").alias("lo"), F.max("key").alias("hi"))
+    # The total keeps the bounds on the counted buckets, so the rows are counted once.
+    bounds = (counts.agg(F.min("key").alias("lo"), F.max("key").alias("hi"),
+                         F.sum("n").alias("total")).filter(F.col("total") > 0))
     if unit in ("minute", "hour"):
         # Days first, so that no row holds more than one day of buckets.
         day_end = F.col("day") + F.expr("INTERVAL 1 DAY") - step

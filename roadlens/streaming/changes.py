@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import json
+import sys
 from collections.abc import Iterator
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -13,6 +16,9 @@ from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 from roadlens.schemas import EVENT_COLUMNS, FEED
 from roadlens.sources.feed import flatten_feed, flatten_in_order
 
+# The two Python functions travel with the job, so executors need not have this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 POLL_INTERVAL = "120 seconds"
 
 ORDERED = ("poll bigint, pos int, tipo string, subtipo string, ubicacion string, "
@@ -57,24 +63,21 @@ def _emit(key: tuple, batches: Iterator[pd.DataFrame],
     """Passes decided rows on; compares open rows with the last seen ``hora`` of the key."""
     _, route = key
     if route:
-        for rows in batches:
-            yield rows[list(EVENT_COLUMNS)]
-        return
-    seen = state.get[0] if state.exists else None
-    rows = list(batches)
-    rows = rows[0] if len(rows) == 1 else pd.concat(rows)
-    if len(rows) == 1:
-        # By far the most common case: one poll saw the key.
-        hora, tail = rows["hora"].iat[0], rows["tail"].iat[0]
-        if tail != seen:
-            state.update((tail,))
-        if hora != seen:
-            yield rows[list(EVENT_COLUMNS)]
+        for part in batches:
+            yield part[["row"]]
         return
-    rows = rows.sort_values(["poll", "pos"], kind="stable")
-    before = rows["tail"].shift(fill_value=seen)
-    state.update((rows["tail"].iat[-1],))
-    yield rows.loc[before != rows["hora"], list(EVENT_COLUMNS)]
+    rows = [(json.loads(text), text) for part in batches for text in part["row"]]
+    rows.sort(key=lambda row: (row[0]["poll"], row[0]["pos"]))
+    seen = before = state.get[0] if state.exists else None
+    changed = []
+    for row, text in rows:
+        if row["hora"] != seen:
+            changed.append(text)
+        seen = row["tail"]
+    if seen != before:
+        state.update((seen,))
+    if changed:
+        yield pd.DataFrame({"row": changed})
 
 
 def changed_events(payloads: DataFrame) -> DataFrame:
@@ -83,11 +86,15 @@ def changed_events(payloads: DataFrame) -> DataFrame:
     The open rows of a key in one micro-batch are at most one per poll and Arrow
     batch, whatever the key's share of the rows; the admission limit of the source
     bounds the polls. For a long backlog use the batch operator ``change_only``.
+    Rows travel as JSON text, since the cost of the function grows with its columns.
     """
-    open_rows = (flatten_in_order(payloads)
-                 .mapInPandas(_compact, ORDERED + ", tail string, route string"))
-    return open_rows.groupBy("clave", "route").applyInPandasWithState(
-        _emit, EVENTS, "hora string", "append", GroupStateTimeout.NoTimeout)
+    compact = (flatten_in_order(payloads)
+               .mapInPandas(_compact, ORDERED + ", tail string, route string"))
+    row = F.to_json(F.struct("poll", "pos", "tail", *EVENT_COLUMNS)).alias("row")
+    return (compact.select("clave", "route", row).groupBy("clave", "route")
+            .applyInPandasWithState(_emit, "row string",
+                                    "hora string", "append", GroupStateTimeout.NoTimeout)
+            .select(F.from_json("row", EVENTS).alias("e")).select("e.*"))
 
 
 def start_store(events: DataFrame, store: str, checkpoint: str,

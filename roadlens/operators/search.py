@@ -113,8 +113,9 @@ def index_counts(frames: Mapping[str, DataFrame]) -> DataFrame:
 
 
 def sorted_listing(frames: Mapping[str, DataFrame]) -> DataFrame:
-    """Names of the datasets that hold rows, ascending."""
-    return (family_union(frames, ()).select("dataset").distinct().orderBy("dataset"))
+    """Names of the datasets that hold rows, ascending; one row of each is read."""
+    parts = [f.limit(1).select(F.lit(name).alias("dataset")) for name, f in frames.items()]
+    return reduce(DataFrame.unionAll, parts).orderBy("dataset")
 
 
 def _matching(df: DataFrame, query: Mapping | None, as_of: dt.datetime) -> DataFrame:

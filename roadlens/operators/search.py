@@ -49,9 +49,8 @@ def date_histogram(df: DataFrame, unit: str = "day", field: str = TIME_FIELD) ->
     def bucket(stamp):
         return F.date_trunc(unit, stamp).cast("timestamp_ntz")
 
-    counts = (df.filter(_named(field).isNotNull())
-              .groupBy(bucket(_named(field)).alias("key"))
-              .agg(F.count(F.lit(1)).alias("n")))
+    counts = (df.select(bucket(_named(field)).alias("key")).filter(F.col("key").isNotNull())
+              .groupBy("key").agg(F.count(F.lit(1)).alias("n")))
     # The total keeps the bounds on the counted buckets, so the rows are counted once.
     bounds = (counts.agg(F.min("key").alias("lo"), F.max("key").alias("hi"),
                          F.sum("n").alias("total")).filter(F.col("total") > 0))

@@ -11,9 +11,18 @@ from roadlens.schemas import ALERT
 
 POLL_ROWS = 1000
 
+# Declared, so that building a query reads no file.
+SCHEMAS = {
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, "
+              "value double, props string",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, "
+                "c_mktsegment string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+}
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spark.read.schema(SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
 def _sightings(spark: SparkSession, sf_dir: str) -> DataFrame:

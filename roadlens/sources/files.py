@@ -107,7 +107,7 @@ def result_read(spark: SparkSession, path: str, schema: T.StructType | str) -> D
 
 
 def dataset_inventory(spark: SparkSession, path: str) -> DataFrame:
-    """CSV files below a folder with their size; the contents are not read."""
+    """CSV files below a folder that hold data, with their size; contents are not read."""
     return (spark.read.format("binaryFile").option("pathGlobFilter", "*.csv")
             .option("recursiveFileLookup", True).load(path)
             .select("path", F.col("length").alias("bytes")))

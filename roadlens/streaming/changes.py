@@ -98,17 +98,17 @@ def changed_events(payloads: DataFrame) -> DataFrame:
 
 
 def start_store(events: DataFrame, store: str, checkpoint: str,
-                available_now: bool = False) -> StreamingQuery:
+                available_now: bool = False, interval: str = POLL_INTERVAL) -> StreamingQuery:
     """Appends a stream of event records to the store."""
-    trigger = {"availableNow": True} if available_now else {"processingTime": POLL_INTERVAL}
+    trigger = {"availableNow": True} if available_now else {"processingTime": interval}
     return (events.writeStream.format("parquet").outputMode("append")
             .option("checkpointLocation", checkpoint).trigger(**trigger).start(store))
 
 
 def start_ingest(spark: SparkSession, landing: str, store: str, checkpoint: str,
                  changes_only: bool = True, available_now: bool = False,
-                 max_files: int | None = None) -> StreamingQuery:
+                 max_files: int | None = None, interval: str = POLL_INTERVAL) -> StreamingQuery:
     """The whole loop: poll, flatten, keep changes, append."""
     payloads = feed_stream(spark, landing, max_files=max_files)
     events = changed_events(payloads) if changes_only else flatten_feed(payloads)
-    return start_store(events, store, checkpoint, available_now)
+    return start_store(events, store, checkpoint, available_now, interval)

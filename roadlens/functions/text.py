@@ -43,9 +43,8 @@ def event_hour(column: Column) -> Column:
 
 def iso_text(stamp: Column) -> Column:
     """ISO text of a timestamp; the fraction appears only when it is not zero."""
-    whole = F.date_format(stamp, "yyyy-MM-dd'T'HH:mm:ss")
     exact = F.date_format(stamp, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
-    return F.when(exact.endswith(".000000"), whole).otherwise(exact)
+    return F.replace(exact, F.lit(".000000"), F.lit(""))
 
 
 def epoch_iso(millis: Column) -> Column:
@@ -54,17 +53,17 @@ def epoch_iso(millis: Column) -> Column:
 
 
 def float_text(value: Column) -> Column:
-    """Shortest text of a double, with positional digits between 1e-4 and 1e16."""
+    """Shortest text of a double: positional digits between 1e-4 and 1e16, else ``1.5e-05``."""
     number = value.cast("double")
     size = F.abs(number)
     plain = number.cast("string")
     digits = F.regexp_replace(number.try_cast("decimal(38,20)").cast("string"),
                               r"(\.\d+?)0+$", "$1")
     positional = ((size >= 1e-4) & (size < 1e-3)) | ((size >= 1e7) & (size < 1e16))
-    small = F.regexp_replace(F.regexp_replace(plain, r"\.0E", "E"), r"E-(\d)$", "e-0$1")
-    return (F.when(positional, digits)
-            .when((size > 0) & (size < 1e-4), F.regexp_replace(small, "E", "e"))
-            .otherwise(plain))
+    power = F.regexp_replace(F.regexp_replace(plain, r"\.0E", "E"), r"E-(\d)$", "E-0$1")
+    power = F.regexp_replace(F.regexp_replace(power, r"E(\d)", "E+$1"), "E", "e")
+    extreme = ((size > 0) & (size < 1e-4)) | ((size >= 1e16) & (size < float("inf")))
+    return F.when(positional, digits).when(extreme, power).otherwise(plain)
 
 
 def natural_key(type_: Column, lat: Column, lon: Column, subtype: Column) -> Column:

@@ -57,6 +57,8 @@ def to_date(column: Column, dtype: T.DataType) -> Column:
 def to_text(column: Column, dtype: T.DataType) -> Column:
     if isinstance(dtype, (T.FloatType, T.DoubleType)):
         return F.when(~F.isnan(column), float_text(column))
+    if isinstance(dtype, T.BooleanType):
+        return F.initcap(column.cast("string"))
     return column.cast("string")
 
 

@@ -14,7 +14,7 @@ from pyspark.sql.window import Window, WindowSpec
 
 from roadlens.session import shared_dir
 
-CHUNK_ROWS = 5_000_000
+CHUNK_ROWS = 1_000_000
 
 
 def _chunk(order: str, chunk_rows: int) -> Column:

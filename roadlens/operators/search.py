@@ -7,9 +7,10 @@ import re
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
+
+from roadlens.functions.text import iso_text
 
 # Calendar units and the step between two of their buckets.
 UNITS = {
@@ -25,16 +26,26 @@ UNITS = {
 TIME_FIELD = "@timestamp"
 
 
-def _named(name: str):
+def _named(name: str) -> Column:
     return F.col(f"`{name}`")
 
 
+def _count_by(df: DataFrame, key: Column) -> DataFrame:
+    return (df.select(key.alias("key")).groupBy("key")
+            .agg(F.count(F.lit(1)).alias("doc_count")))
+
+
+def _top(counts: DataFrame, size: int) -> DataFrame:
+    """The largest buckets. The null key is dropped after the cut, so that the counts
+    below stay the ones the total is summed from."""
+    order = (F.desc("doc_count"), F.asc("key"))
+    return (counts.orderBy(*order).limit(size + 1)
+            .filter(F.col("key").isNotNull()).orderBy(*order).limit(size))
+
+
 def terms(df: DataFrame, field: str, size: int = 10) -> DataFrame:
     """The ``size`` most frequent values; ties in key order, missing values left out."""
-    return (df.filter(_named(field).isNotNull())
-            .groupBy(_named(field).alias("key"))
-            .agg(F.count(F.lit(1)).alias("doc_count"))
-            .orderBy(F.desc("doc_count"), F.asc("key")).limit(size))
+    return _top(_count_by(df.filter(_named(field).isNotNull()), _named(field)), size)
 
 
 def bucket_preview(buckets: DataFrame, n: int = 3) -> DataFrame:
@@ -42,31 +53,36 @@ def bucket_preview(buckets: DataFrame, n: int = 3) -> DataFrame:
     return buckets.orderBy(F.desc("doc_count"), F.asc("key")).limit(n)
 
 
-def date_histogram(df: DataFrame, unit: str = "day", field: str = TIME_FIELD) -> DataFrame:
-    """Counts per calendar bucket, with the empty buckets between the first and the last."""
-    step = F.expr(UNITS[unit])
+def _bucket(stamp: Column, unit: str) -> Column:
+    return F.date_trunc(unit, stamp).cast("timestamp_ntz")
 
-    def bucket(stamp):
-        return F.date_trunc(unit, stamp).cast("timestamp_ntz")
 
-    counts = (df.select(bucket(_named(field)).alias("key")).filter(F.col("key").isNotNull())
-              .groupBy("key").agg(F.count(F.lit(1)).alias("n")))
+def _fill(counts: DataFrame, unit: str) -> DataFrame:
+    """Adds the empty buckets between the first and the last."""
+    step = F.expr(UNITS[unit])
     # The total keeps the bounds on the counted buckets, so the rows are counted once.
     bounds = (counts.agg(F.min("key").alias("lo"), F.max("key").alias("hi"),
-                         F.sum("n").alias("total")).filter(F.col("total") > 0))
+                         F.sum("doc_count").alias("total")).filter(F.col("total") > 0))
     if unit in ("minute", "hour"):
         # Days first, so that no row holds more than one day of buckets.
         day_end = F.col("day") + F.expr("INTERVAL 1 DAY") - step
         spine = (bounds
                  .select("lo", "hi", F.explode(F.sequence(
-                     F.date_trunc("day", "lo").cast("timestamp_ntz"), "hi",
-                     F.expr(UNITS["day"]))).alias("day"))
-                 .select("lo", "hi", F.explode(F.sequence("day", day_end, step)).alias("key"))
-                 .filter(F.col("key").between(F.col("lo"), F.col("hi"))).select("key"))
+                     _bucket(F.col("lo"), "day"), "hi", F.expr(UNITS["day"]))).alias("day"))
+                 .select("lo", "hi", F.explode(F.sequence("day", day_end, step)).alias("bucket"))
+                 .filter(F.col("bucket").between(F.col("lo"), F.col("hi"))).select("bucket"))
     else:
-        spine = bounds.select(F.explode(F.sequence("lo", "hi", step)).alias("key"))
-    return (spine.join(counts, "key", "left")
-            .select("key", F.coalesce("n", F.lit(0).cast("bigint")).alias("doc_count")))
+        spine = bounds.select(F.explode(F.sequence("lo", "hi", step)).alias("bucket"))
+    # Null-safe, so that no filter is inferred on the counts, which would count them again.
+    return (spine.join(counts, F.col("bucket").eqNullSafe(F.col("key")), "left")
+            .select(F.col("bucket").alias("key"),
+                    F.coalesce("doc_count", F.lit(0).cast("bigint")).alias("doc_count")))
+
+
+def date_histogram(df: DataFrame, unit: str = "day", field: str = TIME_FIELD) -> DataFrame:
+    """Counts per calendar bucket, with the empty buckets between the first and the last."""
+    return _fill(_count_by(df.filter(_named(field).isNotNull()),
+                           _bucket(_named(field), unit)), unit)
 
 
 def recent(df: DataFrame, as_of: dt.datetime, hours: int = 24, field: str = TIME_FIELD) -> DataFrame:
@@ -130,36 +146,42 @@ def _matching(df: DataFrame, query: Mapping | None, as_of: dt.datetime) -> DataF
     raise ValueError(f"unknown query {query!r}")
 
 
-def _aggregate(df: DataFrame, spec: Mapping) -> DataFrame:
+def _aggregate(df: DataFrame, spec: Mapping) -> tuple[DataFrame, DataFrame]:
+    """The counts by key, missing keys included, and the buckets made of them."""
     match spec:
         case {"terms": {"field": str(field), **rest}} if set(rest) <= {"size"}:
-            return terms(df, field, rest.get("size", 10))
+            counts = _count_by(df, _named(field).cast("string"))
+            return counts, _top(counts, rest.get("size", 10))
         case {"date_histogram": {"field": str(field), "calendar_interval": str(unit), **rest}} \
                 if not rest and unit in UNITS:
-            return date_histogram(df, unit, field)
+            counts = _count_by(df, _bucket(_named(field), unit))
+            buckets = _fill(counts, unit)
+            return counts, buckets.withColumn("key", iso_text(F.col("key")))
     raise ValueError(f"unknown aggregation {spec!r}")
 
 
 def search(df: DataFrame, request: Mapping, as_of: dt.datetime) -> DataFrame:
     """Answer of one request as ``(aggregation, key, doc_count)`` rows.
 
-    The row with aggregation ``hits`` holds the exact number of matching documents.
-    A request of another shape raises ``ValueError``.
+    The row with aggregation ``hits`` holds the exact number of matching documents,
+    summed from the counts of an aggregation when there is one: the documents are
+    read once. A request of another shape raises ``ValueError``.
     """
     unknown = set(request) - {"size", "aggs", "query"}
     if unknown or request.get("size") != 0:
         raise ValueError(f"unknown request {request!r}")
     rows = _matching(df, request.get("query"), as_of)
-    parts = [total_hits(rows).select(F.lit("hits").alias("aggregation"),
-                                     F.lit(None).cast("string").alias("key"),
-                                     F.col("total").alias("doc_count"))]
-    for name, spec in (request.get("aggs") or {}).items():
-        buckets = _aggregate(rows, spec)
-        key = F.col("key")
-        if isinstance(buckets.schema["key"].dataType, T.TimestampNTZType):
-            key = F.date_format("key", "yyyy-MM-dd'T'HH:mm:ss")
-        parts.append(buckets.select(F.lit(name).alias("aggregation"),
-                                    key.cast("string").alias("key"), "doc_count"))
+    answers = {name: _aggregate(rows, spec) for name, spec in (request.get("aggs") or {}).items()}
+    if answers:
+        counts = next(iter(answers.values()))[0]
+        total = F.coalesce(F.sum("doc_count"), F.lit(0).cast("bigint"))
+        hits = counts.agg(total.alias("doc_count"))
+    else:
+        hits = total_hits(rows).withColumnRenamed("total", "doc_count")
+    parts = [hits.select(F.lit("hits").alias("aggregation"),
+                         F.lit(None).cast("string").alias("key"), "doc_count")]
+    parts += [buckets.select(F.lit(name).alias("aggregation"), "key", "doc_count")
+              for name, (_, buckets) in answers.items()]
     return reduce(DataFrame.unionAll, parts)
 
 

@@ -734,8 +734,8 @@ def _(spark, sf):
 def _(spark, sf):
     root = scratch_path(spark, "static")
     path = sinks.doc_index(_docs(spark, sf), root, "data_unique")
-    summary = pipeline.static_report(spark.read.parquet(path), root, AS_OF)
-    return pipeline.saved_answers(spark, summary)
+    saved = pipeline.static_report(spark.read.parquet(path), root, AS_OF)
+    return pipeline.saved_answers(spark, saved)
 
 
 # ---- access traces -----------------------------------------------------------------------

@@ -14,7 +14,7 @@ from roadlens.operators.clean import clean_events
 from roadlens.operators.dedup import dedup_minute
 from roadlens.operators.documents import doc_rename, documents
 from roadlens.operators.reports import report_base, reports_from_base
-from roadlens.operators.snapshot import completeness, load_snapshot, roundtrip_verify
+from roadlens.operators.snapshot import completeness, load_snapshot, load_stats, roundtrip_verify
 from roadlens.schemas import EVENT_COLUMNS
 from roadlens.sinks import files as sinks
 from roadlens.sources import files as sources
@@ -72,7 +72,9 @@ def needs_reload(indexed: Mapping[str, DataFrame], expected: list[str]) -> bool:
 
 def static_report(docs: DataFrame, out: str, as_of: dt.datetime,
                   requests: Mapping[str, Mapping] | None = None) -> DataFrame:
-    """Runs, saves, reloads and compares each request; one row per saved result.
+    """Runs, saves, reloads and compares each request; returns one row per saved result.
+
+    The saved summary is one row: requests made and the names of the saved results.
 
     A request that fails is logged and left out; the others still run.
     """
@@ -88,22 +90,23 @@ def static_report(docs: DataFrame, out: str, as_of: dt.datetime,
             checks.append((name, path, roundtrip_verify(answer, loaded).first().matches))
         except Exception:
             log.exception("request %s failed", name)
-    schema = "request string, path string, matches boolean"
-    summary = spark.createDataFrame(checks, schema)
-    sinks.result_save(summary.withColumn("total_consultas", F.lit(len(requests))),
-                      f"{out}/resumen_consultas.json")
-    return summary
+    summary = spark.createDataFrame([(as_of, len(requests), [name for name, _, _ in checks])],
+                                    "`timestamp` timestamp_ntz, total_consultas bigint, "
+                                    "archivos_generados array<string>")
+    sinks.result_save(summary, f"{out}/resumen_consultas.json")
+    return spark.createDataFrame(checks, "request string, path string, matches boolean")
 
 
-def saved_answers(spark: SparkSession, summary: DataFrame) -> DataFrame:
-    """The saved results listed in a summary as ``(request, aggregation, key, doc_count)``."""
+def saved_answers(spark: SparkSession, saved: DataFrame) -> DataFrame:
+    """The results of a static report as ``(request, aggregation, key, doc_count)``."""
     schema = "aggregation string, key string, doc_count bigint"
     parts = {row.request: sources.result_read(spark, row.path, schema)
-             for row in summary.collect()}
+             for row in saved.collect()}
     return S.family_union(parts).withColumnRenamed("dataset", "request")
 
 
 def publish_snapshot(frames: Mapping[str, DataFrame], out: str) -> DataFrame:
-    """Writes the keyed snapshot of all known datasets and returns it."""
+    """Writes the keyed snapshot of all known datasets and its totals; returns the snapshot."""
     load_snapshot(frames).write.mode("overwrite").partitionBy("namespace").parquet(out)
+    sinks.result_save(load_stats(frames), f"{out}-estadisticas.json")
     return next(iter(frames.values())).sparkSession.read.parquet(out)

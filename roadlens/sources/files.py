@@ -69,8 +69,14 @@ def load_named(spark: SparkSession, path: str, name: str, side: str = "index",
         if ddl is None:
             return load_generic(spark, path)
     rows = _read_text_columns(spark, path, ddl, header)
-    texts = [f.name for f in rows.schema.fields if isinstance(f.dataType, T.StringType)]
-    return rows.withColumns({c: _present(F.col(c)) for c in texts})
+    present = {}
+    for field in rows.schema.fields:
+        column = F.col(field.name)
+        if isinstance(field.dataType, T.StringType):
+            present[field.name] = _present(column)
+        elif isinstance(field.dataType, T.DoubleType):
+            present[field.name] = F.when(~F.isnan(column), column)
+    return rows.withColumns(present)
 
 
 def load_generic(spark: SparkSession, path: str, width: int = GENERIC_WIDTH) -> DataFrame:

@@ -96,8 +96,9 @@ def test_generic_types(spark, tmp_path):
 
 
 def test_named_datasets(spark, tmp_path):
-    (tmp_path / "x.csv").write_text("JAM,NA,None,Ñ,2025-01-01T00:00:00,-33.5,bad\n")
-    (row,) = sources.load_named(spark, str(tmp_path / "x.csv"), "data_unique.csv").collect()
+    (tmp_path / "x.csv").write_text("JAM,NA,None,Ñ,2025-01-01T00:00:00,-33.5,bad\nP,,,,,NaN,1\n")
+    row, other = sources.load_named(spark, str(tmp_path / "x.csv"), "data_unique.csv").collect()
+    assert other.latitud is None and other.longitud == 1.0
     assert row.subtipo is None and row.calle is None and row.latitud == -33.5
     assert row.longitud is None
     (tmp_path / "h.csv").write_text("12,40\n")
@@ -173,5 +174,5 @@ def test_typing_rules(spark):
                                "lat string, lng string, latitude string")
     assert tuple(D.coerced(df).first()) == (5, None, 7, 5, 100.0, None, float("inf"))
     numbers = spark.createDataFrame([(20250418, 1.5, True)], "fecha bigint, otro double, ok boolean")
-    assert tuple(D.coerced(numbers).first()) == (None, "1.5", "true")
+    assert tuple(D.coerced(numbers).first()) == (None, "1.5", "True")
     assert D.coerced(df.select(F.col("count").alias("a.b"))).columns == ["a.b"]

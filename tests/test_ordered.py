@@ -1,5 +1,6 @@
 """Operators with row order against brute force, with one key holding many of the rows."""
 
+import datetime as dt
 import random
 
 import pytest
@@ -131,10 +132,9 @@ def test_exponential_ranks_stay_inside_and_decay(spark):
 
 def test_repeat_and_ttl(spark):
     schema = "seq bigint, k string, ts timestamp"
-    data = spark.sql("SELECT * FROM VALUES (0, 'a', timestamp_seconds(0)), (1, 'a', timestamp_seconds(10)),"
-                     "(2, 'b', timestamp_seconds(11)), (3, 'a', timestamp_seconds(21)),"
-                     f"(4, 'a', timestamp_seconds(30)) AS t(seq, k, ts)").to(
-        spark.createDataFrame([], schema).schema)
+    accesses = [("a", 0), ("a", 10), ("b", 11), ("a", 21), ("a", 30)]
+    data = spark.createDataFrame(
+        [(i, k, dt.datetime.fromtimestamp(s)) for i, (k, s) in enumerate(accesses)], schema)
     assert rows(access.repeat_access(data, "k")) == [(5, 3, 2)]
     for chunk_rows in (1, 2, 100):
         hits = access.ttl_access(data, "k", "seq", "ts", 10, chunk_rows)

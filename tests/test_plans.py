@@ -87,6 +87,13 @@ def test_histogram_counts_the_documents_once(tables):
     assert text.count("FileScan") == 1 and "ReusedExchange" in text
 
 
+@pytest.mark.parametrize("request_", [S.terms_request("t", "tipo"), S.histogram_request("h")])
+def test_a_request_reads_the_documents_once(tables, request_):
+    docs = D.documents(D.doc_rename(tables["unique"].drop("row_id")), AS_OF)
+    text = plan(S.search(docs, request_, AS_OF), run=True)
+    assert text.count("FileScan") == 1
+
+
 def test_recency_reaches_the_scan(spark, tables, tmp_path):
     docs = D.documents(D.doc_rename(tables["unique"].drop("row_id")), AS_OF)
     path = sinks.doc_index(docs, str(tmp_path), "data_unique")
@@ -120,3 +127,26 @@ def test_global_order_uses_ranges_not_one_partition(spark, tables):
 
 def test_checkpoints_go_to_the_named_folder(spark):
     assert shared_dir(spark) == spark.conf.get("spark.checkpoint.dir")
+
+
+def test_a_hot_rank_is_split_by_the_join(spark):
+    """A third of the accesses go to one row; the join spreads them over tasks."""
+    settings = {"spark.sql.autoBroadcastJoinThreshold": "-1",
+                "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+                "spark.sql.adaptive.advisoryPartitionSizeInBytes": "20KB",
+                "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "40KB",
+                "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2"}
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    try:
+        trace = spark.range(0, 200_000, 1, 8).select(
+            F.col("id").alias("seq"),
+            F.when(F.col("id") % 3 == 0, 5).otherwise(F.col("id") % 1000).alias("rank"))
+        ranked = spark.range(1000).select(F.col("id").alias("rank"), F.col("id").alias("row_id"))
+        found = access.rank_lookup(trace, ranked)
+        text = plan(found, run=True)
+        assert "skew=true" in text
+        assert found.count() == 200_000
+    finally:
+        for key in settings:
+            spark.conf.unset(key)

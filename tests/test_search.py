@@ -84,11 +84,12 @@ def test_counts_listing_and_completeness(spark, docs):
 
 def test_static_report_survives_a_failing_request(spark, docs, tmp_path):
     requests = {"bad": {"size": 0, "aggs": {"a": {"avg": {}}}}, **S.STATIC_REQUESTS}
-    summary = pipeline.static_report(docs, str(tmp_path), AS_OF, requests)
-    assert rows(summary.select("request", "matches")) == sorted(
+    saved = pipeline.static_report(docs, str(tmp_path), AS_OF, requests)
+    assert rows(saved.select("request", "matches")) == sorted(
         [(name, True) for name in S.STATIC_REQUESTS], key=repr)
-    saved = spark.read.json(f"{tmp_path}/resumen_consultas.json")
-    assert saved.select("total_consultas").distinct().first()[0] == 4
+    (summary,) = spark.read.json(f"{tmp_path}/resumen_consultas.json").collect()
+    assert summary.total_consultas == 4
+    assert summary.archivos_generados == list(S.STATIC_REQUESTS)
 
 
 def test_index_leaves_the_raw_dataset_out(tables, tmp_path):
@@ -97,3 +98,16 @@ def test_index_leaves_the_raw_dataset_out(tables, tmp_path):
     assert list(indexed) == ["data_unique"]
     assert (tmp_path / "incidents_data-unique").exists()
     assert indexed["data_unique"].count() == tables["unique"].count()
+
+
+def test_missing_values_count_as_hits_only(spark):
+    df = spark.sql("SELECT * FROM VALUES ('a', timestamp_ntz'2025-01-01 05:00:00'), (NULL, NULL), "
+                   "(NULL, NULL), (NULL, NULL) AS t(tipo, `@timestamp`)")
+    got = S.search(df, S.terms_request("t", "tipo", 1), AS_OF).collect()
+    assert [tuple(r) for r in got] == [("hits", None, 4), ("t", "a", 1)]
+    got = S.search(df, S.histogram_request("h", "year"), AS_OF).collect()
+    assert [tuple(r) for r in got] == [("hits", None, 4), ("h", "2025-01-01T00:00:00", 1)]
+    got = S.search(df.filter("tipo IS NULL"), S.histogram_request("h"), AS_OF).collect()
+    assert [tuple(r) for r in got] == [("hits", None, 3)]
+    got = S.search(df.filter("false"), S.terms_request("t", "tipo"), AS_OF).collect()
+    assert [tuple(r) for r in got] == [("hits", None, 0)]

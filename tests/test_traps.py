@@ -101,7 +101,8 @@ def test_natural_key_prints_none(spark):
 
 
 def test_float_text_reads_like_python(spark):
-    values = [0.0, -33.4, 0.00012, 1.5e-05, 1e-05, 2e-11, 12345678.5, 1e7, 123456789012345.0, 0.1 + 0.2]
+    values = [0.0, -33.4, 0.00012, 1.5e-05, 1e-05, -2e-11, 12345678.5, 1e7, 123456789012345.0,
+              0.1 + 0.2, 1e16, 1.5e22, -3.25e-300]
     df = spark.createDataFrame([(v,) for v in values], "v double")
     assert [r[0] for r in df.select(text.float_text(F.col("v"))).collect()] == list(map(str, values))
 

@@ -136,8 +136,9 @@ def _(spark, sf):
 def _ingested(spark: SparkSession, sf: str, changes_only: bool) -> DataFrame:
     root = scratch_path(spark, "ingest")
     landing = tables.land_feed(spark, sf, f"{root}/landing")
-    changes.start_ingest(spark, landing, f"{root}/store", f"{root}/checkpoint",
-                         changes_only, available_now=True).awaitTermination()
+    # The files of one write landed in no order, so they are one micro-batch.
+    changes.start_ingest(spark, landing, f"{root}/store", f"{root}/checkpoint", changes_only,
+                         available_now=True, max_files=None).awaitTermination()
     return _rounded(sources.store_scan_all(spark, f"{root}/store"))
 
 

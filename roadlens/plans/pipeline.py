@@ -106,7 +106,11 @@ def saved_answers(spark: SparkSession, saved: DataFrame) -> DataFrame:
 
 
 def publish_snapshot(frames: Mapping[str, DataFrame], out: str) -> DataFrame:
-    """Writes the keyed snapshot of all known datasets and its totals; returns the snapshot."""
+    """Writes the keyed snapshot of all known datasets and returns it."""
     load_snapshot(frames).write.mode("overwrite").partitionBy("namespace").parquet(out)
-    sinks.result_save(load_stats(frames), f"{out}-estadisticas.json")
     return next(iter(frames.values())).sparkSession.read.parquet(out)
+
+
+def publish_stats(frames: Mapping[str, DataFrame], out: str) -> None:
+    """Saves the totals of a snapshot load."""
+    sinks.result_save(load_stats(frames), out)

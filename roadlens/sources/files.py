@@ -18,8 +18,10 @@ MISSING_TEXTS = (
 )
 
 
-def store_scan_all(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path)
+def store_scan_all(spark: SparkSession, path: str, schema: str | None = None) -> DataFrame:
+    """All events; with a ``schema`` a store without files reads as empty."""
+    reader = spark.read.schema(schema) if schema else spark.read
+    return reader.parquet(path)
 
 
 def store_scan(spark: SparkSession, path: str, limit: int | None = 10,

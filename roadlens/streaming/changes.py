@@ -21,6 +21,9 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 POLL_INTERVAL = "120 seconds"
 
+# Files taken per micro-batch; bounds the rows a key can bring to its state at once.
+MAX_FILES = 1000
+
 ORDERED = ("poll bigint, pos int, tipo string, subtipo string, ubicacion string, "
            "ciudad string, hora string, lat double, lon double, clave string")
 EVENTS = ("tipo string, subtipo string, ubicacion string, ciudad string, "
@@ -28,8 +31,8 @@ EVENTS = ("tipo string, subtipo string, ubicacion string, ciudad string, "
 
 
 def feed_stream(spark: SparkSession, landing: str, multi_line: bool = False,
-                max_files: int | None = None) -> DataFrame:
-    """Payloads as they land. A payload without ``poll`` takes its file's time."""
+                max_files: int | None = MAX_FILES) -> DataFrame:
+    """Payloads as they land, the oldest files first. A payload without ``poll`` takes its file's time."""
     reader = spark.readStream.schema(FEED).option("multiLine", multi_line)
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
@@ -107,7 +110,7 @@ def start_store(events: DataFrame, store: str, checkpoint: str,
 
 def start_ingest(spark: SparkSession, landing: str, store: str, checkpoint: str,
                  changes_only: bool = True, available_now: bool = False,
-                 max_files: int | None = None, interval: str = POLL_INTERVAL) -> StreamingQuery:
+                 max_files: int | None = MAX_FILES, interval: str = POLL_INTERVAL) -> StreamingQuery:
     """The whole loop: poll, flatten, keep changes, append."""
     payloads = feed_stream(spark, landing, max_files=max_files)
     events = changed_events(payloads) if changes_only else flatten_feed(payloads)

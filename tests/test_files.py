@@ -65,6 +65,8 @@ def test_store_scan_limit(spark, tmp_path):
     assert sources.store_scan(spark, path).count() == 10
     assert sources.store_scan(spark, path, 0).count() == 50
     assert sources.store_scan(spark, path, None).count() == 50
+    (tmp_path / "empty").mkdir()
+    assert sources.store_scan_all(spark, str(tmp_path / "empty"), EVENTS).count() == 0
 
 
 def test_publish_keeps_large_results_partitioned(spark, tmp_path):

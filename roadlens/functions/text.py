@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Sequence
 
 from pyspark.sql import Column
@@ -41,6 +42,13 @@ def event_hour(column: Column) -> Column:
     return regex_find(column, HOUR_PATTERN)
 
 
+def moment(at: dt.datetime) -> Column:
+    """A point in time as a literal that no time zone shifts; an aware one counts in UTC."""
+    if at.tzinfo:
+        at = at.astimezone(dt.timezone.utc).replace(tzinfo=None)
+    return F.lit(at.isoformat(" ")).cast("timestamp_ntz")
+
+
 def iso_text(stamp: Column) -> Column:
     """ISO text of a timestamp; the fraction appears only when it is not zero."""
     exact = F.date_format(stamp, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")

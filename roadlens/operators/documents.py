@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from roadlens.functions import typing
-from roadlens.functions.text import iso_text
+from roadlens.functions.text import iso_text, moment
 from roadlens.schemas import DOCUMENT_NAMES
 
 
@@ -40,7 +40,7 @@ def documents(df: DataFrame, as_of: dt.datetime) -> DataFrame:
     extra = {}
     if {"latitud", "longitud"} <= set(kept.columns):
         extra["location"] = typing.geo_point(F.col("latitud"), F.col("longitud"))
-    loaded = F.lit(as_of).cast("timestamp_ntz")
+    loaded = moment(as_of)
     extra["@timestamp"] = F.coalesce("fecha", loaded) if "fecha" in kept.columns else loaded
     return kept.withColumns(extra)
 

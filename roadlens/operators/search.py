@@ -10,7 +10,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from roadlens.functions.text import iso_text
+from roadlens.functions.text import iso_text, moment
 
 # Calendar units and the step between two of their buckets.
 UNITS = {
@@ -87,8 +87,7 @@ def date_histogram(df: DataFrame, unit: str = "day", field: str = TIME_FIELD) ->
 
 def recent(df: DataFrame, as_of: dt.datetime, hours: int = 24, field: str = TIME_FIELD) -> DataFrame:
     """Documents from ``hours`` before ``as_of`` on."""
-    since = F.lit(as_of - dt.timedelta(hours=hours)).cast("timestamp_ntz")
-    return df.filter(_named(field) >= since)
+    return df.filter(_named(field) >= moment(as_of - dt.timedelta(hours=hours)))
 
 
 def total_hits(df: DataFrame) -> DataFrame:

@@ -1,6 +1,7 @@
 """One small case per semantic trap."""
 
 import datetime as dt
+import time
 
 from pyspark.sql import functions as F
 
@@ -161,3 +162,15 @@ def test_indented_payload(spark, tmp_path):
         '{\n "alerts": [\n {"type": "P", "location": {"x": 1, "y": 2}}\n ]\n}\n')
     payloads = feed.read_feed(spark, str(tmp_path), multi_line=True)
     assert feed.flatten_feed(payloads).first().lon == 1.0
+
+
+def test_load_time_is_not_shifted_by_the_machine_zone(spark, monkeypatch):
+    monkeypatch.setenv("TZ", "America/Santiago")
+    time.tzset()
+    try:
+        aware = dt.datetime(2025, 5, 1, 3, tzinfo=dt.timezone(dt.timedelta(hours=3)))
+        df = spark.range(1).select(text.moment(AS_OF).cast("string"), text.moment(aware).cast("string"))
+        assert tuple(df.first()) == ("2025-05-01 00:00:00", "2025-05-01 00:00:00")
+    finally:
+        monkeypatch.undo()
+        time.tzset()

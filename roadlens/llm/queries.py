@@ -4,11 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from roadlens.llm import decontaminate, line_templates, oracle
-from roadlens.llm.common import table
+from roadlens.llm import bpe, decontaminate, language_id, line_templates, oracle
+from roadlens.llm.common import fold, table
+
+VOCABULARY = "byte_bpe_50k.tiktoken"
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -34,3 +37,18 @@ def op4_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_line_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept = line_templates.drop_recurring(table(spark, sf_dir, "documents"))
     return kept.select("doc_id", "n_lines", "n_dropped", F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256"))
+
+
+@_query("op6_naive_bayes")
+def op6_naive_bayes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").withColumn("held_out", fold(F.col("doc_id"), 4) == 2)
+    model = language_id.train(docs.filter("NOT held_out"))
+    return language_id.predict(docs, model).select("doc_id", "held_out", "lang_pred", "score")
+
+
+@_query("op8_byte_bpe")
+def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = public_tokenizers.path(VOCABULARY)
+    decoded = bpe.decode(bpe.encode(table(spark, sf_dir, "documents"), path), path)
+    return decoded.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"),
+                          F.sha2("decoded", 256).alias("decoded_sha256"))

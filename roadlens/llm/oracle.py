@@ -46,3 +46,19 @@ WITH {DROPPED.format(docs="documents")}
 SELECT doc_id, count(*) AS n_lines, count(gone.line) AS n_dropped,
        sha256(coalesce(string_agg(body, chr(10) ORDER BY lines.line) FILTER (gone.line IS NULL), '')) AS kept_sha256
 FROM lines LEFT JOIN gone USING (doc_id, line) GROUP BY doc_id"""
+
+_LINKED = f"""
+words AS (SELECT doc_id, regexp_extract_all({_LOWER}, '[^\\x20\\x09-\\x0D]+') AS w FROM {{docs}}),
+shingles AS (SELECT DISTINCT doc_id, array_to_string(w[i:i + 4], ' ') AS s
+             FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS i FROM words WHERE len(w) > 0)),
+sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+common AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS n
+           FROM shingles a JOIN shingles b ON a.s = b.s AND a.doc_id <> b.doc_id GROUP BY a.doc_id, b.doc_id),
+links AS (SELECT a, b FROM common JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b
+          WHERE 100 * common.n >= 80 * (x.n + y.n - common.n)),
+reach AS (SELECT doc_id, doc_id AS r FROM words UNION SELECT reach.doc_id, links.b FROM reach JOIN links ON links.a = reach.r)"""
+
+SET_RELATIONS = f"""
+WITH RECURSIVE {_LINKED.format(docs="documents")}
+SELECT doc_id, coalesce(n, 0) AS n_shingles, component_id
+FROM (SELECT doc_id, min(r) AS component_id FROM reach GROUP BY doc_id) LEFT JOIN sizes USING (doc_id)"""

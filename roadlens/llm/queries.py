@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from roadlens.llm import bpe, decontaminate, language_id, line_templates, oracle
+from roadlens.llm import bpe, decontaminate, jaccard, language_id, line_templates, oracle
 from roadlens.llm.common import fold, table
 
 VOCABULARY = "byte_bpe_50k.tiktoken"
@@ -52,3 +52,8 @@ def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     decoded = bpe.decode(bpe.encode(table(spark, sf_dir, "documents"), path), path)
     return decoded.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"),
                           F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+@_query("op9_set_relations", oracle.SET_RELATIONS)
+def op9_set_relations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.link_components(table(spark, sf_dir, "documents"))

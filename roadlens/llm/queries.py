@@ -8,10 +8,12 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from roadlens.llm import bpe, decontaminate, jaccard, language_id, line_templates, oracle
+from roadlens.llm import ann_tree, bpe, decontaminate, jaccard, language_id, line_templates, oracle, shards, token_scan
 from roadlens.llm.common import fold, table
+from roadlens.session import scratch_path
 
 VOCABULARY = "byte_bpe_50k.tiktoken"
+END_ID = 50256  # free in that vocabulary
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -57,3 +59,20 @@ def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query("op9_set_relations", oracle.SET_RELATIONS)
 def op9_set_relations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.link_components(table(spark, sf_dir, "documents"))
+
+
+@_query("op3_kmeans_tree")
+def op3_kmeans_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann_tree.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
+@_query("op5_separator_scan")
+def op5_separator_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_scan.document_tokens(
+        table(spark, sf_dir, "documents"), scratch_path(spark, "tokens"),
+        public_tokenizers.path(VOCABULARY), public_tokenizers.PATTERN, END_ID)
+
+
+@_query("op7_label_propagation")
+def op7_label_propagation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return shards.shard(table(spark, sf_dir, "documents"))

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from roadlens.llm import ann_tree, bpe, decontaminate, jaccard, language_id, line_templates, oracle, shards, token_scan
+from roadlens.llm import ann_tree, bpe, decontaminate, jaccard, language_id, line_templates, oracle, shards, token_scan, toxicity
 from roadlens.llm.common import fold, table
 from roadlens.session import scratch_path
 
@@ -76,3 +76,14 @@ def op5_separator_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query("op7_label_propagation")
 def op7_label_propagation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shards.shard(table(spark, sf_dir, "documents"))
+
+
+@_query("op2_kneser_ney")
+def op2_kneser_ney(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    labels = table(spark, sf_dir, "labels").select("doc_id", "toxic")
+    crc = fold(F.col("doc_id"), 1 << 32)
+    labelled = docs.join(labels, "doc_id").withColumn("part", F.floor(crc / 5) % 4).filter(crc % 5 != 0)
+    model, curve = toxicity.train(labelled)
+    scored = toxicity.score(docs, model, curve).withColumn("held_out", crc % 5 == 0)
+    return scored.select("doc_id", "held_out", "score", "predicted", "ordinary_ll", "toxic_ll")

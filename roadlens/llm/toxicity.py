@@ -6,10 +6,11 @@ goes to one shared backoff model, Kneser-Ney continuation counts of both classes
 expression that neither class knows says nothing for either. With n-grams hashed to a fixed number of
 buckets, the model is a few bounded arrays; the counts in it cover every labelled text.
 
-A text's log-likelihoods under both models are compared per character: over the whole text, and over the
-stretch of ``STRETCH`` characters that speaks most for toxic, since a few expressions in a long
-text are diluted otherwise. A logistic curve over these length-normalised differences, fitted
-on at most ``CALIBRATION`` labelled texts that the counts have not seen, gives the score.
+A text's log-likelihoods under both models are compared per character over the whole text, and per
+word for the ``TOP`` words that speak most for toxic, since a few expressions in a long text are
+diluted otherwise and a single one may be chance. A logistic curve over these differences, none of
+which grows with the text's length alone, gives the score; it is fitted on at most ``CALIBRATION``
+labelled texts that the counts have not seen.
 
 Defined results: null and empty texts score as texts with all differences 0. Labels that are null or of
 unknown documents teach nothing; a document labelled twice counts twice. Without labels of either class
@@ -30,7 +31,7 @@ from roadlens.llm.language_id import _codes
 ORDER = 5
 SHARED = 3
 GRAM_BITS, CONTEXT_BITS, SHARED_BITS = 22, 20, 18
-STRETCH = 48
+TOP = 5
 CALIBRATION = 4000
 PIECE = 400_000
 
@@ -115,7 +116,6 @@ def fit(grams: DataFrame) -> dict[str, np.ndarray]:
     """The model's arrays, at most 2 ** GRAM_BITS rows whatever the corpus: log-likelihoods of known
     n-grams (ordinary, toxic), of falling back from a context, and of the shared model."""
     g = grams.toPandas()
-    ones = np.ones(len(g))
     # Shared model: continuation counts over distinct n-grams, trigram to unigram to uniform.
     types = g.groupby("tri").agg(n=("gram", "size"), pair=("pair", "first"), last=("last", "first")).reset_index()
     uni = _sums(types["last"].to_numpy(), np.ones(len(types)), 1 << 16)
@@ -131,17 +131,22 @@ def fit(grams: DataFrame) -> dict[str, np.ndarray]:
     model = {"shared": np.log(np.maximum(shared, 1e-30)).astype(np.float32), "known_tri": shared > 0,
              "fall": np.log(fall).astype(np.float32), "uni": np.log(uni).astype(np.float32)}
     gram, context = g["gram"].to_numpy(), g["context"].to_numpy()
-    back = shared[g["tri"]]
-    for name in ("ordinary", "toxic"):
-        n = g[name].to_numpy().astype(float)
+    both = {"ordinary": g["ordinary"].to_numpy().astype(float), "toxic": g["toxic"].to_numpy().astype(float)}
+
+    def smoothed(n: np.ndarray, back: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Probabilities of the known n-grams, and the weight of falling back by context."""
         d = _discount(n)
         total = _sums(context, n, 1 << CONTEXT_BITS)
-        kinds = _sums(context, ones * (n > 0), 1 << CONTEXT_BITS)
+        kinds = _sums(context, n > 0, 1 << CONTEXT_BITS)
         weight = np.where(total > 0, d * kinds / np.maximum(total, 1), 1.0)
-        table = np.full(1 << GRAM_BITS, np.nan, np.float32)
-        table[gram] = np.log(np.maximum(n - d, 0) / np.maximum(total[context], 1) + weight[context] * back)
-        model[name] = table
-        model[f"{name}_back"] = np.log(weight).astype(np.float32)
+        return np.maximum(n - d, 0) / np.maximum(total[context], 1) + weight[context] * back, weight
+
+    pooled, pooled_weight = smoothed(both["ordinary"] + both["toxic"], shared[g["tri"]])
+    for name, n in both.items():
+        known, weight = smoothed(n, pooled)
+        model[name] = np.full(1 << GRAM_BITS, np.nan, np.float32)
+        model[name][gram] = np.log(known)
+        model[f"{name}_back"] = np.log(weight * pooled_weight).astype(np.float32)
     return model
 
 
@@ -160,24 +165,26 @@ def likelihoods(codes: np.ndarray, model: dict[str, np.ndarray]) -> tuple[np.nda
     return out[0], out[1]
 
 
-FEATURES = ("ordinary_ll", "toxic_ll", "mean_gap", "top_gap", "top_share")
+COMPARED = ("mean_gap", *[f"word_{i}" for i in range(1, TOP + 1)])
+FEATURES = ("ordinary_ll", "toxic_ll", *COMPARED)
 
 
 def _features(texts: list[str | None], model: dict[str, np.ndarray]) -> np.ndarray:
     out = np.zeros((len(texts), len(FEATURES)))
     for codes, starts, names in _packed((i, t) for i, t in enumerate(texts) if t):
         ordinary, toxic = likelihoods(codes, model)
-        gap = np.cumsum(np.concatenate([[0.0], (toxic - ordinary).astype(np.float64)]))
+        gap = (toxic - ordinary).astype(np.float64)
         ends = [*starts[1:], len(codes)]
         for a, b, name in zip(starts, ends, names, strict=True):
             a += ORDER
-            n = b - a
-            if n < 1:
+            if b <= a:
                 continue
-            width = min(STRETCH, n)
-            moving = (gap[a + width:b + 1] - gap[a:b + 1 - width]) / STRETCH
-            out[name] = (ordinary[a:b].mean(dtype=np.float64), toxic[a:b].mean(dtype=np.float64),
-                         (gap[b] - gap[a]) / n, moving.max(), (moving > 0.25).mean())
+            mine = gap[a:b]
+            begins = np.flatnonzero(codes[a:b] == 32)  # a word with the space before it
+            words = np.add.reduceat(mine, begins) if len(begins) else mine[:1]
+            top = np.sort(words if len(words) <= TOP else np.partition(words, -TOP)[-TOP:])[::-1]
+            out[name, :3] = ordinary[a:b].mean(dtype=np.float64), toxic[a:b].mean(dtype=np.float64), mine.mean()
+            out[name, 3:3 + len(top)] = top
     return out
 
 
@@ -213,7 +220,7 @@ def train(labelled: DataFrame, calibration: int = CALIBRATION) -> tuple[dict[str
     held = labelled.filter("part = 0 AND text IS NOT NULL AND toxic IN (0, 1)").orderBy(F.xxhash64("text"), "toxic").limit(calibration)
     x = features(held.select("text", "toxic"), model).select("found.*", "toxic").toPandas()
     y = x.pop("toxic").to_numpy().astype(float)
-    curve = _logistic(x[["mean_gap", "top_gap", "top_share"]].to_numpy(), y) if 0 < y.sum() < len(y) else None
+    curve = _logistic(x[list(COMPARED)].to_numpy(), y) if 0 < y.sum() < len(y) else None
     return model, curve
 
 
@@ -225,7 +232,7 @@ def score(docs: DataFrame, model: dict[str, np.ndarray], curve: tuple | None) ->
     else:
         w, mean, scale = curve
         linear = F.lit(float(w[0]))
-        for name, weight, m, s in zip(("mean_gap", "top_gap", "top_share"), w[1:], mean, scale, strict=True):
+        for name, weight, m, s in zip(COMPARED, w[1:], mean, scale, strict=True):
             linear = linear + (F.col("found")[name] - float(m)) * float(weight / s)
         value = 1 / (1 + F.exp(-linear))
     return (measured.withColumns({"ordinary_ll": F.col("found.ordinary_ll"), "toxic_ll": F.col("found.toxic_ll"), "score": value})

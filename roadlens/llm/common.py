@@ -34,3 +34,15 @@ def fold(doc_id: Column, n: int) -> Column:
 def text_bytes(docs: DataFrame, column: str = "text") -> int:
     """UTF-8 bytes of a text column, summed by Spark."""
     return docs.agg(F.sum(F.octet_length(column).cast("long"))).first()[0] or 0
+
+
+def packed(df: DataFrame, *keep: str) -> tuple[DataFrame, dict[str, Column]]:
+    """``df`` as the columns ``keep`` and one struct of all others, and how to select each column back.
+
+    So columns an operator adds or joins cannot clash with a column it only passes through.
+    """
+    others = [c for c in df.columns if c not in keep]
+    names = [F.col(f"`{c}`") for c in keep]
+    rest = F.struct(*[F.col(f"`{c}`") for c in others]) if others else F.lit(None)
+    back = {c: F.col(f"`{c}`") if c in keep else F.col("_rest").getField(c).alias(c) for c in df.columns}
+    return df.select(*names, rest.alias("_rest")), back

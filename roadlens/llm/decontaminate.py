@@ -21,7 +21,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from roadlens.llm.common import lower_az
+from roadlens.llm.common import lower_az, packed
 
 #: Characters between words: all of ASCII but digits and letters (A-Z count as letters once lowered).
 BREAKS = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
@@ -147,8 +147,9 @@ def clean(docs: DataFrame, items: DataFrame, **how) -> DataFrame:
 
     A row is known by its doc_id and text together; equal rows share their fate.
     """
-    marked = docs.select("doc_id", "text", F.xxhash64("doc_id", "text").alias("_key"))
-    found, _ = hits(marked.select(F.struct("doc_id", "_key").alias("doc_id"), "text"), items, **how)
-    bad = found.filter("start >= 0").select(F.col("doc_id.doc_id").alias("_id"), F.col("doc_id._key").alias("_key")).distinct()
-    same = F.col("_id").eqNullSafe(F.col("doc_id")) & (F.xxhash64("doc_id", "text") == F.col("_key"))
-    return docs.join(bad, same, "left_anti")
+    key = F.xxhash64("doc_id", "text")
+    found, _ = hits(docs.select(F.struct("doc_id", key.alias("key")).alias("doc_id"), "text"), items, **how)
+    bad = found.filter("start >= 0").select(F.col("doc_id.doc_id").alias("_id"), F.col("doc_id.key").alias("_key")).distinct()
+    alone, rest = packed(docs, "doc_id", "text")
+    same = F.col("_id").eqNullSafe(F.col("doc_id")) & (key == F.col("_key"))
+    return alone.join(bad, same, "left_anti").select(*rest.values())

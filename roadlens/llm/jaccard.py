@@ -33,7 +33,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from roadlens.llm.common import stored
+from roadlens.llm.common import packed, stored
 
 SHINGLE = 5
 PERCENT = 80
@@ -327,3 +327,11 @@ def link_components(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     named = root.join(root.groupBy("root").agg(F.min("first_id").alias("component_id")), "root").select("set_id", "component_id")
     return sets.join(named, "set_id", "left").select(
         "doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"))
+
+
+def keep_first(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """``docs`` without the documents whose component has a smaller id. Rows without an id stay."""
+    later = (link_components(docs, percent).filter("doc_id != component_id")
+             .select(F.col("doc_id").alias("_id")).distinct())
+    alone, rest = packed(docs, "doc_id", "text")
+    return alone.join(later, F.col("doc_id") == F.col("_id"), "left_anti").select(*rest.values())

@@ -23,6 +23,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from roadlens.llm.common import packed
+
 BUCKETS = 1 << 18
 ORDERS = (1, 2, 3)
 ALPHA = 0.5
@@ -117,9 +119,10 @@ def train(labelled: DataFrame, buckets: int = BUCKETS, alpha: float = ALPHA,
 
 
 def predict(docs: DataFrame, model: tuple[list[str], np.ndarray, np.ndarray], text: str = "text") -> DataFrame:
-    """``docs`` with ``lang_pred`` and ``score``, the posterior probability of that language."""
-    clash = {"lang_pred", "score"} & set(docs.columns)
-    docs = docs.drop(*clash)
+    """``docs`` with ``lang_pred`` and ``score``, the posterior probability of that language.
+
+    Columns of these names are replaced.
+    """
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     @F.pandas_udf("lang_pred string, score double")
@@ -144,4 +147,6 @@ def predict(docs: DataFrame, model: tuple[list[str], np.ndarray, np.ndarray], te
                 out.loc[rows, "score"] = 1 / share.sum(axis=1)
             yield out
 
-    return docs.withColumn("_found", scored(F.col(text))).select(*[f"`{c}`" for c in docs.columns], "_found.*")
+    alone, rest = packed(docs, text)
+    kept = [rest[c] for c in rest if c not in ("lang_pred", "score")]
+    return alone.withColumn("_found", scored(F.col(f"`{text}`"))).select(*kept, "_found.*")

@@ -22,7 +22,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from roadlens.llm.common import stored
+from roadlens.llm.common import packed, stored
 
 DEPTH = 3
 MIN_TOKENS = 5
@@ -79,15 +79,16 @@ def recurring_lines(docs: DataFrame, depth: int = DEPTH, min_tokens: int = MIN_T
 
 def drop_recurring(docs: DataFrame, depth: int = DEPTH, min_tokens: int = MIN_TOKENS,
                    block_tokens: int = BLOCK_TOKENS) -> DataFrame:
-    """``docs`` with recurring lines taken out of ``text``, and the columns n_lines and n_dropped."""
+    """``docs`` with recurring lines taken out of ``text``, and n_lines and n_dropped in place of columns of these names."""
     gone = (recurring_lines(docs, depth, min_tokens, block_tokens)
             .groupBy("_id", "_key").agg(F.collect_list("_line").alias("_gone")))
     lines = F.split("text", "\n")
-    kept = F.filter(F.transform(lines, lambda x, i: F.when(~F.array_contains("_gone", i), x)), lambda x: x.isNotNull())
-    joined = _marked(docs).join(gone, ["_id", "_key"], "left")
-    n = F.coalesce(F.size("_gone"), F.lit(0))
-    n = F.when(F.col("_gone").isNull(), 0).otherwise(n).cast("long")
-    columns = [F.when(F.col("_gone").isNotNull(), F.array_join(kept, "\n")).otherwise(F.col("text")).alias("text")
-               if c == "text" else F.col(f"`{c}`") for c in docs.columns]
-    return joined.select(*columns, F.when(F.col("text").isNull(), 0).otherwise(F.size(lines)).cast("long").alias("n_lines"),
-                         n.alias("n_dropped"))
+    kept = F.filter(lines, lambda _, i: ~F.array_contains("_gone", i))
+    alone, rest = packed(docs, "doc_id", "text")
+    made = {"text": F.when(F.col("_gone").isNull(), F.col("text")).otherwise(F.array_join(kept, "\n")),
+            "n_lines": F.when(F.col("text").isNull(), 0).otherwise(F.size(lines)).cast("long"),
+            "n_dropped": F.when(F.col("_gone").isNull(), 0).otherwise(F.size("_gone")).cast("long")}
+    passed = [c for c in docs.columns if c not in ("n_lines", "n_dropped")]
+    return (_marked(alone).join(gone, ["_id", "_key"], "left")
+            .select(*[made[c].alias(c) if c == "text" else rest[c] for c in passed],
+                    made["n_lines"].alias("n_lines"), made["n_dropped"].alias("n_dropped")))

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from roadlens.llm import ann_tree, bpe, decontaminate, jaccard, language_id, line_templates, oracle, shards, token_scan, toxicity
+from roadlens.llm import ann_tree, bpe, decontaminate, html_crf, jaccard, language_id, line_templates, oracle, shards, token_scan, toxicity
 from roadlens.llm.common import fold, table
 from roadlens.session import scratch_path
 
@@ -87,3 +87,9 @@ def op2_kneser_ney(spark: SparkSession, sf_dir: str) -> DataFrame:
     model, curve = toxicity.train(labelled)
     scored = toxicity.score(docs, model, curve).withColumn("held_out", crc % 5 == 0)
     return scored.select("doc_id", "held_out", "score", "predicted", "ordinary_ll", "toxic_ll")
+
+
+@_query("op1_dom_crf")
+def op1_dom_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages")
+    return html_crf.extract(pages, html_crf.train(pages)).select("page_id", "url", "text", "n_chars")

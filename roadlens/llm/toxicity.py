@@ -26,6 +26,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from roadlens.llm.common import packed
 from roadlens.llm.language_id import _codes
 
 ORDER = 5
@@ -225,8 +226,9 @@ def train(labelled: DataFrame, calibration: int = CALIBRATION) -> tuple[dict[str
 
 
 def score(docs: DataFrame, model: dict[str, np.ndarray], curve: tuple | None) -> DataFrame:
-    """``docs`` with ordinary_ll and toxic_ll (per character), score and predicted."""
-    measured = features(docs, model)
+    """``docs`` with ordinary_ll and toxic_ll (per character), score and predicted in place of columns of these names."""
+    alone, rest = packed(docs, "text")
+    measured = features(alone, model)
     if curve is None:
         value = F.lit(0.0)
     else:
@@ -235,5 +237,6 @@ def score(docs: DataFrame, model: dict[str, np.ndarray], curve: tuple | None) ->
         for name, weight, m, s in zip(COMPARED, w[1:], mean, scale, strict=True):
             linear = linear + (F.col("found")[name] - float(m)) * float(weight / s)
         value = 1 / (1 + F.exp(-linear))
-    return (measured.withColumns({"ordinary_ll": F.col("found.ordinary_ll"), "toxic_ll": F.col("found.toxic_ll"), "score": value})
-            .withColumn("predicted", (F.col("score") >= 0.5).cast("int")).drop("found"))
+    made = {"ordinary_ll": F.col("found.ordinary_ll"), "toxic_ll": F.col("found.toxic_ll"), "score": value,
+            "predicted": (value >= 0.5).cast("int")}
+    return measured.select(*[rest[c] for c in rest if c not in made], *[v.alias(c) for c, v in made.items()])

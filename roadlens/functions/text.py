@@ -8,6 +8,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+# The patterns of stamps.
 MINUTE_PATTERN = r"(\d{4}-\d{2}-\d{2}T\d{2}:\d{2}).*"
 HOUR_PATTERN = r".*T(\d{2}):\d{2}:\d{2}"
 DATE_PREFIX_PATTERN = r"\d{4}-\d{2}-\d{2}.*"
@@ -61,8 +62,11 @@ def epoch_iso(millis: Column) -> Column:
 
 
 def float_text(value: Column) -> Column:
-    """Shortest text of a double: positional digits between 1e-4 and 1e16, else ``1.5e-05``."""
-    number = value.cast("double")
+    """Shortest text of a number: positional digits between 1e-4 and 1e16, else ``1.5e-05``.
+
+    A 32-bit number keeps its own digits: it becomes a double by way of its text.
+    """
+    number = value.cast("string").cast("double")
     size = F.abs(number)
     plain = number.cast("string")
     digits = F.regexp_replace(number.try_cast("decimal(38,20)").cast("string"),
@@ -81,6 +85,30 @@ def natural_key(type_: Column, lat: Column, lon: Column, subtype: Column) -> Col
 
 
 def content_key(columns: Sequence[Column]) -> Column:
-    """Stable hash of the data columns; the same content gives the same key in every run."""
-    parts = (F.coalesce(c.cast("string"), F.lit("~")) for c in columns)
+    """Stable hash of the data columns; the same content gives the same key in every run.
+
+    Each part stands with its length and a missing one as ``~``, so no two rows share an encoding.
+    """
+    texts = (c.cast("string") for c in columns)
+    parts = (F.coalesce(F.concat(F.length(t), F.lit(":"), t), F.lit("~")) for t in texts)
     return F.sha2(F.concat_ws("|", *parts), 256)
+
+
+# Signs that stand for line feed and carriage return in delimited files, and the sign before a literal one.
+LINE_FEED, CARRIAGE_RETURN, LITERAL = "\u240A", "\u240D", "\u241B"
+
+
+def line_breaks_out(column: Column) -> Column:
+    """Text without line breaks, from which ``line_breaks_in`` makes the text again."""
+    marked = F.regexp_replace(column, f"([{LINE_FEED}{CARRIAGE_RETURN}{LITERAL}])", f"{LITERAL}$1")
+    return F.replace(F.replace(marked, F.lit("\n"), F.lit(LINE_FEED)), F.lit("\r"), F.lit(CARRIAGE_RETURN))
+
+
+def line_breaks_in(column: Column) -> Column:
+    """Turns the signs of line breaks back; text without any is left as it is."""
+    free = f"(?<!{LITERAL})((?:{LITERAL}{LITERAL})*)"
+    text = column
+    for sign, mark in ((LINE_FEED, "\n"), (CARRIAGE_RETURN, "\r")):
+        text = F.regexp_replace(F.regexp_replace(text, f"{free}{sign}", f"$1{mark}"), f"{free}{sign}", f"$1{mark}")
+    text = F.regexp_replace(text, f"{LITERAL}([{LINE_FEED}{CARRIAGE_RETURN}{LITERAL}])", "$1")
+    return F.when(column.rlike(f"[{LINE_FEED}{CARRIAGE_RETURN}{LITERAL}]"), text).otherwise(column)

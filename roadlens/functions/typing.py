@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -16,6 +18,8 @@ NOT_DATES = ("hora", "hour", "fecha", "date", "time", "n/a", "null", "none", "")
 
 # The JVM also reads `5d` and hexadecimal text as doubles; documents must not.
 FLOAT_TEXT = r"(?i)^\s*[+-]?(?:(?:\d+\.?\d*|\.\d+)(?:e[+-]?\d+)?|inf|infinity)\s*$"
+# A time of day with an offset from UTC.
+OFFSET_TEXT = r"\d{1,2}:\d{2}.*(?:[zZ]|[+-]\d{1,2}(?::?\d{2})?)\s*$"
 INTEGER_TEXT = r"^\s*[+-]?\d+\s*$"
 
 
@@ -32,6 +36,8 @@ def rule_of(field: str) -> str:
 
 def to_float(column: Column, dtype: T.DataType) -> Column:
     number = column.try_cast("double")
+    if isinstance(dtype, T.FloatType):
+        number = column.cast("string").cast("double")  # its own digits, not those of a wider number
     if isinstance(dtype, T.StringType):
         number = F.when(column.rlike(FLOAT_TEXT), number)
     return F.when(F.isnan(number), None).otherwise(number)
@@ -44,14 +50,20 @@ def to_integer(column: Column, dtype: T.DataType) -> Column:
     return column.try_cast("double").try_cast("bigint")
 
 
-def to_date(column: Column, dtype: T.DataType) -> Column:
-    """Text that is a date or time stamp; other types are not accepted as dates."""
+def to_date(column: Column, dtype: T.DataType, formats: Sequence[str] = ()) -> Column:
+    """Text that is a date or time stamp; other types are not accepted as dates.
+
+    Text with an offset counts in UTC. ``formats`` are further forms to try on other text, in order.
+    """
     if isinstance(dtype, (T.DateType, T.TimestampType, T.TimestampNTZType)):
         return column.cast("timestamp_ntz")
     if not isinstance(dtype, T.StringType):
         return F.lit(None).cast("timestamp_ntz")
     word = F.lower(F.trim(column))
-    return F.when(~word.isin(*NOT_DATES), column.try_cast("timestamp_ntz"))
+    zoned = F.convert_timezone(F.current_timezone(), F.lit("UTC"), column.try_cast("timestamp").cast("timestamp_ntz"))
+    stamp = F.when(column.rlike(OFFSET_TEXT), zoned).otherwise(column.try_cast("timestamp_ntz"))
+    others = (F.try_to_timestamp(column, F.lit(form)).cast("timestamp_ntz") for form in formats)
+    return F.when(~word.isin(*NOT_DATES), F.coalesce(stamp, *others))
 
 
 def to_text(column: Column, dtype: T.DataType) -> Column:

@@ -62,10 +62,7 @@ def sample(trace: DataFrame, table: DataFrame, order: Sequence[str],
 
 
 def offset_fetch(df: DataFrame, order: Sequence[str], skip: int) -> DataFrame:
-    """The one row after ``skip`` rows; a far offset goes by rank instead of one big sort."""
-    near = int(df.sparkSession.conf.get("spark.sql.execution.topKSortFallbackThreshold"))
-    if skip < min(near, 100_000):
-        return df.orderBy(*order).offset(skip).limit(1)
+    """The one row after ``skip`` rows, by its rank, near or far. ``order`` should identify a row."""
     return with_rank(df, order, "_rank").filter(F.col("_rank") == skip).drop("_rank")
 
 

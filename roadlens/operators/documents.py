@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 
 from roadlens.functions import typing
 from roadlens.functions.text import iso_text, moment
-from roadlens.schemas import DOCUMENT_NAMES
+from roadlens.schemas import COMMON_MAPPING, DOCUMENT_NAMES, index_mapping
 
 
 def doc_rename(df: DataFrame) -> DataFrame:
@@ -68,26 +68,7 @@ def _generic_type(field: T.StructField) -> str:
     return "date" if typing.rule_of(field.name) == "date" else "text"
 
 
-# Index types of the datasets with a declared mapping.
-COMMON_MAPPING = {"@timestamp": "date", "location": "geo_point"}
-COUNT_MAPPING = {"tipo_evento": "keyword", "cantidad": "integer"}
-EVENT_MAPPING = {
-    "tipo": "keyword",
-    "subtipo": "keyword",
-    "calle": "text",
-    "comuna": "keyword",
-    "fecha": "date",
-    "latitud": "float",
-    "longitud": "float",
-}
-
-
 def doc_mapping(name: str, df: DataFrame) -> dict[str, str]:
     """Field types of a dataset: declared for the named ones, else from its columns."""
-    if "event_counts" in name:
-        fields = COUNT_MAPPING
-    elif "no_processing_data" in name or "data_unique" in name:
-        fields = EVENT_MAPPING
-    else:
-        fields = {f.name: _generic_type(f) for f in df.schema.fields}
-    return {**COMMON_MAPPING, **fields}
+    declared = index_mapping(name) or {f.name: _generic_type(f) for f in df.schema.fields}
+    return {**COMMON_MAPPING, **declared}

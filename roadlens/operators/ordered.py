@@ -1,13 +1,14 @@
 """Operators that need row order inside a key or over a whole table.
 
-None of them sends a whole key or table through one task: a window group is
-never larger than ``chunk_rows``, and what crosses chunks is one row per chunk.
+None of them sends a whole key or table through one task: a window group has about
+``chunk_rows`` rows at most, and what crosses chunks is one row per key and chunk.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window, WindowSpec
@@ -15,10 +16,30 @@ from pyspark.sql.window import Window, WindowSpec
 from roadlens.session import shared_dir
 
 CHUNK_ROWS = 1_000_000
+MAX_CHUNKS = 10_000
 
 
-def _chunk(order: str, chunk_rows: int) -> Column:
-    return F.floor(F.col(order) / F.lit(chunk_rows))
+def _cuts(df: DataFrame, order: str, chunk_rows: int) -> list[float]:
+    """Where to cut ``order`` so that a piece has about ``chunk_rows`` rows, however the numbers lie.
+
+    One pass over the order column; at most ``MAX_CHUNKS`` pieces, larger ones beyond.
+    """
+    rows = df.count()
+    pieces = min(-(-rows // chunk_rows), MAX_CHUNKS)
+    if pieces < 2:
+        return []
+    shares = [i / pieces for i in range(1, pieces)]
+    found = df.agg(F.percentile_approx(F.col(order).cast("double"), shares, 10 * pieces).alias("at")).first()["at"]
+    return sorted(set(found or []))
+
+
+def _chunked(df: DataFrame, order: str, cuts: list[float]) -> DataFrame:
+    """Adds ``_chunk``, the piece of each row; equal numbers share one."""
+    if not cuts:
+        return df.withColumn("_chunk", F.lit(0))
+    split = Bucketizer(splits=[-float("inf"), *cuts, float("inf")], inputCol="_order", outputCol="_piece")
+    placed = split.transform(df.withColumn("_order", F.col(order).cast("double")))
+    return placed.withColumn("_chunk", F.col("_piece").cast("int")).drop("_order", "_piece")
 
 
 def _partition(keys: Sequence[str]) -> WindowSpec:
@@ -30,41 +51,37 @@ def previous_in_key(df: DataFrame, keys: Sequence[str], order: str, value: str,
                     chunk_rows: int = CHUNK_ROWS) -> DataFrame:
     """Adds ``is_first`` and ``previous``: the ``value`` of the key's row before this one.
 
-    ``order`` is a unique whole number. A key is cut into ranges of ``chunk_rows``
-    order numbers, so a hot key spreads over many tasks; then only the first row
-    of each range looks up the last value of the key's preceding range.
+    ``order`` is a unique whole number. The table is cut into pieces of about ``chunk_rows`` rows
+    by that number, so a hot key spreads over many tasks. Of each key and piece the last value is
+    found on the map side; it stands as an extra row before the key's next piece, so one
+    window pass answers all rows. A table of one piece is a plain window.
     """
-    chunk = _partition([*keys, "_chunk"]).orderBy(order)
-    whole = chunk.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    cuts = _cuts(df, order, chunk_rows)
+    local = _partition([*keys, "_chunk"]).orderBy(F.col("_seed").desc(), order)
     boxed = F.struct(F.col(value).alias("v"))
-    local = df.withColumn("_chunk", _chunk(order, chunk_rows)).withColumns({
-        "_n": F.row_number().over(chunk),
-        "_prev": F.lag(boxed).over(chunk),
-        "_tail": F.last(boxed).over(whole),
-    })
-    across = _partition(keys).orderBy("_chunk")
-    heads = (local.filter(F.col("_n") == 1)
-             .withColumn("_prev", F.lag("_tail").over(across)))
-    inner = local.filter(F.col("_n") > 1)
-    columns = [*df.columns, "_prev"]
-    return (inner.select(columns).unionAll(heads.select(columns))
-            .select(*df.columns,
-                    F.col("_prev").isNull().alias("is_first"),
-                    F.col("_prev.v").alias("previous")))
+    rows = _chunked(df, order, cuts).withColumns({"_seed": F.lit(False), "_value": boxed})
+    if cuts:
+        tails = rows.groupBy(*keys, "_chunk").agg(F.max_by("_value", order).alias("_value"))
+        across = _partition(keys).orderBy("_chunk")
+        seeds = (tails.withColumn("_value", F.lag("_value").over(across)).filter(F.col("_value").isNotNull())
+                 .withColumn("_seed", F.lit(True)))
+        rows = rows.unionByName(seeds, allowMissingColumns=True)
+    return (rows.withColumn("_prev", F.lag("_value").over(local)).filter(~F.col("_seed"))
+            .select(*df.columns, F.col("_prev").isNull().alias("is_first"), F.col("_prev.v").alias("previous")))
 
 
 def running_total(df: DataFrame, order: str, value: str, name: str,
                   chunk_rows: int = CHUNK_ROWS) -> DataFrame:
     """Adds the running sum of a whole-number ``value`` over the table in ``order``."""
-    chunked = df.withColumn("_chunk", _chunk(order, chunk_rows))
+    chunked = _chunked(df, order, _cuts(df, order, chunk_rows))
     before = (Window.orderBy("_chunk")
               .rowsBetween(Window.unboundedPreceding, -1))
-    # One row per chunk reaches the window without a partition.
+    # One row per chunk reaches the window without a partition, MAX_CHUNKS at most.
     offsets = (chunked.groupBy("_chunk").agg(F.sum(value).alias("_sum"))
                .select("_chunk", F.coalesce(F.sum("_sum").over(before), F.lit(0)).alias("_base")))
     local = Window.partitionBy("_chunk").orderBy(order)
     return (chunked.withColumn(name, F.sum(value).over(local))
-            .join(offsets, "_chunk")
+            .join(F.broadcast(offsets), "_chunk")
             .withColumn(name, F.col(name) + F.col("_base"))
             .drop("_chunk", "_base"))
 

@@ -7,7 +7,7 @@ import re
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from roadlens.functions.text import iso_text, moment
@@ -66,9 +66,11 @@ def _fill(counts: DataFrame, unit: str) -> DataFrame:
     if unit in ("minute", "hour"):
         # Days first, so that no row holds more than one day of buckets.
         day_end = F.col("day") + F.expr("INTERVAL 1 DAY") - step
+        # The days are dealt out, so that one stray stamp far off makes many small tasks.
         spine = (bounds
                  .select("lo", "hi", F.explode(F.sequence(
                      _bucket(F.col("lo"), "day"), "hi", F.expr(UNITS["day"]))).alias("day"))
+                 .repartition("day")
                  .select("lo", "hi", F.explode(F.sequence("day", day_end, step)).alias("bucket"))
                  .filter(F.col("bucket").between(F.col("lo"), F.col("hi"))).select("bucket"))
     else:
@@ -126,10 +128,9 @@ def index_counts(frames: Mapping[str, DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionAll, parts).orderBy("dataset")
 
 
-def sorted_listing(frames: Mapping[str, DataFrame]) -> DataFrame:
-    """Names of the datasets that hold rows, ascending; one row of each is read."""
-    parts = [f.limit(1).select(F.lit(name).alias("dataset")) for name, f in frames.items()]
-    return reduce(DataFrame.unionAll, parts).orderBy("dataset")
+def sorted_listing(spark: SparkSession, frames: Mapping[str, DataFrame]) -> DataFrame:
+    """Names of all datasets, ascending, empty ones too; no rows are read."""
+    return spark.createDataFrame([(name,) for name in sorted(frames)], "dataset string").orderBy("dataset")
 
 
 def _matching(df: DataFrame, query: Mapping | None, as_of: dt.datetime) -> DataFrame:
@@ -149,8 +150,10 @@ def _aggregate(df: DataFrame, spec: Mapping) -> tuple[DataFrame, DataFrame]:
     """The counts by key, missing keys included, and the buckets made of them."""
     match spec:
         case {"terms": {"field": str(field), **rest}} if set(rest) <= {"size"}:
-            counts = _count_by(df, _named(field).cast("string"))
-            return counts, _top(counts, rest.get("size", 10))
+            counts = _count_by(df, _named(field))
+            # Ordered as what they are, then shown as text.
+            top = _top(counts, rest.get("size", 10))
+            return counts, top.withColumn("key", F.col("key").cast("string"))
         case {"date_histogram": {"field": str(field), "calendar_interval": str(unit), **rest}} \
                 if not rest and unit in UNITS:
             counts = _count_by(df, _bucket(_named(field), unit))

@@ -15,11 +15,11 @@ from roadlens.schemas import snapshot_dataset
 def kv_snapshot(df: DataFrame, namespace: str) -> DataFrame:
     """Each row as JSON under its namespace and content key; equal rows are one entry."""
     columns = [F.col(f"`{c}`") for c in df.columns]
-    return df.select(
+    return df.distinct().select(
         F.lit(namespace).alias("namespace"),
         F.concat(F.lit(f"{namespace}:"), content_key(columns)).alias("key"),
         F.to_json(F.struct(*columns)).alias("value"),
-    ).dropDuplicates(["namespace", "key"])
+    )
 
 
 def known_datasets(frames: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
@@ -30,7 +30,10 @@ def load_snapshot(frames: Mapping[str, DataFrame]) -> DataFrame:
     """Snapshot rows of every known dataset; unknown names are skipped."""
     parts = [kv_snapshot(f, snapshot_dataset(n).namespace)
              for n, f in known_datasets(frames).items()]
-    return reduce(DataFrame.unionAll, parts)
+    whole = reduce(DataFrame.unionAll, parts)
+    # Two datasets may share a namespace, and then a row.
+    shared = len(parts) > len({snapshot_dataset(n).namespace for n in known_datasets(frames)})
+    return whole.distinct() if shared else whole
 
 
 def load_stats(frames: Mapping[str, DataFrame]) -> DataFrame:

@@ -7,6 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from roadlens.functions import text, typing
 from roadlens.operators import access, clean, dedup, ordered, reports, snapshot
@@ -120,8 +121,11 @@ def _(spark, sf):
 
 
 @query("dataset_inventory", O.derived(
-    "SELECT 'event_counts' AS dataset, count(*) > 0 AS has_bytes FROM uniq UNION ALL "
-    "SELECT 'filtered_events', count(*) > 0 FROM filtered"))
+    "SELECT 'event_counts' AS dataset, CAST(sum(strlen(tipo) + strlen(CAST(total AS VARCHAR)) + 2) AS BIGINT) AS bytes "
+    "FROM (SELECT tipo, count(tipo) AS total FROM uniq GROUP BY tipo) q UNION ALL "
+    "SELECT 'filtered_events', CAST(sum(strlen(CAST(row_id AS VARCHAR)) + strlen(tipo) + coalesce(strlen(subtipo), 0) + "
+    "coalesce(strlen(ubicacion), 0) + coalesce(strlen(ciudad), 0) + strlen(hora) + strlen(CAST(lat AS VARCHAR)) + "
+    "strlen(CAST(lon AS VARCHAR)) + 8) AS BIGINT) FROM filtered"))
 def _(spark, sf):
     root = scratch_path(spark, "inventory")
     filtered = tables.filtered(spark, sf)
@@ -130,15 +134,15 @@ def _(spark, sf):
     sinks.publish(reports.event_counts(dedup.dedup_minute(filtered)), f"{root}/event_counts")
     return (sources.dataset_inventory(spark, root)
             .groupBy(F.element_at(F.split("path", "/"), -2).alias("dataset"))
-            .agg((F.sum("bytes") > 0).alias("has_bytes")))
+            .agg(F.sum("bytes").alias("bytes")))
 
 
 def _ingested(spark: SparkSession, sf: str, changes_only: bool) -> DataFrame:
     root = scratch_path(spark, "ingest")
-    landing = tables.land_feed(spark, sf, f"{root}/landing")
-    # The files of one write landed in no order, so they are one micro-batch.
+    # The polls land in order, a file each time, and are read a file at a time: state crosses batches.
+    landing = tables.land_feed(spark, sf, f"{root}/landing", writes=3)
     changes.start_ingest(spark, landing, f"{root}/store", f"{root}/checkpoint", changes_only,
-                         available_now=True, max_files=None).awaitTermination()
+                         available_now=True, max_files=1).awaitTermination()
     return _rounded(sources.store_scan_all(spark, f"{root}/store"))
 
 
@@ -200,7 +204,7 @@ BY_CITY_TYPE = "SELECT ciudad, tipo, count(tipo) AS total FROM uniq GROUP BY ciu
 @query("publish_single", O.derived(BY_CITY_TYPE))
 def _(spark, sf):
     path = scratch_path(spark, "publish")
-    sinks.publish(reports.incidents_by_city_type(tables.unique(spark, sf)), path)
+    sinks.publish(reports.incidents_by_city_type(tables.unique(spark, sf)), path, single=True)
     return spark.read.schema(REPORT_SCHEMAS["incidentes_ciudad_tipo"]).csv(path)
 
 
@@ -443,6 +447,46 @@ def _(spark, sf):
         "row_id", typing.geo_point(F.col("lat"), F.col("lon")).alias("location"))
 
 
+# Coordinates from a positional file are 32-bit numbers and must keep their digits.
+POSITIONAL_PLACE = ("CASE WHEN lat BETWEEN -90 AND 90 AND lon BETWEEN -180 AND 180 THEN concat(CAST(CAST(lat AS FLOAT) AS VARCHAR), "
+                    "',', CAST(CAST(lon AS FLOAT) AS VARCHAR)) END")
+POSITIONAL_KEY = ("concat(coalesce(tipo, 'None'), '_', coalesce(CAST(CAST(lat AS FLOAT) AS VARCHAR), 'None'), '_', "
+                  "coalesce(CAST(CAST(lon AS FLOAT) AS VARCHAR), 'None'), '_', coalesce(subtipo, 'None'))")
+
+
+@query("positional_documents", O.derived(
+    f"SELECT tipo, hora, {POSITIONAL_PLACE} AS location, {POSITIONAL_KEY} AS clave FROM raw"))
+def _(spark, sf):
+    path = scratch_path(spark, "positional")
+    sinks.store_delimited(tables.raw(spark, sf).drop("row_id"), path)
+    key = text.natural_key(F.col("tipo"), F.col("lat"), F.col("lon"), F.col("subtipo"))
+    return sources.load_positional(spark, path).select(
+        "tipo", "hora", typing.geo_point(F.col("lat"), F.col("lon")).alias("location"), key.alias("clave"))
+
+
+@query("doc_to_date_offsets", O.derived(
+    "SELECT row_id, TRY_CAST(hora AS TIMESTAMP) - INTERVAL 2 HOUR AS plus, TRY_CAST(hora AS TIMESTAMP) AS zulu FROM filtered"))
+def _(spark, sf):
+    rows = tables.filtered(spark, sf)
+    dates = {name: typing.to_date(F.concat("hora", F.lit(offset)), T.StringType())
+             for name, offset in (("plus", "+02:00"), ("zulu", "Z"))}
+    return rows.select("row_id", *[c.alias(n) for n, c in dates.items()])
+
+
+@query("line_breaks", O.derived(
+    "SELECT tipo, ubicacion || chr(10) || 'a, \"b\"' || chr(13) || chr(10) || 'c' AS ubicacion, hora FROM filtered"))
+def _(spark, sf):
+    path = scratch_path(spark, "breaks")
+    rows = tables.filtered(spark, sf).drop("row_id").withColumn(
+        "ubicacion", F.concat("ubicacion", F.lit('\na, "b"\r\nc')))
+    sinks.store_delimited(rows, path)
+    named = sources.load_named(spark, path, "filtered_events")
+    positional = sources.load_positional(spark, path)
+    both = named.select("tipo", F.col("calle").alias("ubicacion"), F.col("fecha").alias("hora"))
+    same = snapshot.roundtrip_verify(positional.select("tipo", "ubicacion", "hora"), both).filter("matches")
+    return both.join(F.broadcast(same.select("matches")), F.lit(True), "left_semi")
+
+
 @query("doc_timestamp", O.derived(
     "SELECT CAST(row_id AS VARCHAR) AS row_id, coalesce(TRY_CAST(hora AS TIMESTAMP), "
     "TIMESTAMP '2024-01-31 00:00:00') AS stamp FROM raw"))
@@ -463,7 +507,15 @@ def _(spark, sf):
     return D.doc_reject(rows)
 
 
-@query("doc_mapping")
+MAPPINGS = [(name, field, kind) for name, fields in (
+    ("data_unique", "tipo keyword, subtipo keyword, calle text, comuna keyword, fecha date, latitud float, longitud float"),
+    ("filtered_events", "tipo keyword, subtipo keyword, calle text, comuna keyword, fecha date, latitud float, longitud float"),
+    ("event_counts", "tipo_evento keyword, cantidad integer"),
+    ("evolucion_por_tipo", ", ".join(f"campo_{i} {k}" for i, k in enumerate(["text", "text", "integer", *["float"] * 7]))))
+    for field, kind in [x.split() for x in f"@timestamp date, location geo_point, {fields}".split(", ")]]
+
+
+@query("doc_mapping", "SELECT * FROM (VALUES " + ", ".join(map(str, MAPPINGS)) + ") m(dataset, field, type)")
 def _(spark, sf):
     root = scratch_path(spark, "mapping")
     unique = tables.unique(spark, sf)
@@ -473,7 +525,8 @@ def _(spark, sf):
     sinks.publish(reports.event_counts(unique), f"{root}/event_counts")
     sinks.publish(reports.daily_evolution_by_type(unique), f"{root}/evolucion_por_tipo")
     rows = []
-    for name in ("data_unique", "event_counts", "evolucion_por_tipo"):
+    sinks.store_delimited(tables.filtered(spark, sf).drop("row_id"), f"{root}/filtered_events")
+    for name in ("data_unique", "filtered_events", "event_counts", "evolucion_por_tipo"):
         loaded = sources.load_named(spark, f"{root}/{name}", name)
         rows += [(name, f, t) for f, t in D.doc_mapping(name, loaded).items()]
     return spark.createDataFrame(rows, "dataset string, field string, type string")
@@ -664,9 +717,15 @@ def _(spark, sf):
     return _rounded(access.offset_fetch(tables.raw(spark, sf), ["row_id"], 777))
 
 
-@query("sorted_listing", O.derived(f"SELECT dataset FROM ({COUNTS_SQL}) q WHERE doc_count > 0"))
+@query("offset_fetch_far", O.derived(
+    f"SELECT row_id, {O.EVENTS} FROM raw ORDER BY row_id LIMIT 1 OFFSET 1150"))
+def _(spark, sf):
+    return _rounded(access.offset_fetch(tables.raw(spark, sf), ["row_id"], 1150))
+
+
+@query("sorted_listing", O.derived(f"SELECT dataset FROM ({COUNTS_SQL}) q"))
 def _(spark, sf):
-    return S.sorted_listing(_datasets(spark, sf))
+    return S.sorted_listing(spark, _datasets(spark, sf))
 
 
 @query("feed_union", O.derived(
@@ -731,6 +790,56 @@ def _(spark, sf):
                           ).withColumnRenamed("dataset", "request")
 
 
+# All indexed datasets as one family: events, filtered events and the hour report.
+FAMILY = """family AS (
+  SELECT tipo, comuna, stamp FROM docs UNION ALL
+  SELECT tipo, ciudad, coalesce(TRY_CAST(hora AS TIMESTAMP), TIMESTAMP '2024-01-31 00:00:00') FROM filtered UNION ALL
+  SELECT NULL, NULL, TIMESTAMP '2024-01-31 00:00:00' FROM (
+    SELECT DISTINCT regexp_extract(hora, '.*T(\\d{2}):\\d{2}:\\d{2}', 1) AS h FROM uniq) q WHERE h <> '')"""
+
+
+def _family_terms(field: str) -> str:
+    return O.terms(field, 10).replace("FROM docs", "FROM family")
+
+
+FAMILY_SQL = f"WITH {O.INCIDENTS}, {FAMILY} " + (" UNION ALL ".join([
+    _answer_sql("eventos_por_tipo", _buckets_sql("eventos_por_tipo", "tipos", _family_terms("tipo"))),
+    _answer_sql("eventos_por_comuna", _buckets_sql("eventos_por_comuna", "comunas", _family_terms("comuna"))),
+    _answer_sql("eventos_recientes_24h", "", "stamp >= TIMESTAMP '2024-01-30 00:00:00'"),
+    _answer_sql("por_tiempo", _buckets_sql("por_tiempo", "por_tiempo", O.histogram("day", "1 DAY", "family"),
+                                           "strftime(key, '%Y-%m-%dT%H:%M:%S')")),
+]).replace("FROM docs WHERE", "FROM family WHERE"))
+
+
+def _indexed_files(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
+    """The chain from CSV files by name: names, types, documents, index. Reports are indexed too."""
+    root = scratch_path(spark, "csv")
+    frames = _datasets(spark, sf)
+    for name in ("filtered_events", "data_unique"):
+        sinks.store_delimited(frames[name].drop("row_id"), f"{root}/{name}")
+    sinks.publish(reports.hourly_distribution(frames["data_unique"]), f"{root}/distribucion_horaria")
+    loaded = {name: sources.load_named(spark, f"{root}/{name}", name)
+              for name in ("filtered_events", "data_unique", "distribucion_horaria")}
+    return pipeline.index_events(loaded, f"{root}/index", AS_OF)
+
+
+@query("search_family", FAMILY_SQL)
+def _(spark, sf):
+    family = S.family_union(_indexed_files(spark, sf), ("tipo", "comuna", "@timestamp"))
+    requests = {"por_tiempo": S.histogram_request("por_tiempo"), **S.STATIC_REQUESTS}
+    return S.family_union({name: S.search(family, request, AS_OF) for name, request in requests.items()}
+                          ).withColumnRenamed("dataset", "request")
+
+
+@query("index_complete", O.derived(
+    "SELECT 'data_unique' AS dataset, count(*) AS doc_count, count(*) > 0 AS present FROM uniq UNION ALL "
+    "SELECT 'filtered_events', count(*), count(*) > 0 FROM filtered UNION ALL "
+    "SELECT 'distribucion_horaria', count(*), count(*) > 0 FROM (SELECT DISTINCT "
+    "regexp_extract(hora, '.*T(\\d{2}):\\d{2}:\\d{2}', 1) AS h FROM uniq) q WHERE h <> ''"))
+def _(spark, sf):
+    return snapshot.completeness(S.index_counts(_indexed_files(spark, sf)), EXPECTED)
+
+
 @query("static_report", O.derived(STATIC_SQL))
 def _(spark, sf):
     root = scratch_path(spark, "static")

@@ -80,8 +80,11 @@ def unique(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedup_minute(filtered(spark, sf_dir))
 
 
-def land_feed(spark: SparkSession, sf_dir: str, path: str) -> str:
-    """The incidents as feed payloads, one per ``POLL_ROWS`` numbers of the arrival order."""
+def land_feed(spark: SparkSession, sf_dir: str, path: str, writes: int = 1) -> str:
+    """The incidents as feed payloads, one per ``POLL_ROWS`` numbers of the arrival order.
+
+    With several ``writes`` the polls land in that many parts, the earliest first, one file each.
+    """
     alert = F.struct(
         F.col("tipo").alias("type"), F.col("subtipo").alias("subtype"),
         F.col("ubicacion").alias("street"), F.col("ciudad").alias("city"),
@@ -98,6 +101,14 @@ def land_feed(spark: SparkSession, sf_dir: str, path: str) -> str:
         ordered = F.transform(F.array_sort(picked), lambda e: e["a"])
         return F.when(F.size(ordered) > 0, ordered.cast(f"array<{ALERT}>"))
 
-    (rows.groupBy("poll").agg(of_kind(0).alias("alerts"), of_kind(1).alias("traffic"))
-     .write.json(path))
+    payloads = rows.groupBy("poll").agg(of_kind(0).alias("alerts"), of_kind(1).alias("traffic"))
+    if writes == 1:
+        payloads.write.json(path)
+        return path
+    payloads.write.parquet(f"{path}-payloads")
+    payloads = spark.read.parquet(f"{path}-payloads")
+    step = -(-(payloads.agg(F.max("poll")).first()[0] + 1) // writes)
+    for i in range(writes):
+        part = payloads.filter(F.col("poll").between(i * step, (i + 1) * step - 1))
+        part.coalesce(1).write.mode("append").json(path)
     return path

@@ -98,7 +98,8 @@ NATURAL_KEY = ("concat(coalesce(tipo, 'None'), '_', coalesce(CAST(lat AS VARCHAR
 
 
 def content_hash(columns: tuple[str, ...]) -> str:
-    parts = ", ".join(f"coalesce(CAST({c} AS VARCHAR), '~')" for c in columns)
+    texts = (f"CAST({c} AS VARCHAR)" for c in columns)
+    parts = ", ".join(f"coalesce(length({t}) || ':' || {t}, '~')" for t in texts)
     return f"sha256(concat_ws('|', {parts}))"
 
 

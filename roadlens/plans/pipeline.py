@@ -29,11 +29,12 @@ def with_row_id(events: DataFrame) -> DataFrame:
     return events.withColumn("row_id", F.xxhash64(*EVENT_COLUMNS))
 
 
-def batch_reports(events: DataFrame, out: str) -> dict[str, DataFrame]:
+def batch_reports(events: DataFrame, out: str, single: bool = False) -> dict[str, DataFrame]:
     """Clean, deduplicate and report; every result is written below ``out``.
 
     The unique events are written once and read back, so the reports never repeat
-    the cleaning; the small base count is shared by the seven of them.
+    the cleaning; the small base count is shared by the seven of them. ``single`` writes
+    each report as one file.
     """
     spark = events.sparkSession
     rows = with_row_id(events)
@@ -43,10 +44,8 @@ def batch_reports(events: DataFrame, out: str) -> dict[str, DataFrame]:
     unique = spark.read.parquet(f"{out}/data_unique")
     base = report_base(unique).persist()
     try:
-        # No report has more rows than the base.
-        small = sinks.is_small(base)
         for name, report in reports_from_base(base).items():
-            sinks.publish(report, f"{out}/{name}.csv", small)
+            sinks.publish(report, f"{out}/{name}.csv", single)
     finally:
         base.unpersist()
     return {"filtered_events": filtered, "data_unique": unique}
@@ -84,10 +83,14 @@ def static_report(docs: DataFrame, out: str, as_of: dt.datetime,
     for name, request in requests.items():
         try:
             path = f"{out}/{name}.json"
-            answer = S.search(docs, request, as_of)
-            sinks.result_save(answer, path)
-            loaded = sources.result_read(spark, path, answer.schema)
-            checks.append((name, path, roundtrip_verify(answer, loaded).first().matches))
+            # A few rows, which are saved and compared without being computed again.
+            answer = S.search(docs, request, as_of).persist()
+            try:
+                sinks.result_save(answer, path)
+                loaded = sources.result_read(spark, path, answer.schema)
+                checks.append((name, path, roundtrip_verify(answer, loaded).first().matches))
+            finally:
+                answer.unpersist()
         except Exception:
             log.exception("request %s failed", name)
     summary = spark.createDataFrame([(as_of, len(requests), [name for name, _, _ in checks])],
@@ -102,6 +105,8 @@ def saved_answers(spark: SparkSession, saved: DataFrame) -> DataFrame:
     schema = "aggregation string, key string, doc_count bigint"
     parts = {row.request: sources.result_read(spark, row.path, schema)
              for row in saved.collect()}
+    if not parts:
+        return spark.createDataFrame([], f"request string, {schema}")
     return S.family_union(parts).withColumnRenamed("dataset", "request")
 
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+# Columns and types of the feed, the event tables and the reports.
 ALERT = (
     "struct<type string, subtype string, street string, city string, "
     "pubMillis bigint, location struct<x double, y double>>"
@@ -30,8 +31,7 @@ DOCUMENT_NAMES = {
     "lon": "longitud",
 }
 
-DOCUMENT_COLUMNS = ("tipo", "subtipo", "calle", "comuna", "fecha", "latitud", "longitud")
-
+# An unknown file has at least this many columns.
 GENERIC_WIDTH = 10
 
 REPORT_SCHEMAS = {
@@ -94,6 +94,30 @@ def snapshot_dataset(name: str) -> Dataset | None:
     return next((d for d in SNAPSHOT_DATASETS if any(a in name for a in d.aliases)), None)
 
 
+# Index types of the fields that every document may have, and of the named datasets.
+COMMON_MAPPING = {"@timestamp": "date", "location": "geo_point"}
+EVENT_MAPPING = {
+    "tipo": "keyword",
+    "subtipo": "keyword",
+    "calle": "text",
+    "comuna": "keyword",
+    "fecha": "date",
+    "latitud": "float",
+    "longitud": "float",
+}
+INDEX_MAPPINGS = {
+    "no_processing_data": EVENT_MAPPING,
+    "filtered_events": EVENT_MAPPING,
+    "data_unique": EVENT_MAPPING,
+    "event_counts": {"tipo_evento": "keyword", "cantidad": "integer"},
+}
+
+
+def index_mapping(name: str) -> dict[str, str] | None:
+    """Declared field types of an indexed dataset, or None."""
+    return next((fields for key, fields in INDEX_MAPPINGS.items() if key in name), None)
+
+
 def index_schema(name: str) -> str | None:
     """DDL of an indexed dataset, or None when its columns are generic."""
     return next((ddl for key, ddl in INDEX_SCHEMAS.items() if key in name), None)

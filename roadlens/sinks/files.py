@@ -6,9 +6,11 @@ from collections.abc import Mapping
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from roadlens.functions.text import line_breaks_out
 
 INDEX_PREFIX = "incidents_"
-SINGLE_FILE_ROWS = 1_000_000
 
 
 def _csv(df: DataFrame, header: bool):
@@ -31,21 +33,22 @@ def csv_export(df: DataFrame, path: str) -> None:
 
 
 def store_delimited(df: DataFrame, path: str, quoted: bool = True) -> None:
-    """Headerless comma text. ``quoted=False`` writes the plain, ambiguous form."""
+    """Headerless comma text. ``quoted=False`` writes the plain, ambiguous form.
+
+    Line breaks inside texts are written as visible signs, which the readers turn back: a row
+    is always one line, so files of any size can be split.
+    """
     if quoted:
-        _csv(df, False).csv(path)
+        texts = {f.name: line_breaks_out(F.col(f"`{f.name}`")) for f in df.schema.fields
+                 if isinstance(f.dataType, T.StringType)}
+        _csv(df.withColumns(texts), False).csv(path)
         return
     fields = (F.coalesce(F.col(f"`{c}`").cast("string"), F.lit("")) for c in df.columns)
     df.select(F.concat_ws(",", *fields).alias("value")).write.mode("overwrite").text(path)
 
 
-def is_small(df: DataFrame, rows: int = SINGLE_FILE_ROWS) -> bool:
-    return df.limit(rows + 1).count() <= rows
-
-
-def publish(df: DataFrame, path: str, small: bool | None = None) -> None:
-    """A report as one file while it is small; a larger one keeps its partitions."""
-    single = is_small(df) if small is None else small
+def publish(df: DataFrame, path: str, single: bool = False) -> None:
+    """A report as CSV. ``single`` writes one file, which takes one task: for results known to be short."""
     _csv(df.coalesce(1) if single else df, False).csv(path)
 
 

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from roadlens.functions.text import line_breaks_in
 from roadlens.functions.typing import FLOAT_TEXT, INTEGER_TEXT
 from roadlens.schemas import GENERIC_WIDTH, POSITIONAL, index_schema, snapshot_dataset
 
@@ -33,29 +34,45 @@ def store_scan(spark: SparkSession, path: str, limit: int | None = 10,
     return (events.orderBy(*order) if order else events).limit(limit)
 
 
+def _texts(rows: DataFrame, of) -> DataFrame:
+    return rows.withColumns({f.name: of(F.col(f"`{f.name}`")) for f in rows.schema.fields
+                             if isinstance(f.dataType, T.StringType)})
+
+
 def load_positional(spark: SparkSession, path: str, quoted: bool = True,
-                    schema: str = POSITIONAL) -> DataFrame:
+                    schema: str = POSITIONAL, multi_line: bool = False) -> DataFrame:
     """Comma text by position: short rows and bad numbers become null.
 
     A header is read as a row; the validity filter drops it. With ``quoted=False``
-    quotes are ordinary characters, so a comma inside them shifts the columns.
+    quotes are ordinary characters, so a comma inside them shifts the columns. ``multi_line``
+    reads foreign files with line breaks inside quotes, a whole file per task.
     """
-    return (spark.read.schema(schema)
+    rows = (spark.read.schema(schema).option("multiLine", multi_line)
             .option("quote", '"' if quoted else "").option("escape", '"' if quoted else "\\")
             .option("mode", "PERMISSIVE").csv(path))
+    return _texts(rows, line_breaks_in) if quoted and not multi_line else rows
 
 
 def _present(column: Column) -> Column:
     return F.when(~column.isin(*MISSING_TEXTS), column)
 
 
-def _read_text_columns(spark: SparkSession, path: str, ddl: str, header: bool) -> DataFrame:
-    return (spark.read.schema(ddl).option("header", header).option("enforceSchema", True)
-            .option("escape", '"').csv(path))
+def _read_text_columns(spark: SparkSession, path: str, ddl: str, header: bool,
+                       multi_line: bool = False) -> DataFrame:
+    rows = (spark.read.schema(ddl).option("header", header).option("enforceSchema", True)
+            .option("multiLine", multi_line).option("escape", '"').csv(path))
+    return rows if multi_line else _texts(rows, line_breaks_in)
+
+
+def _width(spark: SparkSession, path: str) -> int:
+    """The most columns a line has: its commas outside quotes, and one."""
+    bare = F.regexp_replace("value", '"(?:[^"]|"")*"', "")
+    found = spark.read.text(path).agg(F.max(F.regexp_count(bare, F.lit(","))).alias("n")).first().n
+    return (found or 0) + 1
 
 
 def load_named(spark: SparkSession, path: str, name: str, side: str = "index",
-               header: bool = False) -> DataFrame:
+               header: bool = False, multi_line: bool = False) -> DataFrame:
     """A headerless CSV whose columns are called by its dataset name.
 
     ``side`` picks the names of the index or of the snapshot. A dataset the index
@@ -70,7 +87,7 @@ def load_named(spark: SparkSession, path: str, name: str, side: str = "index",
         ddl = index_schema(name)
         if ddl is None:
             return load_generic(spark, path)
-    rows = _read_text_columns(spark, path, ddl, header)
+    rows = _read_text_columns(spark, path, ddl, header, multi_line)
     present = {}
     for field in rows.schema.fields:
         column = F.col(field.name)
@@ -84,10 +101,10 @@ def load_named(spark: SparkSession, path: str, name: str, side: str = "index",
 def load_generic(spark: SparkSession, path: str, width: int = GENERIC_WIDTH) -> DataFrame:
     """An unknown headerless CSV as ``campo_0 …``; types come from one pass over all rows.
 
-    Whole numbers without gaps are bigint, other numbers and empty columns double,
+    There are as many columns as the widest line has, and at least ``width``. Whole numbers without gaps are bigint, other numbers and empty columns double,
     the rest text. The pass brings one row of counts to the driver.
     """
-    names = [f"campo_{i}" for i in range(width)]
+    names = [f"campo_{i}" for i in range(max(width, _width(spark, path)))]
     text = _read_text_columns(spark, path, ", ".join(f"{n} string" for n in names), False)
     text = text.select([_present(F.col(n)).alias(n) for n in names])
     counts = text.agg(

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import json
 import sys
 from collections.abc import Iterator
 
@@ -26,6 +25,7 @@ MAX_FILES = 1000
 
 ORDERED = ("poll bigint, pos int, tipo string, subtipo string, ubicacion string, "
            "ciudad string, hora string, lat double, lon double, clave string")
+OUT = list(EVENT_COLUMNS)
 EVENTS = ("tipo string, subtipo string, ubicacion string, ciudad string, "
           "hora string, lat double, lon double")
 
@@ -61,43 +61,46 @@ def _compact(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield rows[head | (before != rows["hora"])]
 
 
-def _emit(key: tuple, batches: Iterator[pd.DataFrame],
-          state: GroupState) -> Iterator[pd.DataFrame]:
-    """Passes decided rows on; compares open rows with the last seen ``hora`` of the key."""
-    _, route = key
-    if route:
-        for part in batches:
-            yield part[["row"]]
-        return
-    rows = [(json.loads(text), text) for part in batches for text in part["row"]]
-    rows.sort(key=lambda row: (row[0]["poll"], row[0]["pos"]))
-    seen = before = state.get[0] if state.exists else None
-    changed = []
-    for row, text in rows:
-        if row["hora"] != seen:
-            changed.append(text)
-        seen = row["tail"]
-    if seen != before:
-        state.update((seen,))
-    if changed:
-        yield pd.DataFrame({"row": changed})
-
-
-def changed_events(payloads: DataFrame) -> DataFrame:
+def _emitter(ttl_ms: int | None):
+    def emit(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        """Passes decided rows on; compares open rows with the last seen ``hora`` of the key."""
+        if state.hasTimedOut:
+            state.remove()
+            return
+        _, route = key
+        if route:
+            for part in batches:
+                yield part[OUT]
+            return
+        rows = pd.concat(list(batches), ignore_index=True)
+        if len(rows) > 1:
+            rows = rows.sort_values(["poll", "pos"], kind="stable")
+        seen = state.get[0] if state.exists else None
+        last = rows["tail"].iloc[-1]
+        if last != seen:
+            state.update((last,))
+        if ttl_ms:
+            state.setTimeoutDuration(ttl_ms)
+        changed = rows["hora"] != rows["tail"].shift(fill_value=seen)
+        if changed.any():
+            yield rows.loc[changed, OUT]
+    return emit
+
+
+def changed_events(payloads: DataFrame, ttl_seconds: int | None = None) -> DataFrame:
     """New and changed event records of a payload stream.
 
-    The open rows of a key in one micro-batch are at most one per poll and Arrow
-    batch, whatever the key's share of the rows; the admission limit of the source
-    bounds the polls. For a long backlog use the batch operator ``change_only``.
-    Rows travel as JSON text, since the cost of the function grows with its columns.
+    The open rows of a key in one micro-batch are at most one per poll and Arrow batch, whatever the
+    key's share of the rows; the admission limit of the source bounds the polls. They are compared
+    as columns. With ``ttl_seconds`` a key that was not seen for so long is forgotten, so the state
+    stays as large as what is current; its next record then counts as new.
     """
     compact = (flatten_in_order(payloads)
                .mapInPandas(_compact, ORDERED + ", tail string, route string"))
-    row = F.to_json(F.struct("poll", "pos", "tail", *EVENT_COLUMNS)).alias("row")
-    return (compact.select("clave", "route", row).groupBy("clave", "route")
-            .applyInPandasWithState(_emit, "row string",
-                                    "hora string", "append", GroupStateTimeout.NoTimeout)
-            .select(F.from_json("row", EVENTS).alias("e")).select("e.*"))
+    timeout = GroupStateTimeout.ProcessingTimeTimeout if ttl_seconds else GroupStateTimeout.NoTimeout
+    return (compact.select("clave", "route", "poll", "pos", "tail", *EVENT_COLUMNS).groupBy("clave", "route")
+            .applyInPandasWithState(_emitter(ttl_seconds and 1000 * ttl_seconds), EVENTS,
+                                    "hora string", "append", timeout))
 
 
 def start_store(events: DataFrame, store: str, checkpoint: str,
@@ -110,8 +113,9 @@ def start_store(events: DataFrame, store: str, checkpoint: str,
 
 def start_ingest(spark: SparkSession, landing: str, store: str, checkpoint: str,
                  changes_only: bool = True, available_now: bool = False,
-                 max_files: int | None = MAX_FILES, interval: str = POLL_INTERVAL) -> StreamingQuery:
+                 max_files: int | None = MAX_FILES, interval: str = POLL_INTERVAL,
+                 ttl_seconds: int | None = None) -> StreamingQuery:
     """The whole loop: poll, flatten, keep changes, append."""
     payloads = feed_stream(spark, landing, max_files=max_files)
-    events = changed_events(payloads) if changes_only else flatten_feed(payloads)
+    events = changed_events(payloads, ttl_seconds) if changes_only else flatten_feed(payloads)
     return start_store(events, store, checkpoint, available_now, interval)

@@ -69,11 +69,11 @@ def test_store_scan_limit(spark, tmp_path):
     assert sources.store_scan_all(spark, str(tmp_path / "empty"), EVENTS).count() == 0
 
 
-def test_publish_keeps_large_results_partitioned(spark, tmp_path):
+def test_publish_as_one_file_only_when_asked(spark, tmp_path):
     df = spark.range(100).repartition(4)
-    sinks.publish(df, str(tmp_path / "small"))
-    sinks.publish(df, str(tmp_path / "large"), small=sinks.is_small(df, 10))
-    assert len(part_files(tmp_path / "small")) == 1
+    sinks.publish(df, str(tmp_path / "single"), single=True)
+    sinks.publish(df, str(tmp_path / "large"))
+    assert len(part_files(tmp_path / "single")) == 1
     assert len(part_files(tmp_path / "large")) > 1
     assert spark.read.csv(str(tmp_path / "large")).count() == 100
 
@@ -178,3 +178,28 @@ def test_typing_rules(spark):
     numbers = spark.createDataFrame([(20250418, 1.5, True)], "fecha bigint, otro double, ok boolean")
     assert tuple(D.coerced(numbers).first()) == (None, "1.5", "True")
     assert D.coerced(df.select(F.col("count").alias("a.b"))).columns == ["a.b"]
+
+
+def test_generic_takes_its_width_from_the_file(spark, tmp_path):
+    (tmp_path / "x.csv").write_text('1,2\n1,2,3,4,5,6,7,8,9,10,"a,b",12\n')
+    df = sources.load_generic(spark, str(tmp_path / "x.csv"))
+    assert df.columns == [f"campo_{i}" for i in range(12)]
+    assert rows(df)[1][10:] == ("a,b", 12.0) or rows(df)[0][10:] == ("a,b", 12.0)
+
+
+def test_distinct_rows_stay_distinct_in_the_snapshot(spark):
+    data = [("A|B", "C", None), ("A", "B|C", None), ("A", "B|C", "~"), ("A", "B|C", "~")]
+    df = spark.createDataFrame(data, "a string, b string, c string")
+    saved = snapshot.kv_snapshot(df, "n").collect()
+    assert len(saved) == 3 and len({r.key for r in saved}) == 3
+
+
+def test_line_breaks_and_their_signs_survive(spark, tmp_path):
+    texts = ["Av\n1", "a\r\nb", 'q "x", y\n', "\u240a", "\u241b\u240a\n", "\u241b\u241b", "\n\n\r", "plain", None]
+    df = spark.createDataFrame([(t, i) for i, t in enumerate(texts)], "street string, n int")
+    sinks.store_delimited(df, str(tmp_path / "out"))
+    back = sources.load_positional(spark, str(tmp_path / "out"), schema="street string, n int")
+    assert rows(back) == rows(df)
+    (tmp_path / "foreign.csv").write_text('"Av\n1",7\n')
+    foreign = sources.load_positional(spark, str(tmp_path / "foreign.csv"), schema="street string, n int", multi_line=True)
+    assert rows(foreign) == [("Av\n1", 7)]

@@ -98,18 +98,28 @@ def test_upsert_keeps_the_last_value(spark):
         [("a", 3, None), (None, 1, "z")], key=repr)
 
 
-def test_offset_fetch_near_and_far_agree(spark, tables):
+def test_offset_fetch(spark, tables):
     raw = tables["raw"]
-    near = access.offset_fetch(raw, ["row_id"], 900).first()
-    spark.conf.set("spark.sql.execution.topKSortFallbackThreshold", 10)
-    try:
-        far = access.offset_fetch(raw, ["row_id"], 900).first()
-    finally:
-        spark.conf.unset("spark.sql.execution.topKSortFallbackThreshold")
-    assert near == far
+    order = sorted(r.row_id for r in raw.select("row_id").collect())
+    for skip in (0, 900):
+        assert access.offset_fetch(raw, ["row_id"], skip).first().row_id == order[skip]
     assert access.offset_fetch(raw, ["row_id"], 10**9).count() == 0
 
 
+@pytest.mark.parametrize("spacing", [1, 10**7])
+def test_chunks_follow_rows_not_numbers(spark, spacing):
+    """A third of the rows on one key; no window group exceeds a chunk by much."""
+    df = (spark.range(3000).select((F.col("id") * spacing).alias("seq"), F.when(F.col("id") % 3 == 0, "HOT").otherwise(
+        (F.col("id") % 17).cast("string")).alias("k"), (F.col("id") % 5).alias("v")))
+    cuts = ordered._cuts(df, "seq", 100)
+    sizes = [r["count"] for r in ordered._chunked(df, "seq", cuts).groupBy("_chunk").count().collect()]
+    assert 20 <= len(sizes) <= 31 and max(sizes) <= 200
+    got = rows(ordered.previous_in_key(df, ["k"], "seq", "v", 100))
+    assert got == rows(ordered.previous_in_key(df, ["k"], "seq", "v"))
+    total = ordered.running_total(df, "seq", "v", "t", 100)
+    assert rows(total) == rows(ordered.running_total(df, "seq", "v", "t"))
+
+
 def test_draws_depend_only_on_number_and_seed(spark):
     first = rows(access.draws(spark, 1000, 7))
     assert first == rows(access.draws(spark, 1000, 7).repartition(3))

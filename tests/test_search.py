@@ -72,7 +72,7 @@ def test_counts_listing_and_completeness(spark, docs):
     empty = docs.filter("false")
     frames = {"b": docs, "a": empty}
     assert [tuple(r) for r in S.index_counts(frames).collect()] == [("a", 0), ("b", docs.count())]
-    assert rows(S.sorted_listing(frames)) == [("b",)]
+    assert [r.dataset for r in S.sorted_listing(docs.sparkSession, frames).collect()] == ["a", "b"]
     check = snapshot.completeness(S.index_counts(frames), ["a", "b", "c"])
     assert {r.dataset: r.present for r in check.collect()} == {"a": False, "b": True, "c": False}
     assert rows(snapshot.is_complete(S.index_counts(frames), ["b"])) == [(True,)]
@@ -111,3 +111,22 @@ def test_missing_values_count_as_hits_only(spark):
     assert [tuple(r) for r in got] == [("hits", None, 3)]
     got = S.search(df.filter("false"), S.terms_request("t", "tipo"), AS_OF).collect()
     assert [tuple(r) for r in got] == [("hits", None, 0)]
+
+
+def test_search_orders_numbers_as_numbers(spark):
+    df = spark.createDataFrame([(k,) for k in (100, 9, 10)], "n int")
+    got = S.search(df, S.terms_request("n", "n", 2), dt.datetime(2024, 1, 1)).filter("aggregation = 'n'")
+    assert [r.key for r in got.collect()] == ["9", "10"]
+
+
+def test_one_stray_stamp_gives_many_small_tasks(spark):
+    df = spark.sql("SELECT timestamp_ntz'1970-01-01 00:00:00' AS t UNION ALL SELECT timestamp_ntz'1971-01-01 00:00:30'")
+    filled = S.date_histogram(df, "minute", "t")
+    assert filled.count() == 365 * 1440 + 1 and filled.filter("doc_count > 0").count() == 2
+    plan = filled._jdf.queryExecution().optimizedPlan().toString()
+    assert "RepartitionByExpression" in plan
+
+
+def test_report_without_a_successful_request(spark, docs, tmp_path):
+    saved = pipeline.static_report(docs, str(tmp_path), dt.datetime(2024, 1, 1), {"bad": {"size": 1}})
+    assert saved.count() == 0 and pipeline.saved_answers(spark, saved).count() == 0

@@ -103,3 +103,10 @@ def test_stream_in_several_micro_batches(live):
         live.land(alert("JAM", millis))
         live.run(max_files=1)
     assert live.run(max_files=1).count() == 3
+
+
+def test_state_function_compares_columns():
+    import inspect
+
+    source = inspect.getsource(changes)
+    assert "json.loads" not in source and "iterrows" not in source and "itertuples" not in source

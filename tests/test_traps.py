@@ -4,9 +4,10 @@ import datetime as dt
 import time
 
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from conftest import rows
-from roadlens.functions import text
+from roadlens.functions import text, typing
 from roadlens.operators import clean, dedup, reports
 from roadlens.operators import documents as D
 from roadlens.operators import search as S
@@ -174,3 +175,16 @@ def test_load_time_is_not_shifted_by_the_machine_zone(spark, monkeypatch):
     finally:
         monkeypatch.undo()
         time.tzset()
+
+
+def test_small_floats_keep_their_digits(spark):
+    df = spark.createDataFrame([(-33.4, -70.6)], "lat float, lon float")
+    point, number = df.select(typing.geo_point(F.col("lat"), F.col("lon")), typing.to_float(F.col("lat"), T.FloatType())).first()
+    assert point == "-33.4,-70.6" and number == -33.4
+
+
+def test_offsets_count_in_utc(spark):
+    texts = ["2025-04-18T12:30:05+02:00", "2025-04-18T12:30:05Z", "2025-04-18T12:30:05", "2025-04-18", "04/18/2025"]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    got = [r[0] and r[0].isoformat() for r in df.select(typing.to_date(F.col("t"), T.StringType(), ["MM/dd/yyyy"])).collect()]
+    assert got == ["2025-04-18T10:30:05", "2025-04-18T12:30:05", "2025-04-18T12:30:05", "2025-04-18T00:00:00", "2025-04-18T00:00:00"]

@@ -71,10 +71,9 @@ def _looked_up(df: DataFrame, window: int, gram: int, lengths: list[int]) -> Dat
     new = F.filter(_up_to(F.col("_n") - window),
                    lambda i: (i % span == 0) | (F.get(F.col("_min"), i) != F.get(F.col("_min"), i - 1)))
     at = "array<struct<_len:int,_start:int>>"
-    parts = [F.array(F.struct(F.lit(0), F.lit(-1))).cast(at),
-             F.transform(new, lambda i: F.struct(F.lit(window), i)).cast(at)]
-    for n in lengths:
-        parts.append(F.transform(_up_to(F.col("_n") - n), lambda i, n=n: F.struct(F.lit(n), i)).cast(at))
+    with_length = lambda n: lambda i: F.struct(F.lit(n), i)
+    parts = [F.array(F.struct(F.lit(0), F.lit(-1))).cast(at), F.transform(new, with_length(window)).cast(at)]
+    parts += [F.transform(_up_to(F.col("_n") - n), with_length(n)).cast(at) for n in lengths]
     minima = F.get(F.col("_min"), F.col("_start"))
     fp = reduce(lambda rest, n: F.when(F.col("_len") == n, _hashed("_h", n, F.col("_start"))).otherwise(rest),
                 lengths, F.when(F.col("_start") >= 0, minima))

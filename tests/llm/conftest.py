@@ -3,14 +3,6 @@ import pytest
 from pyspark.sql import functions as F
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long"
-#: Words without meaning, for made texts.
-SYLLABLES = "ka lo mi ne pu ra se ti vo xu".split()
-
-
-def prose(rng, n):
-    return " ".join("".join(rng.choice(SYLLABLES, rng.integers(1, 4))) for _ in range(n))
-
-
 @pytest.fixture
 def rng():
     return np.random.default_rng(11)

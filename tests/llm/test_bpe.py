@@ -6,7 +6,7 @@ import pytest
 import tiktoken
 
 from roadlens.llm import bpe
-from tests.llm.conftest import prose
+from llm_helpers import prose
 
 PATH = P.path("byte_bpe_50k.tiktoken")
 

@@ -5,7 +5,7 @@ import numpy as np
 import pytest
 
 from roadlens.llm import decontaminate as D
-from tests.llm.conftest import prose
+from llm_helpers import prose
 
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 

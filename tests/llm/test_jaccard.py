@@ -2,7 +2,7 @@ import numpy as np
 import pytest
 
 from roadlens.llm import jaccard as J
-from tests.llm.conftest import prose
+from llm_helpers import prose
 
 
 def shingles(text):
@@ -48,12 +48,16 @@ def families(rng, groups=8, copies=12):
     return texts + [f"{prose(rng, 30)} {passage} {prose(rng, 20)}" for _ in range(20)]
 
 
-def test_brute_force(docs, rng):
+@pytest.mark.parametrize("long", [2, 50])
+def test_brute_force(docs, rng, monkeypatch, long):
+    monkeypatch.setattr(J, "LONG", long)
     check(docs, families(rng))
 
 
-def test_long_lists_in_tiles(docs, rng, monkeypatch):
+@pytest.mark.parametrize("long", [2, 50])
+def test_long_lists_in_tiles(docs, rng, monkeypatch, long):
     monkeypatch.setattr(J, "TILE", 3)
+    monkeypatch.setattr(J, "LONG", long)
     check(docs, families(rng, 5, 20))
 
 

@@ -1,7 +1,7 @@
 import re
 
 from roadlens.llm import line_templates as L
-from tests.llm.conftest import prose
+from llm_helpers import prose
 
 
 def brute(texts, depth=3, min_tokens=5, block_tokens=12):

@@ -2,10 +2,10 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline as C
 from roadlens.llm.common import stored
-from tests.llm.conftest import prose
-from tests.llm.test_decontaminate import brute as contaminated
-from tests.llm.test_jaccard import brute as linked
-from tests.llm.test_line_templates import brute as deduped
+from llm_helpers import prose
+from test_decontaminate import brute as contaminated
+from test_jaccard import brute as linked
+from test_line_templates import brute as deduped
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 

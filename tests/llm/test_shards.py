@@ -3,7 +3,7 @@ import zlib
 from pyspark.sql import functions as F
 
 from roadlens.llm import shards as S
-from tests.llm.conftest import prose
+from llm_helpers import prose
 
 
 def check(df, texts, shards=16):

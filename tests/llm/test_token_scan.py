@@ -4,7 +4,7 @@ import pytest
 
 from roadlens.llm import token_scan as T
 from roadlens.session import scratch_path
-from tests.llm.test_bpe import PATH, library  # noqa: F401
+from test_bpe import PATH, library  # noqa: F401
 
 END = 50256
 

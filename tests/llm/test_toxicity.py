@@ -2,7 +2,7 @@ import numpy as np
 
 from roadlens.llm import queries as Q
 from roadlens.llm import toxicity as X
-from tests.llm.conftest import prose
+from llm_helpers import prose
 
 
 def labelled(spark, rng, n):

@@ -912,3 +912,58 @@ SELECT seq, rank, coalesce(ts - prev <= INTERVAL 3600 SECOND, false) AS hit FROM
 def _(spark, sf):
     return (access.ttl_access(_accesses(spark, sf), "rank", "seq", "ts", 3600)
             .select("seq", "rank", "hit"))
+
+
+# ---- snapshot of all datasets ------------------------------------------------------------
+
+# Dataset, namespace, columns as the report or table has them, names in the snapshot, rows.
+_EVENT_NAMES = "tipo subtipo calle comuna fecha latitud longitud"
+SNAPSHOT_SUITE = [
+    ("incidentes_por_comuna", "incidentes:resumen_comunas", "ciudad total cantidad_incidentes", "comuna total dummy", "incidents_by_city"),
+    ("incidentes_ciudad_tipo", "incidentes:por_ciudad", "ciudad tipo total", "comuna tipo conteo", "incidents_by_city_type"),
+    ("event_counts", "incidentes:global", "tipo total", "tipo conteo", "event_counts"),
+    ("evolucion_temporal_diaria", "analisis:evolucion_diaria", "fecha total_incidentes", "fecha cantidad", "daily_evolution"),
+    ("evolucion_por_tipo", "analisis:evolucion_tipo", "fecha tipo total", "fecha tipo_evento cantidad", "daily_evolution_by_type"),
+    ("distribucion_horaria", "incidentes:horarios", "hora_dia total_incidentes", "hora conteo", "hourly_distribution"),
+    ("picos_por_hora_tipo", "incidentes:horarios", "hora_dia tipo total", "hora tipo conteo", "hourly_peaks_by_type"),
+    ("no_processing_data", "datos:sin_procesar", " ".join(CONTENT), _EVENT_NAMES, "raw"),
+    ("filtered_events", "datos:filtrados", " ".join(CONTENT), _EVENT_NAMES, "filtered"),
+    ("data_unique", "datos:unicos", " ".join(CONTENT), _EVENT_NAMES, "uniq"),
+]
+
+
+def _suite_sql(namespace: str, columns: str, names: str, source: str) -> str:
+    pairs = list(zip(columns.split(), names.split(), strict=True))
+    number = ("total", "cantidad_incidentes", "total_incidentes", "lat", "lon")
+    fields = ", ".join(f"""'"{n}":' || """ + (f"CAST({c} AS VARCHAR)" if c in number else f"to_json({c})") for c, n in pairs)
+    body = REPORT_QUERIES[source][1] if source in REPORT_QUERIES else f"SELECT * FROM {source}"
+    return (f"SELECT DISTINCT '{namespace}' AS namespace, concat('{namespace}:', {O.content_hash(columns.split())}) AS key, "
+            f"concat('{{', concat_ws(',', {fields}), '}}') AS value FROM ({body}) s_{source}")
+
+
+@query("snapshot_suite", O.derived(" UNION ".join(_suite_sql(*rest) for _, *rest in SNAPSHOT_SUITE)))
+def _(spark, sf):
+    root = scratch_path(spark, "suite")
+    events = tables.raw(spark, sf)
+    written = pipeline.batch_reports(events, root)
+    for name, frame in {**written, "no_processing_data": events}.items():
+        sinks.store_delimited(frame.drop("row_id"), f"{root}/csv/{name}")
+    loaded = {}
+    for name, *_ in SNAPSHOT_SUITE:
+        path = f"{root}/{name}.csv" if name in REPORT_SCHEMAS else f"{root}/csv/{name}"
+        loaded[name] = sources.load_named(spark, path, name, side="snapshot")
+    return pipeline.publish_snapshot(loaded, f"{root}/snapshot").select("namespace", "key", "value")
+
+
+# ---- drawing in the engine ---------------------------------------------------------------
+
+@query("access_draws", "SELECT count(*) AS total, true AS in_bounds, true AS repeatable, true AS first_fifth FROM events")
+def _(spark, sf):
+    """Properties of as many draws as there are events: an exponential law puts 63.6 % into the first fifth."""
+    n = tables.table(spark, sf, "events").count()
+    rank = access.exponential_rank(F.col("u"), F.lit(1000))
+    drawn = access.draws(spark, n, 17).withColumn("again", access.unit_draw(F.col("seq"), 17)).withColumn("rank", rank)
+    share = F.avg((F.col("rank") < 200).cast("double"))
+    return drawn.agg(F.count(F.lit(1)).alias("total"), F.bool_and(F.col("u").between(0, 1) & (F.col("u") < 1) & F.col("rank").between(0, 999)).alias("in_bounds"),
+                     F.bool_and(F.col("u") == F.col("again")).alias("repeatable"),
+                     (F.abs(share - 0.6364) < 4 * 0.481 / F.sqrt(F.count(F.lit(1)))).alias("first_fifth"))

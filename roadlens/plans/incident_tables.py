@@ -68,16 +68,32 @@ def _incidents(spark: SparkSession, sf_dir: str) -> DataFrame:
                 .alias("pub_millis")))
 
 
+# Where ``write_derived`` has put tables: (folder of the given tables, name) to path.
+WRITTEN: dict[tuple[str, str], str] = {}
+
+
+def write_derived(spark: SparkSession, sf_dir: str, root: str) -> None:
+    """Writes raw, filtered and unique events once; the queries of this session then read them."""
+    for name, make in (("raw", raw), ("filtered", filtered), ("unique", unique)):
+        make(spark, sf_dir).write.parquet(f"{root}/{name}")
+        WRITTEN[sf_dir, name] = f"{root}/{name}"
+
+
+def _written(spark: SparkSession, sf_dir: str, name: str) -> DataFrame | None:
+    path = WRITTEN.get((sf_dir, name))
+    return spark.read.parquet(path) if path else None
+
+
 def raw(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _incidents(spark, sf_dir).drop("pub_millis")
+    return _written(spark, sf_dir, "raw") or _incidents(spark, sf_dir).drop("pub_millis")
 
 
 def filtered(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return clean_events(raw(spark, sf_dir))
+    return _written(spark, sf_dir, "filtered") or clean_events(raw(spark, sf_dir))
 
 
 def unique(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return dedup_minute(filtered(spark, sf_dir))
+    return _written(spark, sf_dir, "unique") or dedup_minute(filtered(spark, sf_dir))
 
 
 def land_feed(spark: SparkSession, sf_dir: str, path: str, writes: int = 1) -> str:

@@ -115,7 +115,12 @@ def start_ingest(spark: SparkSession, landing: str, store: str, checkpoint: str,
                  changes_only: bool = True, available_now: bool = False,
                  max_files: int | None = MAX_FILES, interval: str = POLL_INTERVAL,
                  ttl_seconds: int | None = None) -> StreamingQuery:
-    """The whole loop: poll, flatten, keep changes, append."""
+    """The whole loop: poll, flatten, keep changes, append.
+
+    A time-to-live is measured by a clock, so it needs a stream that keeps running.
+    """
+    if ttl_seconds and available_now:
+        raise ValueError("a time-to-live needs a running stream, not one that stops when it has caught up")
     payloads = feed_stream(spark, landing, max_files=max_files)
     events = changed_events(payloads, ttl_seconds) if changes_only else flatten_feed(payloads)
     return start_store(events, store, checkpoint, available_now, interval)

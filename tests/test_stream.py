@@ -110,3 +110,19 @@ def test_state_function_compares_columns():
 
     source = inspect.getsource(changes)
     assert "json.loads" not in source and "iterrows" not in source and "itertuples" not in source
+
+
+def test_a_time_to_live_needs_a_running_stream(live):
+    with pytest.raises(ValueError, match="running"):
+        live.run(ttl_seconds=60)
+
+
+def test_a_timed_out_key_is_removed():
+    class State:
+        hasTimedOut, removed = True, False
+
+        def remove(self):
+            self.removed = True
+
+    state = State()
+    assert list(changes._emitter(1000)(("k", ""), iter(()), state)) == [] and state.removed

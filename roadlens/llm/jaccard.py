@@ -4,18 +4,22 @@ A document's set is its distinct 5-word shingles, as 64-bit hashes. Equal sets a
 by a 64-bit digest of its size and members. The rest is a prefix join that skips what relations
 between sets already answer:
 
-1. Shingles are ordered by how frequent their bucket of a fixed-size count sketch is, then by hash.
-   The sketch only orders, so its collisions cost time and never results. Each set is indexed under
-   the rarest ``n - ceil(t n) + 1`` shingles; two sets that link meet in at least one list.
-2. A list is cut into size classes. Every set is compared with the first set of its class in the list
-   it shares most with (its leader). The links found make groups of highly similar sets.
-3. Lists are read again. Two sets of one group are skipped, their answer follows from the leader's;
-   so are stretches of a list whose sizes or positions cannot reach the overlap. For what is left,
-   the shared prefix shingles and the last shared positions bound the overlap, and the pairs that
-   pass are compared in full.
-4. Components of all links, by contraction.
-
-Lists longer than ``TILE`` are split into tiles that meet pairwise in different tasks. Sets are
+1. Shingles are ordered by the count of their bucket in a fixed-size sketch, then by hash. Counted are
+   shingles that repeat within about ``COUNTED`` shingles of one task, which tells passages of many
+   documents from the mass of single ones. The sketch only orders: what it misses costs time and
+   never results. Each set is indexed under the first ``n - ceil(t n) + 1`` shingles in that order;
+   two sets that link meet in at least one list.
+2. Of each list longer than ``LONG`` one set leads: the one whose own lists are longest, as the original
+   of many copies has. Every set there is compared in full with the leader it meets most often. Sets
+   similar to it by half form the leader's group and are kept as their difference to it.
+3. Within a group every pair's answer follows from the two differences, without the sets. Sets that link to
+   their leader are connected already; all others meet the whole group, tile by tile.
+4. Lists are read again for pairs of different groups that are not connected yet; stretches of a list
+   whose sizes or positions cannot reach the overlap are skipped. The shared prefix shingles
+   and the last shared positions bound the overlap, and pairs that pass are compared in full.
+5. Components of all links, by contraction.
+
+Lists and groups longer than ``TILE`` are split into tiles that meet pairwise in different tasks. Sets are
 computed from the texts when they are needed; a fixed-size filter keeps the sets of candidates.
 
 Defined results: a text without words, or null, has no shingles and is alone. Rows that repeat an id
@@ -38,8 +42,11 @@ from roadlens.llm.common import packed, stored
 SHINGLE = 5
 PERCENT = 80
 SKETCH_BITS = 20
+COUNTED = 4_000_000
 FILTER_BITS = 24
 TILE = 1000
+LONG = 50
+GROUP_PERCENT = 50
 _M1, _M2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 
 
@@ -82,28 +89,39 @@ def _summed(df: DataFrame, dtype: type, size: int, add) -> np.ndarray:
     return arrays.treeAggregate(np.zeros(size, dtype), add, add, 3)
 
 
-def _scan(docs: DataFrame) -> DataFrame:
-    """doc_id, n and set_id of each row; and per task the count sketch of its distinct sets."""
+def _scan(docs: DataFrame, bits: int) -> DataFrame:
+    """doc_id, n and set_id of each row; and per task the sketch of shingles that its distinct sets share."""
 
     def scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         words, seen = _WordHashes(), set()
-        sketch = np.zeros(1 << SKETCH_BITS, np.int64)
+        sketch = np.zeros(1 << bits, np.uint32)
+        parts: list[np.ndarray] = []
+        held = 0
+
+        def count() -> None:
+            values, often = np.unique(np.concatenate(parts), return_counts=True)
+            again = often > 1
+            np.add.at(sketch, (values[again] >> np.uint64(64 - bits)).astype(np.int64), often[again].astype(np.uint32))
+            parts.clear()
+
         for batch in batches:
             rows = []
-            parts = []
             for key, s in _sets(batch, words):
                 rows.append((len(s), key))
                 if key not in seen:
                     seen.add(key)
                     parts.append(s)
-            if parts:
-                sketch += np.bincount((np.concatenate(parts) >> np.uint64(64 - SKETCH_BITS)).astype(np.int64),
-                                      minlength=len(sketch))
+                    held += len(s)
+                    if held >= COUNTED:
+                        count()
+                        held = 0
             out = pd.DataFrame(rows, columns=["n", "set_id"])
             out.insert(0, "doc_id", batch["doc_id"].astype("Int64").to_numpy())
             yield out.assign(kind=0, sketch=None)
+        if parts:
+            count()
         yield pd.DataFrame({"doc_id": [None], "n": [0], "set_id": [0], "kind": [1],
-                            "sketch": [zlib.compress(sketch.astype(np.uint32).tobytes(), 1)]})
+                            "sketch": [zlib.compress(sketch.tobytes(), 1)]})
 
     return docs.mapInPandas(scan, "doc_id long, n long, set_id long, kind int, sketch binary")
 
@@ -112,18 +130,18 @@ def _prefix(n: int | np.ndarray, percent: int) -> int | np.ndarray:
     return n - (percent * n + 99) // 100 + 1
 
 
-def _index(docs: DataFrame, sketch, percent: int) -> DataFrame:
-    """Prefix entries: token, size class, set, size and position."""
+def _index(docs: DataFrame, sketch, bits: int, percent: int) -> DataFrame:
+    """Prefix entries: token, set, size and position."""
 
     def entries(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         words, seen = _WordHashes(), set()
-        counts = sketch.value.astype(np.uint64)
+        counts = sketch.value
         for batch in batches:
             tokens, keys, sizes, lengths = [], [], [], []
             for key, s in _sets(batch, words):
                 if len(s) and key not in seen:
                     seen.add(key)
-                    rank = counts[s >> np.uint64(64 - SKETCH_BITS)] << np.uint64(32) | s & np.uint64(0xFFFFFFFF)
+                    rank = counts[s >> np.uint64(64 - bits)].astype(np.uint64) << np.uint64(32) | s & np.uint64(0xFFFFFFFF)
                     p = _prefix(len(s), percent)
                     tokens.append(s[np.argsort(rank, kind="stable")[:p]])
                     keys.append(key)
@@ -133,47 +151,53 @@ def _index(docs: DataFrame, sketch, percent: int) -> DataFrame:
                 n = np.repeat(sizes, lengths)
                 yield pd.DataFrame({
                     "token": np.concatenate(tokens).view(np.int64), "set_id": np.repeat(keys, lengths), "n": n,
-                    "class": np.floor(np.log(n) / -np.log(percent / 100) + 1e-9).astype(np.int32),
                     "pos": np.concatenate([np.arange(p) for p in lengths])})
 
-    return docs.mapInPandas(entries, "token long, set_id long, n int, class int, pos int")
+    return docs.mapInPandas(entries, "token long, set_id long, n int, pos int")
 
 
 def _lists(entries: DataFrame) -> DataFrame:
+    """Without the entries of lists with one set only, and without copies from several tasks."""
+
     def shared(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         held: pd.DataFrame | None = None  # the last row, until the next one is seen
-        first = (0, 0, 0)  # token, class and set of the run that is under way
         alone = True  # whether the held row's token was not seen before it
-
-        def take(rows: pd.DataFrame, token_after: int | None) -> Iterator[pd.DataFrame]:
-            nonlocal first, alone
-            token, size, key = (rows[c].to_numpy() for c in ("token", "class", "set_id"))
-            before = np.concatenate([[not alone], token[1:] == token[:-1]])
-            after = np.concatenate([token[1:] == token[:-1], [token_after is not None and token_after == token[-1]]])
-            begins = np.concatenate([[first[:2] != (token[0], size[0])], (token[1:] != token[:-1]) | (size[1:] != size[:-1])])
-            at = np.maximum.accumulate(np.where(begins, np.arange(len(token)), -1))
-            leader = np.where(at >= 0, key[at], first[2])
-            first = (token[-1], size[-1], leader[-1])
-            alone = not after[-1]
-            keep = before | after
-            if keep.any():
-                yield rows[keep].assign(leader=leader[keep])
-
         for batch in batches:
             rows = batch if held is None else pd.concat([held, batch], ignore_index=True)
-            rows = rows.drop_duplicates(["token", "set_id"], ignore_index=True)  # copies from several tasks
-            if len(rows) > 1:
-                yield from take(rows.iloc[:-1], rows["token"].iloc[-1])
-            held = rows.iloc[-1:] if len(rows) else held
-        if held is not None and len(held):
-            yield from take(held, None)
+            token, key = rows["token"].to_numpy(), rows["set_id"].to_numpy()
+            new = np.ones(len(rows), bool)
+            new[1:] = (token[1:] != token[:-1]) | (key[1:] != key[:-1])
+            rows, token = rows[new], token[new]
+            if not len(rows):
+                continue
+            same = token[1:] == token[:-1]
+            before = np.concatenate([[not alone], same])
+            keep = before[:-1] | same
+            if keep.any():
+                yield rows[:-1][keep]
+            held, alone = rows[-1:], not before[-1]
+        if held is not None and not alone:
+            yield held
+
+    return (entries.repartition("token").sortWithinPartitions("token", "set_id")
+            .mapInPandas(shared, "token long, set_id long, n int, pos int"))
+
 
-    return (entries.repartition("token").sortWithinPartitions("token", "class", "set_id")
-            .mapInPandas(shared, "token long, set_id long, n int, class int, pos int, leader long"))
+def _leaders(lists: DataFrame) -> DataFrame:
+    """set_id and the leader that most of its long lists have, itself perhaps."""
+    long = lists.join(lists.groupBy("token").agg(F.count(F.lit(1)).alias("m")).filter(F.col("m") > LONG), "token")
+    weight = long.groupBy("set_id").agg(F.sum("m").alias("weight"))
+    lead = (long.join(weight, "set_id").groupBy("token")
+            .agg(F.max(F.struct("weight", "set_id"))["set_id"].alias("leader")))
+    return (long.join(lead, "token").groupBy("set_id", "leader").agg(F.sum("m").alias("m"))
+            .groupBy("set_id").agg(F.max_by("leader", F.struct("m", "leader")).alias("leader")))
 
 
-def _verified(docs: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
-    """Of pairs a, b of sets those that link: 100 |a and b| >= percent |a or b|."""
+def _compared(docs: DataFrame, pairs: DataFrame, percent: int, keep: int = 0) -> DataFrame:
+    """Pairs a, b of sets that link (100 |a and b| >= percent |a or b|), or reach ``keep`` percent.
+
+    With the size of a, the places in a that b lacks, and what only b has (both empty without ``keep``).
+    """
     sc = docs.sparkSession.sparkContext
     size = 1 << (FILTER_BITS - 3)
 
@@ -203,16 +227,74 @@ def _verified(docs: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
 
     def compare(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            ok = []
-            for x, y in zip(batch["x"], batch["y"], strict=True):
+            out = []
+            for a, b, x, y in batch.itertuples(index=False):
                 x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
-                both = len(x) + len(y) - len(np.union1d(x, y))
-                ok.append(100 * both >= percent * (len(x) + len(y) - both))
-            yield batch.loc[ok, ["a", "b"]]
+                in_y = np.isin(x, y, assume_unique=True)
+                both = int(in_y.sum())
+                either = len(x) + len(y) - both
+                if 100 * both >= (keep or percent) * either:
+                    lacks, more = np.flatnonzero(~in_y).astype(np.uint64), np.setdiff1d(y, x, assume_unique=True)
+                    out.append((a, b, 100 * both >= percent * either, len(x), *((lacks.tobytes(), more.tobytes()) if keep else (b"", b""))))
+            yield pd.DataFrame(out, columns=["a", "b", "linked", "na", "lacks", "more"])
 
     return (pairs.join(sets.select(F.col("set_id").alias("a"), F.col("members").alias("x")), "a")
             .join(sets.select(F.col("set_id").alias("b"), F.col("members").alias("y")), "b")
-            .select("a", "b", "x", "y").mapInPandas(compare, "a long, b long"))
+            .select("a", "b", "x", "y").mapInPandas(compare, "a long, b long, linked boolean, na long, lacks binary, more binary"))
+
+
+def _overlaps(rows: pd.DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """Sizes of a leader's sets, and of all their intersections, from their differences to the leader."""
+    lacks = [np.frombuffer(x, np.uint64) for x in rows["lacks"]]
+    more = [np.frombuffer(x, np.uint64) for x in rows["more"]]
+    na = rows["na"].to_numpy()
+    common = na - np.array([len(x) for x in lacks])
+    both = (common[:, None] + common[None, :] - na[:, None]).astype(np.float64)
+    for part in (lacks, more):
+        at = np.repeat(np.arange(len(part)), [len(x) for x in part])
+        values, which, often = np.unique(np.concatenate(part), return_inverse=True, return_counts=True)
+        place = np.cumsum(often > 1) - 1  # only what two sets differ in alike counts for a pair
+        use = often[which] > 1
+        at, column = at[use], place[which[use]]
+        for first in range(0, int((often > 1).sum()), 4096):
+            mine = (column >= first) & (column < first + 4096)
+            grid = np.zeros((len(part), 4096), np.float32)
+            grid[at[mine], column[mine] - first] = 1
+            both += grid @ grid.T
+    return common + np.array([len(x) for x in more]), both
+
+
+def _spanning(names: np.ndarray, linked: np.ndarray) -> pd.DataFrame:
+    """Each name with the first of its component, where that is another."""
+    label = np.arange(len(names))
+    while True:
+        least = np.minimum(label, np.where(linked, label[None, :], len(names)).min(axis=1, initial=len(names)))
+        if (least == label).all():
+            break
+        label = least[least]
+    other = label != np.arange(len(names))
+    return pd.DataFrame({"a": names[label[other]], "b": names[other]})
+
+
+def _inside_groups(members: DataFrame, percent: int) -> DataFrame:
+    """Links that connect the sets of one leader's group as far as they link; a, b."""
+    tiles = (members.groupBy("a").agg(F.ceil(F.count_if(~F.col("linked")) / TILE).cast("int").alias("open"),
+                                      F.ceil(F.count_if("linked") / TILE).cast("int").alias("done"))
+             .filter("open > 0"))
+    placed = members.join(tiles, "a")
+    tile = F.when(F.col("linked"), F.col("open") + F.pmod(F.xxhash64("b"), F.greatest("done", F.lit(1)))).otherwise(
+        F.pmod(F.xxhash64("b"), F.col("open"))).cast("int")
+    others = F.when(F.col("linked"), F.sequence(F.lit(0), F.col("open") - 1)).otherwise(
+        F.sequence(F.lit(0), F.col("open") + F.col("done") - 1))
+    rows = (placed.withColumn("tile", tile).withColumn("other", F.explode(others))
+            .select("a", F.least("tile", "other").alias("t1"), F.greatest("tile", "other").alias("t2"), "b", "na", "lacks", "more"))
+
+    def meet(rows: pd.DataFrame) -> pd.DataFrame:
+        n, both = _overlaps(rows)
+        linked = 100 * both >= percent * (n[:, None] + n[None, :] - both)
+        return _spanning(rows["b"].to_numpy(), linked)
+
+    return rows.groupBy("a", "t1", "t2").applyInPandas(meet, "a long, b long")
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -243,21 +325,23 @@ def components(edges: DataFrame) -> DataFrame:
     return roots
 
 
-def _pairs(lists: DataFrame, groups: DataFrame, percent: int) -> DataFrame:
-    """Pairs of sets of different groups whose prefixes still allow a link."""
+def _pairs(lists: DataFrame, groups: DataFrame, roots: DataFrame, percent: int) -> DataFrame:
+    """Pairs of sets of different groups, not connected yet, whose prefixes still allow a link."""
     hot = (lists.groupBy("token").count().filter(F.col("count") > TILE)
            .select("token", F.ceil(F.col("count") / TILE).cast("int").alias("tiles")))
     tile = F.pmod(F.xxhash64("set_id"), F.coalesce("tiles", F.lit(1))).cast("int")
-    rows = (lists.join(hot, "token", "left").join(groups, "set_id", "left")
+    known = groups.join(roots, "set_id", "full")
+    rows = (lists.join(hot, "token", "left").join(known, "set_id", "left")
             .withColumn("tile", tile)
             .withColumn("other", F.explode(F.sequence(F.lit(0), F.coalesce("tiles", F.lit(1)) - 1)))
             .select("token", F.least("tile", "other").alias("t1"), F.greatest("tile", "other").alias("t2"),
-                    "set_id", "n", "pos", "tile", F.coalesce("root", "set_id").alias("root")))
+                    "set_id", "n", "pos", "tile", F.coalesce("grp", "set_id").alias("grp"), F.coalesce("root", "set_id").alias("root")))
     by = ["token", "t1", "t2"]
 
     def meet(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         def pairs(rows: pd.DataFrame) -> Iterator[pd.DataFrame]:
-            token, t1, t2, tile, key, n, pos, root = (rows[c].to_numpy() for c in (*by, "tile", "set_id", "n", "pos", "root"))
+            token, t1, t2, tile, key, n, pos, grp, root = (
+                rows[c].to_numpy() for c in (*by, "tile", "set_id", "n", "pos", "grp", "root"))
             starts = (token[1:] != token[:-1]) | (t1[1:] != t1[:-1]) | (t2[1:] != t2[:-1])
             group = np.concatenate([[0], np.cumsum(starts)])
             n = n.astype(np.int64)
@@ -270,7 +354,7 @@ def _pairs(lists: DataFrame, groups: DataFrame, percent: int) -> DataFrame:
                 i, j = live, live + d
                 need = -(-percent * (n[i] + n[j]) // (100 + percent))
                 reach = np.minimum(pos[i], pos[j]) + np.minimum(n[i] - pos[i], n[j] - pos[j])
-                ok = (root[i] != root[j]) & (reach >= need)
+                ok = (root[i] != root[j]) & (grp[i] != grp[j]) & (reach >= need)
                 ok &= (t1[i] == t2[i]) | (tile[i] != tile[j])  # pairs within a tile meet where both tiles are it
                 if ok.any():
                     i, j = i[ok], j[ok]
@@ -300,28 +384,30 @@ def _pairs(lists: DataFrame, groups: DataFrame, percent: int) -> DataFrame:
     return found.filter((F.col("c") + rest) * (100 + percent) >= percent * (F.col("na") + F.col("nb"))).select("a", "b")
 
 
-def links(docs: DataFrame, percent: int = PERCENT) -> tuple[DataFrame, DataFrame]:
-    """The rows' sets (doc_id, n, set_id) and the links between different sets (a, b).
+def links(docs: DataFrame, percent: int = PERCENT, sketch_bits: int = SKETCH_BITS) -> tuple[DataFrame, DataFrame]:
+    """The rows' sets (doc_id, n, set_id) and links between different sets (a, b).
 
-    Links between sets that one leader answers for are given by their links to it.
+    The links connect all sets that link, directly or by others; not every link is listed.
     """
     sc = docs.sparkSession.sparkContext
     docs = docs.select(F.col("doc_id").cast("long"), "text")
-    scanned = stored(_scan(docs), "sets")
-    sketch = _summed(scanned.filter("kind = 1").select("sketch"), np.uint32, 1 << SKETCH_BITS, np.add)
-    lists = stored(_lists(_index(docs, sc.broadcast(sketch), percent)), "lists")
+    scanned = stored(_scan(docs, sketch_bits), "sets")
+    sketch = _summed(scanned.filter("kind = 1").select("sketch"), np.uint32, 1 << sketch_bits, np.add)
+    lists = stored(_lists(_index(docs, sc.broadcast(sketch), sketch_bits, percent)), "lists")
 
-    best = (lists.filter("set_id != leader").groupBy("set_id", "leader").count()
-            .groupBy("set_id").agg(F.max_by("leader", "count").alias("leader")))
-    near = stored(_verified(docs, best.select(F.col("leader").alias("a"), F.col("set_id").alias("b")), percent), "links")
-    pairs = stored(_pairs(lists, components(near), percent), "pairs")
-    rest = _verified(docs, pairs, percent)
-    return scanned.filter("kind = 0").select("doc_id", "n", "set_id"), stored(near.union(rest), "links")
+    best = stored(_leaders(lists).filter("set_id != leader").select(F.col("leader").alias("a"), F.col("set_id").alias("b")), "leaders")
+    members = stored(_compared(docs, best, percent, GROUP_PERCENT), "members")
+    inside = members.filter("linked").select("a", "b").union(_inside_groups(members, percent))
+    inside = stored(inside, "links")
+    groups = members.select(F.col("b").alias("set_id"), F.col("a").alias("grp"))
+    pairs = stored(_pairs(lists, groups, components(inside), percent), "pairs")
+    rest = _compared(docs, pairs, percent).select("a", "b")
+    return scanned.filter("kind = 0").select("doc_id", "n", "set_id"), stored(inside.union(rest), "links")
 
 
-def link_components(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
+def link_components(docs: DataFrame, percent: int = PERCENT, sketch_bits: int = SKETCH_BITS) -> DataFrame:
     """Per row of ``docs``: doc_id, n_shingles and component_id, the smallest doc_id that links reach."""
-    sets, found = links(docs, percent)
+    sets, found = links(docs, percent, sketch_bits)
     least = sets.filter("n > 0").groupBy("set_id").agg(F.min("doc_id").alias("first_id"))
     root = least.join(components(found), "set_id", "left").withColumn("root", F.coalesce("root", "set_id"))
     named = root.join(root.groupBy("root").agg(F.min("first_id").alias("component_id")), "root").select("set_id", "component_id")
@@ -329,9 +415,9 @@ def link_components(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
         "doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"))
 
 
-def keep_first(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
+def keep_first(docs: DataFrame, percent: int = PERCENT, sketch_bits: int = SKETCH_BITS) -> DataFrame:
     """``docs`` without the documents whose component has a smaller id. Rows without an id stay."""
-    later = (link_components(docs, percent).filter("doc_id != component_id")
+    later = (link_components(docs, percent, sketch_bits).filter("doc_id != component_id")
              .select(F.col("doc_id").alias("_id")).distinct())
     alone, rest = packed(docs, "doc_id", "text")
     return alone.join(later, F.col("doc_id") == F.col("_id"), "left_anti").select(*rest.values())

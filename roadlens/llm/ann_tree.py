@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from roadlens.llm.common import stored
+from roadlens.llm.common import sampled, stored
 
 SAMPLE = 20_000
 BRANCHES = 10
@@ -116,7 +116,7 @@ def valid(vectors: DataFrame, vec_id: str = "vec_id", embedding: str = "embeddin
 
 
 def fit(rows: DataFrame, sample: int = SAMPLE, seed: int = 7) -> Tree:
-    picked = rows.orderBy(F.xxhash64("vec_id"), "vec_id").limit(sample).select("embedding").toPandas()
+    picked = sampled(rows, sample, "vec_id").select("embedding").toPandas()
     tree = Tree()
     tree.add(_unit(picked["embedding"]) if len(picked) else np.zeros((0, 1)), np.random.default_rng(seed))
     return tree
@@ -174,7 +174,7 @@ def exact(queries: pd.DataFrame, rows: DataFrame, k: int) -> DataFrame:
 
 def calibrate(tree: Tree, index: DataFrame, k: int, probes: int = PROBES, target: float = TARGET) -> int:
     """The number of leaves to visit so that ``target`` of the probes' true neighbours are found."""
-    asked = index.orderBy(F.xxhash64("vec_id", F.lit(1)), "vec_id").limit(probes).select("vec_id", "embedding").toPandas()
+    asked = sampled(index, probes, "vec_id", F.lit(1)).select("vec_id", "embedding").toPandas()
     if not len(asked):
         return 1
     near = exact(asked, index, k)

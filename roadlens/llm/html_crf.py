@@ -26,7 +26,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from roadlens.llm.common import packed
+from roadlens.llm.common import packed, sampled
 
 SAMPLE = 300
 MADE = 400
@@ -304,8 +304,7 @@ def fit(labelled: list[tuple[list[Block], list[int]]], epochs: int = EPOCHS, pen
 
 
 def train(pages: DataFrame, page_id: str = "page_id", column: str = "html", sample: int = SAMPLE, made: int = MADE, seed: int = 5) -> Field:
-    some = (pages.filter(F.length(column) > 0).select(F.col(column).alias("html"), F.xxhash64(page_id, column).alias("h"))
-            .orderBy("h").limit(sample).select("html").toPandas())
+    some = sampled(pages.filter(F.length(column) > 0).select(page_id, F.col(column).alias("html")), sample, page_id, "html").toPandas()
     return fit(_labelled(some["html"].tolist(), made, seed))
 
 

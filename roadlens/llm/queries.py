@@ -81,9 +81,9 @@ def op7_label_propagation(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query("op2_kneser_ney")
 def op2_kneser_ney(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    labels = table(spark, sf_dir, "labels").select("doc_id", "toxic")
     crc = fold(F.col("doc_id"), 1 << 32)
-    labelled = docs.join(labels, "doc_id").withColumn("part", F.floor(crc / 5) % 4).filter(crc % 5 != 0)
+    learned = table(spark, sf_dir, "labels").filter(crc % 5 != 0)
+    labelled = toxicity.with_labels(docs, learned).withColumn("part", F.floor(crc / 5) % 4)
     model, curve = toxicity.train(labelled)
     scored = toxicity.score(docs, model, curve).withColumn("held_out", crc % 5 == 0)
     return scored.select("doc_id", "held_out", "score", "predicted", "ordinary_ll", "toxic_ll")

@@ -26,7 +26,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from roadlens.llm.common import packed
+from roadlens.llm.common import packed, sampled
 from roadlens.llm.language_id import _codes
 
 ORDER = 5
@@ -34,6 +34,7 @@ SHARED = 3
 GRAM_BITS, CONTEXT_BITS, SHARED_BITS = 22, 20, 18
 TOP = 5
 CALIBRATION = 4000
+BROADCAST_ROWS = 2_000_000
 PIECE = 400_000
 
 
@@ -215,10 +216,21 @@ def _logistic(x: np.ndarray, y: np.ndarray, penalty: float = 1e-2) -> tuple[np.n
     return w, mean, scale
 
 
+def with_labels(docs: DataFrame, labels: DataFrame, broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
+    """doc_id, text and toxic of the labelled documents.
+
+    Up to ``broadcast_rows`` labels (of 16 bytes) are broadcast; with more, both sides are shuffled.
+    """
+    labels = labels.select("doc_id", F.col("toxic").cast("int").alias("toxic")).filter("toxic IN (0, 1)")
+    side = F.broadcast(labels) if labels.count() <= broadcast_rows else labels
+    return docs.select("doc_id", "text").filter("text IS NOT NULL").join(side, "doc_id")
+
+
 def train(labelled: DataFrame, calibration: int = CALIBRATION) -> tuple[dict[str, np.ndarray], tuple | None]:
     """From text, toxic and a number ``part``: counts on all rows but those of part 0, which fit the curve."""
     model = fit(count(labelled.filter("part != 0")))
-    held = labelled.filter("part = 0 AND text IS NOT NULL AND toxic IN (0, 1)").orderBy(F.xxhash64("text"), "toxic").limit(calibration)
+    held = labelled.filter("part = 0 AND text IS NOT NULL AND toxic IN (0, 1)")
+    held = sampled(held, calibration, "text", "toxic")
     x = features(held.select("text", "toxic"), model).select("found.*", "toxic").toPandas()
     y = x.pop("toxic").to_numpy().astype(float)
     curve = _logistic(x[list(COMPARED)].to_numpy(), y) if 0 < y.sum() < len(y) else None

@@ -64,3 +64,11 @@ def test_awkward(spark, docs, awkward, rng):
 def test_no_labels(spark, docs):
     empty = spark.createDataFrame([], "doc_id long, text string, toxic int, part int")
     assert [r.score for r in X.score(docs(["a", None]), *X.train(empty)).collect()] == [0.0, 0.0]
+
+
+def test_labels_are_joined_either_way(spark, docs):
+    df = docs([(1, "a"), (1, "a"), (2, "b"), (3, None), (None, "c")], extra=True)
+    labels = spark.createDataFrame([(1, 1), (2, None), (3, 0), (None, 1), (7, 1), (1, 1), (2, 5)], "doc_id long, toxic int")
+    for rows in (0, 100):
+        got = sorted(tuple(r) for r in X.with_labels(df, labels, rows).collect())
+        assert got == [(1, "a", 1)] * 4

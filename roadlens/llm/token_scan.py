@@ -20,12 +20,13 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import tiktoken
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from roadlens.llm.bpe import _ranks, vocabulary
+from roadlens.llm.bpe import _ranks, _slices, vocabulary
 
 BLOCK_TOKENS = 1 << 19
 _encodings: dict[tuple[bytes, str], tiktoken.Encoding] = {}
@@ -41,15 +42,15 @@ def write_tokens(docs: DataFrame, folder: str, vocabulary_path: str, pattern: st
     """Writes the texts' token ids, little-endian, ``width`` bytes each, with ``end_id`` after each text."""
     file = docs.sparkSession.sparkContext.broadcast(vocabulary(vocabulary_path))
 
-    @F.pandas_udf("binary")
-    def tokens(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    def tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoding = _encoding(file.value, pattern)
-        for batch in batches:
-            yield pd.Series([encoding.encode_to_numpy(t or "").astype(f"<u{width}").tobytes() for t in batch])
+        for batch in _slices(batches):
+            ids = (encoding.encode_to_numpy(t or "") for t in batch.column("text").to_pylist())
+            yield pa.RecordBatch.from_arrays([pa.array([x.astype(f"<u{width}").tobytes() for x in ids], pa.binary())], names=["value"])
 
     # The text writer puts a value's bytes and then the line separator, here the separator's bytes.
     end = end_id.to_bytes(width, "little").decode("latin-1")
-    (docs.select(F.coalesce(tokens("text"), F.lit(b"")).cast("string").alias("value"))
+    (docs.select("text").mapInArrow(tokens, "value binary").select(F.col("value").cast("string"))
      .write.option("lineSep", end).option("encoding", "ISO-8859-1").text(folder))
 
 

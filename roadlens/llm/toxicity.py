@@ -10,7 +10,8 @@ A text's log-likelihoods under both models are compared per character over the w
 word for the ``TOP`` words that speak most for toxic, since a few expressions in a long text are
 diluted otherwise and a single one may be chance. A logistic curve over these differences, none of
 which grows with the text's length alone, gives the score; it is fitted on at most ``CALIBRATION``
-labelled texts that the counts have not seen.
+labelled texts of a held part, scored by counts of all other labelled texts. The model that scores then
+counts the held part too.
 
 Defined results: null and empty texts score as texts with all differences 0. Labels that are null or of
 unknown documents teach nothing; a document labelled twice counts twice. Without labels of either class
@@ -114,10 +115,17 @@ def _discount(counts: np.ndarray) -> float:
     return float(min(max(once / (once + 2 * twice), 0.1), 0.9)) if once else 0.5
 
 
-def fit(grams: DataFrame) -> dict[str, np.ndarray]:
+def _added(some: pd.DataFrame, more: pd.DataFrame) -> pd.DataFrame:
+    """The counts of two gathered tables of ``count`` together."""
+    both = pd.concat([some, more]).groupby("gram")
+    about = ["context", "tri", "pair", "last"]
+    return pd.concat([both[about].min(), both[["ordinary", "toxic"]].sum()], axis=1).reset_index()
+
+
+def fit(grams: DataFrame | pd.DataFrame) -> dict[str, np.ndarray]:
     """The model's arrays, at most 2 ** GRAM_BITS rows whatever the corpus: log-likelihoods of known
     n-grams (ordinary, toxic), of falling back from a context, and of the shared model."""
-    g = grams.toPandas()
+    g = grams if isinstance(grams, pd.DataFrame) else grams.toPandas()
     # Shared model: continuation counts over distinct n-grams, trigram to unigram to uniform.
     types = g.groupby("tri").agg(n=("gram", "size"), pair=("pair", "first"), last=("last", "first")).reset_index()
     uni = _sums(types["last"].to_numpy(), np.ones(len(types)), 1 << 16)
@@ -227,14 +235,15 @@ def with_labels(docs: DataFrame, labels: DataFrame, broadcast_rows: int = BROADC
 
 
 def train(labelled: DataFrame, calibration: int = CALIBRATION) -> tuple[dict[str, np.ndarray], tuple | None]:
-    """From text, toxic and a number ``part``: counts on all rows but those of part 0, which fit the curve."""
-    model = fit(count(labelled.filter("part != 0")))
+    """From text, toxic and a number ``part``: counts on all rows, and a curve fitted on part 0 against the counts of the others."""
+    others = count(labelled.filter("NOT (part <=> 0)")).toPandas()
+    model = fit(others)
     held = labelled.filter("part = 0 AND text IS NOT NULL AND toxic IN (0, 1)")
     held = sampled(held, calibration, "text", "toxic")
     x = features(held.select("text", "toxic"), model).select("found.*", "toxic").toPandas()
     y = x.pop("toxic").to_numpy().astype(float)
     curve = _logistic(x[list(COMPARED)].to_numpy(), y) if 0 < y.sum() < len(y) else None
-    return model, curve
+    return fit(_added(others, count(labelled.filter("part = 0")).toPandas())), curve
 
 
 def score(docs: DataFrame, model: dict[str, np.ndarray], curve: tuple | None) -> DataFrame:

@@ -72,3 +72,15 @@ def test_labels_are_joined_either_way(spark, docs):
     for rows in (0, 100):
         got = sorted(tuple(r) for r in X.with_labels(df, labels, rows).collect())
         assert got == [(1, "a", 1)] * 4
+
+
+def test_held_part_is_counted(spark, rng):
+    """An expression that only the held part has is known to the model that scores."""
+    rows = labelled(spark, rng, 400) + [(1000 + i, prose(rng, 40) + " vrimbax" * 3, 1, 0) for i in range(20)]
+    schema = "doc_id long, text string, toxic int, part int"
+    model, curve = X.train(spark.createDataFrame(rows, schema))
+    whole = X.fit(X.count(spark.createDataFrame(rows, schema)))
+    codes = np.array([ord(c) for c in "     vrimbax"], np.uint32)
+    ordinary, toxic = X.likelihoods(codes, model)
+    assert toxic[9:].min() > -1 and (toxic - ordinary)[5:].sum() > 0
+    assert all(np.allclose(a, b, atol=0.05) for a, b in zip(X.likelihoods(codes, whole), (ordinary, toxic), strict=True))

@@ -10,24 +10,26 @@ A text's log-likelihoods under both models are compared per character over the w
 word for the ``TOP`` words that speak most for toxic, since a few expressions in a long text are
 diluted otherwise and a single one may be chance. A logistic curve over these differences, none of
 which grows with the text's length alone, gives the score; it is fitted on at most ``CALIBRATION``
-labelled texts of a held part, scored by counts of all other labelled texts. The model that scores then
-counts the held part too.
+distinct texts of each class from a held part, each class weighted back to its number of distinct texts there, scored
+by counts of all other labelled texts. The model that scores then counts the held part too. If no part
+can be held with both classes on both sides, the score is the logistic of ``GAP_WEIGHT`` times the mean difference per character.
 
 Defined results: null and empty texts score as texts with all differences 0. Labels that are null or of
-unknown documents teach nothing; a document labelled twice counts twice. Without labels of either class
+unknown documents teach nothing; a document labelled twice counts twice. Without labels of both classes
 every score is 0. Texts are read whole. Columns besides doc_id and text (and toxic) are ignored.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from roadlens.llm.common import packed, sampled
+from roadlens.llm.common import packed, sampled, stored
 from roadlens.llm.language_id import _codes
 
 ORDER = 5
@@ -35,6 +37,7 @@ SHARED = 3
 GRAM_BITS, CONTEXT_BITS, SHARED_BITS = 22, 20, 18
 TOP = 5
 CALIBRATION = 4000
+GAP_WEIGHT = 50.0
 BROADCAST_ROWS = 2_000_000
 PIECE = 400_000
 
@@ -210,14 +213,14 @@ def features(docs: DataFrame, model: dict[str, np.ndarray]) -> DataFrame:
     return docs.withColumn("found", measure("text"))
 
 
-def _logistic(x: np.ndarray, y: np.ndarray, penalty: float = 1e-2) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Newton's method; returns weights (the first is the bias), means and scales."""
+def _logistic(x: np.ndarray, y: np.ndarray, each: np.ndarray, penalty: float = 1e-2) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Newton's method on rows that count ``each`` times; returns weights (the first is the bias), means and scales."""
     mean, scale = x.mean(axis=0), np.maximum(x.std(axis=0), 1e-9)
     z = np.column_stack([np.ones(len(x)), (x - mean) / scale])
     w = np.zeros(z.shape[1])
     for _ in range(50):
         p = 1 / (1 + np.exp(-np.clip(z @ w, -30, 30)))
-        step = np.linalg.solve((z * (p * (1 - p))[:, None]).T @ z + penalty * np.eye(len(w)), z.T @ (y - p) - penalty * w)
+        step = np.linalg.solve((z * (each * p * (1 - p))[:, None]).T @ z + penalty * np.eye(len(w)), z.T @ (each * (y - p)) - penalty * w)
         w += step
         if np.abs(step).max() < 1e-8:
             break
@@ -234,16 +237,40 @@ def with_labels(docs: DataFrame, labels: DataFrame, broadcast_rows: int = BROADC
     return docs.select("doc_id", "text").filter("text IS NOT NULL").join(side, "doc_id")
 
 
+def _drawn(held: DataFrame, n: int) -> DataFrame:
+    """Of the text and toxic of ``held``, at most ``n`` distinct texts a class, and in ``each`` how many one stands for."""
+    rows = held.withColumn("_hash", F.xxhash64("text"))
+    keys = stored(rows.select("_hash", "toxic").distinct(), "held")
+    few = [sampled(keys.filter(F.col("toxic") == r["toxic"]), n, "_hash").withColumn("each", F.lit(max(1.0, r["count"] / n)))
+           for r in keys.groupBy("toxic").count().collect()]
+    if not few:
+        return held.withColumn("each", F.lit(1.0))
+    return rows.join(F.broadcast(reduce(DataFrame.unionByName, few)), ["_hash", "toxic"]).dropDuplicates(["_hash", "toxic"]).drop("_hash")
+
+
 def train(labelled: DataFrame, calibration: int = CALIBRATION) -> tuple[dict[str, np.ndarray], tuple | None]:
-    """From text, toxic and a number ``part``: counts on all rows, and a curve fitted on part 0 against the counts of the others."""
-    others = count(labelled.filter("NOT (part <=> 0)")).toPandas()
-    model = fit(others)
-    held = labelled.filter("part = 0 AND text IS NOT NULL AND toxic IN (0, 1)")
-    held = sampled(held, calibration, "text", "toxic")
-    x = features(held.select("text", "toxic"), model).select("found.*", "toxic").toPandas()
-    y = x.pop("toxic").to_numpy().astype(float)
-    curve = _logistic(x[list(COMPARED)].to_numpy(), y) if 0 < y.sum() < len(y) else None
-    return fit(_added(others, count(labelled.filter("part = 0")).toPandas())), curve
+    """From text, toxic and a number ``part``: counts on all rows, and a curve fitted on part 0 against the counts of the others.
+
+    If part 0 or the others lack a class, the curve is fitted on the smallest other part for which neither side does.
+    """
+    rows = labelled.filter("text IS NOT NULL AND toxic IN (0, 1)").select("text", F.col("toxic").cast("int").alias("toxic"), "part")
+    both = lambda counts: counts["ordinary"].any() and counts["toxic"].any()
+    others, own = (count(rows.filter(c)).toPandas() for c in ("NOT (part <=> 0)", "part = 0"))
+    whole, part = _added(others, own), 0
+    if not both(whole):
+        return fit(whole), None
+    if not (both(others) and both(own)):
+        by = rows.groupBy("part").agg(F.sum("toxic").alias("toxic"), F.count(F.lit(1)).alias("n"))
+        all_toxic, n = by.agg(F.sum("toxic"), F.sum("n")).first()
+        part = by.filter(F.col("toxic").between(1, all_toxic - 1) & (F.col("n") - F.col("toxic")).between(1, n - all_toxic - 1)).agg(F.min("part")).first()[0]
+        if part is None:  # the tiny bias leaves a text without any difference below one half
+            k = len(COMPARED)
+            return fit(whole), (np.array([-1e-6, GAP_WEIGHT, *[0.0] * (k - 1)]), np.zeros(k), np.ones(k))
+        others = count(rows.filter(~F.col("part").eqNullSafe(F.lit(part)))).toPandas()
+    held = rows.filter(F.col("part") == part).select("text", "toxic")
+    x = features(_drawn(held, calibration), fit(others)).select("found.*", "toxic", "each").toPandas()
+    y, each = x.pop("toxic").to_numpy().astype(float), x.pop("each").to_numpy()
+    return fit(whole), _logistic(x[list(COMPARED)].to_numpy(), y, each)
 
 
 def score(docs: DataFrame, model: dict[str, np.ndarray], curve: tuple | None) -> DataFrame:

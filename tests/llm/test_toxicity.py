@@ -84,3 +84,31 @@ def test_held_part_is_counted(spark, rng):
     ordinary, toxic = X.likelihoods(codes, model)
     assert toxic[9:].min() > -1 and (toxic - ordinary)[5:].sum() > 0
     assert all(np.allclose(a, b, atol=0.05) for a, b in zip(X.likelihoods(codes, whole), (ordinary, toxic), strict=True))
+
+
+def test_curve_is_drawn_by_class(spark, rng):
+    """A few toxic texts beside many ordinary ones, and one text in many copies, are still in the curve's sample."""
+    rows = [r for r in labelled(spark, rng, 500) if r[3] != 0 or not r[2]]
+    toxic = [prose(rng, 40) + " zwart qwob grunzel" * 2 for _ in range(3)]
+    held = [(1000 + i, "the same ordinary text", 0, 0) for i in range(300)] + [(2000 + i, t, 1, 0) for i, t in enumerate(toxic)]
+    df = spark.createDataFrame(rows + held, "doc_id long, text string, toxic int, part int")
+    drawn = X._drawn(df.filter("part = 0").select("text", "toxic"), 10).collect()
+    assert {r.text for r in drawn if r.toxic} == set(toxic) and len({r.text for r in drawn if not r.toxic}) == 10 == len(drawn) - 3
+    ordinary = {r[1] for r in rows + held if r[3] == 0 and not r[2]}
+    assert np.isclose(sum(r.each for r in drawn if not r.toxic), len(ordinary))
+
+
+def test_held_part_without_toxic_texts(spark, rng):
+    rows = [r for r in labelled(spark, rng, 300) if r[3] != 0 or not r[2]]
+    trained = X.train(spark.createDataFrame(rows, "doc_id long, text string, toxic int, part int"))
+    fresh = labelled(spark, rng, 100)
+    got = X.score(spark.createDataFrame(fresh, "doc_id long, text string, toxic int, part int"), *trained).collect()
+    assert np.mean([r.predicted == r.toxic for r in got]) >= 0.9
+
+
+def test_one_toxic_text(spark, docs, rng):
+    """No part can be held: the mean difference decides, and a text without any is not toxic."""
+    rows = [(i, prose(rng, 40), 0, i % 4) for i in range(40)] + [(99, "zwart qwob grunzel " * 5, 1, 0)]
+    trained = X.train(spark.createDataFrame(rows, "doc_id long, text string, toxic int, part int"))
+    got = {r.doc_id: r for r in X.score(docs([rows[-1][1], rows[0][1], None]), *trained).collect()}
+    assert got[0].score > 0.5 > got[2].score > 0 and got[0].score > got[1].score > 0

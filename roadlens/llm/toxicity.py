@@ -3,8 +3,9 @@
 Texts are lower-cased, everything but letters becomes a space, and every character is predicted from the
 four before it. The highest order is counted for toxic and for ordinary texts apart. What both discount
 goes to one shared backoff model, Kneser-Ney continuation counts of both classes together, so an
-expression that neither class knows says nothing for either. With n-grams hashed to a fixed number of
-buckets, the model is a few bounded arrays; the counts in it cover every labelled text.
+expression that neither class knows says nothing for either. n-grams up to three characters are
+counted under the characters themselves, longer ones under 64-bit hashes of them, so none share a count. The
+model is gathered and broadcast: it grows with the distinct n-grams of the labelled texts, and so covers all of them.
 
 A text's log-likelihoods under both models are compared per character over the whole text, and per
 word for the ``TOP`` words that speak most for toxic, since a few expressions in a long text are
@@ -34,29 +35,70 @@ from roadlens.llm.language_id import _codes
 
 ORDER = 5
 SHARED = 3
-GRAM_BITS, CONTEXT_BITS, SHARED_BITS = 22, 20, 18
+CHARACTER = 21  # bits of a code point
+LAST = (1 << CHARACTER) - 1
 TOP = 5
 CALIBRATION = 4000
 GAP_WEIGHT = 50.0
 BROADCAST_ROWS = 2_000_000
 PIECE = 400_000
+HELD_ROWS = 1_000_000
 
 
-def _hashes(codes: np.ndarray) -> dict[int, np.ndarray]:
-    """For n = 1 to ORDER: the hash of the n characters that end at each place."""
-    out = {}
-    h = np.zeros(len(codes), np.uint32)
-    factor = np.uint32(1)
-    for n in range(1, ORDER + 1):
-        shifted = np.concatenate([np.full(n - 1, 32, np.uint32), codes[:len(codes) - n + 1]])
-        factor = np.uint32(int(factor) * 0x9E3779B1 & 0xFFFFFFFF)
-        h = h + (shifted + np.uint32(1)) * factor
-        out[n] = (h ^ (h >> np.uint32(15))) * np.uint32(0x85EBCA6B)
-    return out
+def _mixed(x: np.ndarray) -> np.ndarray:
+    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return x ^ (x >> np.uint64(31))
+
 
+def _keys(codes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Per place, the keys of the ORDER characters that end there, of those before the last, and of the last SHARED.
 
-def _bucket(h: np.ndarray, bits: int) -> np.ndarray:
-    return (h ^ (h >> np.uint32(13))) * np.uint32(0xC2B2AE35) >> np.uint32(32 - bits)
+    The last key holds its three characters, the last one lowest; the other two are hashes.
+    """
+    c = codes.astype(np.uint64)
+    ago = [c, *[np.concatenate([np.full(k, 32, np.uint64), c])[:len(c)] for k in range(1, ORDER)]]
+    bits = np.uint64(CHARACTER)
+    tri = ago[0] | ago[1] << bits | ago[2] << (bits + bits)
+    context = _mixed((ago[1] | ago[2] << bits | ago[3] << (bits + bits)) + _mixed(ago[4] + np.uint64(1)))
+    gram = _mixed(context + ago[0] * np.uint64(0x9E3779B97F4A7C15))
+    return gram.view(np.int64), context.view(np.int64), tri.view(np.int64)
+
+
+class _Places:
+    """Places of distinct 64-bit keys, by open addressing at a load of at most one half."""
+
+    def __init__(self, keys: np.ndarray):
+        self.keys = keys
+        self.bits = max(4, (2 * len(keys)).bit_length())
+        self.slots = np.full(1 << self.bits, -1, np.int32)
+        todo, at = np.arange(len(keys), dtype=np.int32), self._home(keys)
+        while len(todo):
+            free = self.slots[at] < 0
+            self.slots[at[free]] = todo[free]
+            left = self.slots[at] != todo
+            todo, at = todo[left], self._next(at[left])
+
+    def _home(self, keys: np.ndarray) -> np.ndarray:
+        return (keys.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(64 - self.bits)).astype(np.int64)
+
+    def _next(self, at: np.ndarray) -> np.ndarray:
+        return (at + 1) & (len(self.slots) - 1)
+
+    def of(self, asked: np.ndarray) -> np.ndarray:
+        """The place of each asked key, -1 if it is not there."""
+        at = self._home(asked)
+        out = self.slots[at]
+        if not len(self.keys):
+            return out
+        todo = np.flatnonzero((out >= 0) & (self.keys[out] != asked))
+        at = at[todo]
+        while len(todo):
+            at = self._next(at)
+            out[todo] = got = self.slots[at]
+            left = (got >= 0) & (self.keys[got] != asked[todo])
+            todo, at = todo[left], at[left]
+        return out
 
 
 def _squeezed(text: str) -> np.ndarray:
@@ -82,31 +124,46 @@ def _packed(texts: Iterator[tuple[int, str]]) -> Iterator[tuple[np.ndarray, list
         yield np.concatenate(codes), starts, names
 
 
+GRAM = ["gram", "context", "tri"]
+
+
+def _added(parts: list[pd.DataFrame]) -> pd.DataFrame:
+    """The counts of several tables of n-grams together."""
+    counts = pd.concat(parts, ignore_index=True).groupby("gram", sort=False)
+    return pd.concat([counts[GRAM[1:]].first(), counts[["ordinary", "toxic"]].sum()], axis=1).reset_index()
+
+
 def count(labelled: DataFrame) -> DataFrame:
-    """text and toxic to n-gram buckets: gram, context, shared n-gram, shared context, last, ordinary, toxic."""
+    """text and toxic to distinct n-grams: keys of n-gram, context and shared n-gram, ordinary, toxic."""
 
     def grams(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        counts = np.zeros((2, 1 << GRAM_BITS), np.int32)
-        about = np.zeros((4, 1 << GRAM_BITS), np.int32)
+        parts, n = [], 0
         for batch in batches:
             for label, texts in batch.groupby("toxic")["text"]:
                 for codes, _, _ in _packed((0, t) for t in texts):
-                    h = _hashes(codes)
-                    gram = _bucket(h[ORDER], GRAM_BITS)
-                    counts[int(label)] += np.bincount(gram, minlength=1 << GRAM_BITS).astype(np.int32)
-                    before = {n: np.concatenate([[np.uint32(0)], h[n][:-1]]) for n in (ORDER - 1, SHARED - 1)}
-                    about[0][gram] = _bucket(before[ORDER - 1], CONTEXT_BITS)
-                    about[1][gram] = _bucket(h[SHARED], SHARED_BITS)
-                    about[2][gram] = _bucket(before[SHARED - 1], SHARED_BITS)
-                    about[3][gram] = codes.astype(np.int32) & 0xFFFF
-        at = np.flatnonzero(counts.any(axis=0))
-        yield pd.DataFrame({"gram": at.astype(np.int32), "context": about[0][at], "tri": about[1][at], "pair": about[2][at],
-                            "last": about[3][at], "ordinary": counts[0][at].astype(np.int64), "toxic": counts[1][at].astype(np.int64)})
+                    gram, context, tri = _keys(codes)
+                    gram, at, times = np.unique(gram, return_index=True, return_counts=True)
+                    none = np.zeros(len(gram), np.int64)
+                    parts.append(pd.DataFrame({"gram": gram, "context": context[at], "tri": tri[at],
+                                               "ordinary": none if label else times, "toxic": times if label else none}))
+                    n += len(gram)
+                    if n >= HELD_ROWS:
+                        parts = [_added(parts)]
+                        n = len(parts[0])
+                        if 2 * n >= HELD_ROWS:
+                            yield parts[0]
+                            parts, n = [], 0
+        if parts:
+            yield _added(parts)
 
     rows = labelled.select("text", F.col("toxic").cast("int").alias("toxic")).filter("text IS NOT NULL AND toxic IN (0, 1)")
-    found = rows.mapInPandas(grams, "gram int, context int, tri int, pair int, last int, ordinary long, toxic long")
-    about = [F.min(c).alias(c) for c in ("context", "tri", "pair", "last")]
-    return found.groupBy("gram").agg(*about, F.sum("ordinary").alias("ordinary"), F.sum("toxic").alias("toxic"))
+    found = rows.mapInPandas(grams, "gram long, context long, tri long, ordinary long, toxic long")
+    return found.groupBy(*GRAM).agg(F.sum("ordinary").alias("ordinary"), F.sum("toxic").alias("toxic"))
+
+
+def _gathered(grams: DataFrame) -> pd.DataFrame:
+    """The table of n-grams, 40 bytes a row, as Arrow columns rather than rows."""
+    return grams.toArrow().to_pandas()
 
 
 def _sums(keys: np.ndarray, values: np.ndarray, size: int) -> np.ndarray:
@@ -118,71 +175,71 @@ def _discount(counts: np.ndarray) -> float:
     return float(min(max(once / (once + 2 * twice), 0.1), 0.9)) if once else 0.5
 
 
-def _added(some: pd.DataFrame, more: pd.DataFrame) -> pd.DataFrame:
-    """The counts of two gathered tables of ``count`` together."""
-    both = pd.concat([some, more]).groupby("gram")
-    about = ["context", "tri", "pair", "last"]
-    return pd.concat([both[about].min(), both[["ordinary", "toxic"]].sum()], axis=1).reset_index()
-
-
-def fit(grams: DataFrame | pd.DataFrame) -> dict[str, np.ndarray]:
-    """The model's arrays, at most 2 ** GRAM_BITS rows whatever the corpus: log-likelihoods of known
-    n-grams (ordinary, toxic), of falling back from a context, and of the shared model."""
-    g = grams if isinstance(grams, pd.DataFrame) else grams.toPandas()
+def fit(grams: DataFrame | pd.DataFrame) -> dict:
+    """The model: places and log-likelihoods of known n-grams (ordinary, toxic), of falling back from a
+    context, and of the shared model."""
+    g = grams if isinstance(grams, pd.DataFrame) else _gathered(grams)
     # Shared model: continuation counts over distinct n-grams, trigram to unigram to uniform.
-    types = g.groupby("tri").agg(n=("gram", "size"), pair=("pair", "first"), last=("last", "first")).reset_index()
-    uni = _sums(types["last"].to_numpy(), np.ones(len(types)), 1 << 16)
-    uni = (uni + 0.5) / (uni.sum() + 0.5 * (1 << 16)) if len(types) else np.full(1 << 16, 2.0 ** -16)
-    d = _discount(types["n"].to_numpy())
-    total = _sums(types["pair"].to_numpy(), types["n"].to_numpy(), 1 << SHARED_BITS)
-    kinds = _sums(types["pair"].to_numpy(), np.ones(len(types)), 1 << SHARED_BITS)
-    fall = np.where(total > 0, d * kinds / np.maximum(total, 1), 1.0)
-    shared = np.zeros(1 << SHARED_BITS)
-    pair = types["pair"].to_numpy()
-    shared[types["tri"]] = (np.maximum(types["n"].to_numpy() - d, 0) / np.maximum(total[pair], 1)
-                            + fall[pair] * uni[types["last"]])
-    model = {"shared": np.log(np.maximum(shared, 1e-30)).astype(np.float32), "known_tri": shared > 0,
-             "fall": np.log(fall).astype(np.float32), "uni": np.log(uni).astype(np.float32)}
-    gram, context = g["gram"].to_numpy(), g["context"].to_numpy()
+    tris, tri = np.unique(g["tri"].to_numpy(), return_inverse=True)
+    pairs, pair = np.unique(tris >> CHARACTER, return_inverse=True)
+    last = tris & LAST
+    uni = np.bincount(last, minlength=LAST + 1) + 2.0 ** 15 / (LAST + 1)
+    uni = uni / uni.sum()
+    n = np.bincount(tri, minlength=len(tris))
+    d = _discount(n)
+    total, kinds = _sums(pair, n, len(pairs)), _sums(pair, np.ones(len(tris)), len(pairs))
+    fall = d * kinds / np.maximum(total, 1)
+    shared = np.maximum(n - d, 0) / np.maximum(total[pair], 1) + fall[pair] * uni[last]
+    contexts, context = np.unique(g["context"].to_numpy(), return_inverse=True)
+    model = {"grams": _Places(g["gram"].to_numpy()), "contexts": _Places(contexts), "tris": _Places(tris), "pairs": _Places(pairs),
+             "shared": _log(shared), "fall": _log(fall), "uni": _log(uni)}
     both = {"ordinary": g["ordinary"].to_numpy().astype(float), "toxic": g["toxic"].to_numpy().astype(float)}
 
     def smoothed(n: np.ndarray, back: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Probabilities of the known n-grams, and the weight of falling back by context."""
         d = _discount(n)
-        total = _sums(context, n, 1 << CONTEXT_BITS)
-        kinds = _sums(context, n > 0, 1 << CONTEXT_BITS)
+        total, kinds = _sums(context, n, len(contexts)), _sums(context, n > 0, len(contexts))
         weight = np.where(total > 0, d * kinds / np.maximum(total, 1), 1.0)
         return np.maximum(n - d, 0) / np.maximum(total[context], 1) + weight[context] * back, weight
 
-    pooled, pooled_weight = smoothed(both["ordinary"] + both["toxic"], shared[g["tri"]])
+    pooled, pooled_weight = smoothed(both["ordinary"] + both["toxic"], shared[tri])
     for name, n in both.items():
         known, weight = smoothed(n, pooled)
-        model[name] = np.full(1 << GRAM_BITS, np.nan, np.float32)
-        model[name][gram] = np.log(known)
-        model[f"{name}_back"] = np.log(weight * pooled_weight).astype(np.float32)
+        model[name], model[f"{name}_back"] = _log(known), _log(weight * pooled_weight)
     return model
 
 
-def likelihoods(codes: np.ndarray, model: dict[str, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+def _log(p: np.ndarray) -> np.ndarray:
+    return np.log(np.maximum(p, 1e-30)).astype(np.float32)
+
+
+def likelihoods(codes: np.ndarray, model: dict) -> tuple[np.ndarray, np.ndarray]:
     """Per place, the log-likelihood of its character under the ordinary and the toxic model."""
-    h = _hashes(codes)
-    before = {n: np.concatenate([[np.uint32(0)], h[n][:-1]]) for n in (ORDER - 1, SHARED - 1)}
-    gram, context = _bucket(h[ORDER], GRAM_BITS), _bucket(before[ORDER - 1], CONTEXT_BITS)
-    tri = _bucket(h[SHARED], SHARED_BITS)
-    low = np.where(model["known_tri"][tri], model["shared"][tri],
-                   model["fall"][_bucket(before[SHARED - 1], SHARED_BITS)] + model["uni"][codes & np.uint32(0xFFFF)])
+    gram, context, tri = _keys(codes)
+    gram = model["grams"].of(gram)
+    new = np.flatnonzero(gram < 0)
+    context, tri = model["contexts"].of(context[new]), tri[new]
+    pair, shared = model["pairs"].of(tri >> CHARACTER), model["tris"].of(tri)
+    low = _looked_up(model["fall"], pair) + model["uni"][tri & LAST]
+    low = np.where(shared < 0, low, _looked_up(model["shared"], shared))
     out = []
     for name in ("ordinary", "toxic"):
-        seen = model[name][gram]
-        out.append(np.where(np.isnan(seen), model[f"{name}_back"][context] + low, seen))
+        found = _looked_up(model[name], gram)
+        found[new] = _looked_up(model[f"{name}_back"], context) + low
+        out.append(found)
     return out[0], out[1]
 
 
+def _looked_up(values: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """The logarithms at known places, 0 at unknown ones."""
+    return np.where(at < 0, np.float32(0), values[at]) if len(values) else np.zeros(len(at), np.float32)
+
+
 COMPARED = ("mean_gap", *[f"word_{i}" for i in range(1, TOP + 1)])
 FEATURES = ("ordinary_ll", "toxic_ll", *COMPARED)
 
 
-def _features(texts: list[str | None], model: dict[str, np.ndarray]) -> np.ndarray:
+def _features(texts: list[str | None], model: dict) -> np.ndarray:
     out = np.zeros((len(texts), len(FEATURES)))
     for codes, starts, names in _packed((i, t) for i, t in enumerate(texts) if t):
         ordinary, toxic = likelihoods(codes, model)
@@ -201,7 +258,7 @@ def _features(texts: list[str | None], model: dict[str, np.ndarray]) -> np.ndarr
     return out
 
 
-def features(docs: DataFrame, model: dict[str, np.ndarray]) -> DataFrame:
+def features(docs: DataFrame, model: dict) -> DataFrame:
     """Adds the struct ``found`` of length-normalised log-likelihoods and their differences."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
@@ -248,15 +305,15 @@ def _drawn(held: DataFrame, n: int) -> DataFrame:
     return rows.join(F.broadcast(reduce(DataFrame.unionByName, few)), ["_hash", "toxic"]).dropDuplicates(["_hash", "toxic"]).drop("_hash")
 
 
-def train(labelled: DataFrame, calibration: int = CALIBRATION) -> tuple[dict[str, np.ndarray], tuple | None]:
+def train(labelled: DataFrame, calibration: int = CALIBRATION) -> tuple[dict, tuple | None]:
     """From text, toxic and a number ``part``: counts on all rows, and a curve fitted on part 0 against the counts of the others.
 
     If part 0 or the others lack a class, the curve is fitted on the smallest other part for which neither side does.
     """
     rows = labelled.filter("text IS NOT NULL AND toxic IN (0, 1)").select("text", F.col("toxic").cast("int").alias("toxic"), "part")
     both = lambda counts: counts["ordinary"].any() and counts["toxic"].any()
-    others, own = (count(rows.filter(c)).toPandas() for c in ("NOT (part <=> 0)", "part = 0"))
-    whole, part = _added(others, own), 0
+    others, own = (_gathered(count(rows.filter(c))) for c in ("NOT (part <=> 0)", "part = 0"))
+    whole, part = _added([others, own]), 0
     if not both(whole):
         return fit(whole), None
     if not (both(others) and both(own)):
@@ -266,14 +323,14 @@ def train(labelled: DataFrame, calibration: int = CALIBRATION) -> tuple[dict[str
         if part is None:  # the tiny bias leaves a text without any difference below one half
             k = len(COMPARED)
             return fit(whole), (np.array([-1e-6, GAP_WEIGHT, *[0.0] * (k - 1)]), np.zeros(k), np.ones(k))
-        others = count(rows.filter(~F.col("part").eqNullSafe(F.lit(part)))).toPandas()
+        others = _gathered(count(rows.filter(~F.col("part").eqNullSafe(F.lit(part)))))
     held = rows.filter(F.col("part") == part).select("text", "toxic")
     x = features(_drawn(held, calibration), fit(others)).select("found.*", "toxic", "each").toPandas()
     y, each = x.pop("toxic").to_numpy().astype(float), x.pop("each").to_numpy()
     return fit(whole), _logistic(x[list(COMPARED)].to_numpy(), y, each)
 
 
-def score(docs: DataFrame, model: dict[str, np.ndarray], curve: tuple | None) -> DataFrame:
+def score(docs: DataFrame, model: dict, curve: tuple | None) -> DataFrame:
     """``docs`` with ordinary_ll and toxic_ll (per character), score and predicted in place of columns of these names."""
     alone, rest = packed(docs, "text")
     measured = features(alone, model)

@@ -112,3 +112,16 @@ def test_one_toxic_text(spark, docs, rng):
     trained = X.train(spark.createDataFrame(rows, "doc_id long, text string, toxic int, part int"))
     got = {r.doc_id: r for r in X.score(docs([rows[-1][1], rows[0][1], None]), *trained).collect()}
     assert got[0].score > 0.5 > got[2].score > 0 and got[0].score > got[1].score > 0
+
+
+def test_ngrams_of_many_alphabets_keep_their_own_counts(spark, rng):
+    """More distinct n-grams than any small table of buckets holds; one character is beyond 16 bits."""
+    texts = ["".join(map(chr, rng.integers(0x4E00, 0x9F00, 20_000))) + chr(0x20000 + i) for i in range(25)]
+    grams = X.count(spark.createDataFrame([(t, i % 2) for i, t in enumerate(texts)], "text string, toxic int")).toPandas()
+    codes = [np.concatenate([np.full(X.ORDER, 32), X._squeezed(t)]) for t in texts]
+    want = {tuple(c[max(i - 4, 0):i + 1]) for c in codes for i in range(5, len(c))}
+    assert abs(len(grams) - len(want)) <= 10 * len(texts)  # and those of the padding
+    assert (grams["ordinary"] + grams["toxic"]).sum() == sum(map(len, codes))
+    model = X.fit(grams)
+    assert (model["grams"].of(grams["gram"].to_numpy()) == np.arange(len(grams))).all()
+    assert (model["grams"].of(rng.integers(-2 ** 62, 2 ** 62, 10_000)) == -1).all()

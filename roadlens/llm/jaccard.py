@@ -416,8 +416,24 @@ def link_components(docs: DataFrame, percent: int = PERCENT, sketch_bits: int =
 
 
 def keep_first(docs: DataFrame, percent: int = PERCENT, sketch_bits: int = SKETCH_BITS) -> DataFrame:
-    """``docs`` without the documents whose component has a smaller id. Rows without an id stay."""
-    later = (link_components(docs, percent, sketch_bits).filter("doc_id != component_id")
-             .select(F.col("doc_id").alias("_id")).distinct())
+    """One row of each component, the one with the smallest id. Rows without an id or without words stay.
+
+    A row is known by its doc_id and text together: of equal rows one stays, and rows that share only an
+    id are decided each by its own text.
+    """
+    key = F.xxhash64("doc_id", "text")
+    sets, found = links(docs.select(key.alias("doc_id"), "text"), percent, sketch_bits)
+    ids = docs.filter("doc_id IS NOT NULL").select(key.alias("_key"), F.col("doc_id").alias("_id")).distinct()
+    rows = sets.filter("n > 0").groupBy(F.col("doc_id").alias("_key"), "set_id").agg(F.count(F.lit(1)).alias("_rows"))
+    named = (rows.join(ids, "_key").join(components(found), "set_id", "left")
+             .select("_key", "_id", "_rows", F.coalesce("root", "set_id").alias("root")))
+    first = (named.groupBy("root").agg(F.min(F.struct("_id", "_key"))["_key"].alias("_first"), F.sum("_rows").alias("_all"))
+             .filter("_all > 1").drop("_all"))
+    fate = (named.join(first, "root").select("_key", (F.col("_key") != F.col("_first")).alias("_later"), "_rows")
+            .filter("_later OR _rows > 1"))
+    fate = stored(fate, "fate")
     alone, rest = packed(docs, "doc_id", "text")
-    return alone.join(later, F.col("doc_id") == F.col("_id"), "left_anti").select(*rest.values())
+    marked = alone.withColumn("_key", key)
+    once = marked.join(fate.select("_key"), "_key", "left_anti")
+    repeated = marked.join(fate.filter("NOT _later").select("_key"), "_key").dropDuplicates(["_key"])
+    return once.unionByName(repeated).select(*rest.values())

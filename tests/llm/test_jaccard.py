@@ -95,6 +95,16 @@ def test_keep_first(docs, rng):
     assert sorted((r.doc_id for r in kept.collect()), key=repr) == [2, 4, None]
 
 
+def test_keep_first_decides_by_row(docs, rng):
+    """Equal rows leave one; of rows that share an id only the copy goes; rows without id or words stay."""
+    text, own = prose(rng, 50), prose(rng, 50)
+    alone = prose(rng, 30)
+    rows = [(2, text), (2, text), (7, text), (7, own), (8, alone), (8, alone), (8, alone), (None, own), (None, own), (9, ""), (9, "")]
+    kept = J.keep_first(docs(rows, extra=True), sketch_bits=10)
+    got = sorted(((r.doc_id, r.text) for r in kept.collect()), key=repr)
+    assert got == sorted([(2, text), (7, own), (8, alone), (None, own), (None, own), (9, ""), (9, "")], key=repr)
+
+
 @pytest.mark.parametrize("text", ["a b\x0bc\x1cd", "É é A a", "x y z"])
 def test_words(text):
     n = len(J.shingle_set(" ".join([text] * 3), J._WordHashes()))

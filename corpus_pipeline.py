@@ -30,9 +30,9 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Recurring lines go, and documents of which nothing is left; ``n_chars`` follows the text."""
+    """Recurring lines of any length go, and documents of which nothing is left; ``n_chars`` follows the text."""
     alone, rest = packed(docs, "doc_id", "text", "n_chars")
-    found = line_templates.drop_recurring(alone).filter("n_dropped = 0 OR trim(text) != ''")
+    found = line_templates.drop_recurring(alone, whole=True).filter("n_dropped = 0 OR trim(text) != ''")
     n = F.when(F.col("n_dropped") > 0, F.length("text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars"))
     return found.select(*[n.alias("n_chars") if c == "n_chars" else rest[c] for c in docs.columns])
 

@@ -6,7 +6,9 @@ for lines of ``block_tokens`` tokens or more, if they are equal but for one of t
 which the tokens behind the leading ones are cut; that block is the template's variable field.
 
 A template that occurs in two documents or more is recurring: its lines stay in the document with the
-smallest id and are dropped from all others. Lines of fewer than ``min_tokens`` tokens always stay.
+smallest id and are dropped from all others. Lines of fewer than ``min_tokens`` tokens always stay,
+unless ``whole`` is set: then every line but an empty one counts, a short one by its exact text without
+outer spaces, and characters of scripts written without spaces are tokens of their own.
 
 Only the smallest and largest document of a leaf or template are kept, so a line found in a third of
 all documents is one row per task before any shuffle. Lines go on to the templates only if their leaf
@@ -29,6 +31,7 @@ MIN_TOKENS = 5
 BLOCK_TOKENS = 12
 BLOCKS = 4
 _LAST_ID = (1 << 63) - 1
+_UNSPACED = r"[\p{IsHan}\p{IsHiragana}\p{IsKatakana}\p{IsThai}\p{IsLao}\p{IsKhmer}\p{IsMyanmar}]"
 
 
 def _tokens(line: Column) -> Column:
@@ -36,6 +39,11 @@ def _tokens(line: Column) -> Column:
     return F.split(F.regexp_replace(masked, r"^\s+|\s+$", ""), r"\s+")
 
 
+def _spaced(line: Column) -> Column:
+    """Every character of a script without spaces between spaces."""
+    return F.when(line.rlike(_UNSPACED), F.regexp_replace(line, f"({_UNSPACED})", " $1 ")).otherwise(line)
+
+
 def template_keys(tokens: Column, depth: int = DEPTH, block_tokens: int = BLOCK_TOKENS) -> tuple[Column, Column]:
     """Leaf key and template keys of a line's tokens."""
     n = F.size(tokens)
@@ -57,15 +65,28 @@ def _marked(docs: DataFrame) -> DataFrame:
 
 
 def recurring_lines(docs: DataFrame, depth: int = DEPTH, min_tokens: int = MIN_TOKENS,
-                    block_tokens: int = BLOCK_TOKENS) -> DataFrame:
+                    block_tokens: int = BLOCK_TOKENS, whole: bool = False) -> DataFrame:
     """The lines to drop: _id, _key of the row and _line, its place in the text from 0."""
     def keyed(tokens: Column, line: Column) -> Column:
         leaf, keys = template_keys(tokens, depth, block_tokens)
         return F.struct(line.alias("_line"), F.size(tokens).alias("_n"), leaf.alias("_leaf"), keys.alias("_keys"))
 
-    tokens = F.transform(F.split("text", "\n"), _tokens)
-    lines = _marked(docs.select("doc_id", "text")).select("_id", "_key", F.inline(F.transform(tokens, keyed)))
-    lines = stored(lines.filter(F.col("_n") >= min_tokens).drop("_n"), "lines")  # read four times, the texts once
+    def body(line: Column) -> Column:
+        return F.struct(_tokens(_spaced(line)).alias("tokens"), F.regexp_replace(line, r"^\s+|\s+$", "").alias("exact"))
+
+    def any_keyed(body: Column, line: Column) -> Column:
+        tokens, exact = body["tokens"], body["exact"]
+        leaf, keys = template_keys(tokens, depth, block_tokens)
+        alone = F.size(tokens) < min_tokens
+        by_text = F.xxhash64(F.lit("exact"), exact)
+        return F.struct(line.alias("_line"), F.length(exact).alias("_n"), F.when(alone, by_text).otherwise(leaf).alias("_leaf"),
+                        F.when(alone, F.array(by_text)).otherwise(keys).alias("_keys"))
+
+    split = F.split("text", "\n")
+    found = F.transform(F.transform(split, body), any_keyed) if whole else F.transform(F.transform(split, _tokens), keyed)
+    lines = _marked(docs.select("doc_id", "text")).select("_id", "_key", F.inline(found))
+    lines = lines.filter(F.col("_n") >= (1 if whole else min_tokens)).drop("_n")
+    lines = stored(lines, "lines")  # read four times, the texts once
 
     def several(df: DataFrame, *by: str) -> DataFrame:
         return (df.groupBy(*by).agg(F.min("_id").alias("_first"), F.max("_id").alias("_last"))
@@ -78,9 +99,9 @@ def recurring_lines(docs: DataFrame, depth: int = DEPTH, min_tokens: int = MIN_T
 
 
 def drop_recurring(docs: DataFrame, depth: int = DEPTH, min_tokens: int = MIN_TOKENS,
-                   block_tokens: int = BLOCK_TOKENS) -> DataFrame:
+                   block_tokens: int = BLOCK_TOKENS, whole: bool = False) -> DataFrame:
     """``docs`` with recurring lines taken out of ``text``, and n_lines and n_dropped in place of columns of these names."""
-    gone = (recurring_lines(docs, depth, min_tokens, block_tokens)
+    gone = (recurring_lines(docs, depth, min_tokens, block_tokens, whole)
             .groupBy("_id", "_key").agg(F.collect_list("_line").alias("_gone")))
     lines = F.split("text", "\n")
     kept = F.filter(lines, lambda _, i: ~F.array_contains("_gone", i))

@@ -71,3 +71,11 @@ def test_repeated_ids_are_one_document(docs):
 def test_main_path_is_native(docs):
     plan = L.drop_recurring(docs(["a b c d e"]))._jdf.queryExecution().executedPlan().toString()
     assert not any(x in plan for x in ("Python", "Pandas", "Arrow", "CartesianProduct", "NestedLoop"))
+
+
+def test_whole_has_no_shortest_line(docs, rng):
+    han = "".join(map(chr, rng.integers(0x4E00, 0x9F00, 40)))
+    texts = [f"first own line\nAll rights reserved.\n\nPage 3\n{han}", f"second one\n All rights reserved. \n\nPage 7\n{han[:20]}変変{han[22:]}", "Page 3\n" + han]
+    got = sorted((r.doc_id, r.text) for r in L.drop_recurring(docs(texts), whole=True).collect())
+    assert got == [(0, texts[0]), (1, "second one\n\nPage 7"), (2, "")]
+    assert [n for _, n in brute(texts)] == [0, 0, 0]  # what the rule with min_tokens drops

@@ -61,3 +61,8 @@ def test_empty_and_awkward(spark, docs, awkward, sf):
 def test_without_known_languages(spark, docs, sf):
     df = docs(["text", "12", None]).withColumn("lang", F.lit(None).cast("string"))
     assert [r.doc_id for r in C.language(spark, df, sf).collect()] == [0]
+
+
+def test_short_lines_are_dropped(spark, docs, sf):
+    got = {r.doc_id: r.text for r in C.lines(spark, docs(["one\nAll rights reserved.", "two\nAll rights reserved."]), sf).collect()}
+    assert got == {0: "one\nAll rights reserved.", 1: "two"}

@@ -8,7 +8,9 @@ which the tokens behind the leading ones are cut; that block is the template's v
 A template that occurs in two documents or more is recurring: its lines stay in the document with the
 smallest id and are dropped from all others. Lines of fewer than ``min_tokens`` tokens always stay,
 unless ``whole`` is set: then every line but an empty one counts, a short one by its exact text without
-outer spaces, and characters of scripts written without spaces are tokens of their own.
+outer spaces, and characters of scripts written without spaces are tokens of their own. Then a
+template must also have constant tokens in at least one of ``CONSTANT`` of its places; a line with fewer,
+such as a row of numbers, is compared by its exact text.
 
 Only the smallest and largest document of a leaf or template are kept, so a line found in a third of
 all documents is one row per task before any shuffle. Lines go on to the templates only if their leaf
@@ -30,6 +32,7 @@ DEPTH = 3
 MIN_TOKENS = 5
 BLOCK_TOKENS = 12
 BLOCKS = 4
+CONSTANT = 2
 _LAST_ID = (1 << 63) - 1
 _UNSPACED = r"[\p{IsHan}\p{IsHiragana}\p{IsKatakana}\p{IsThai}\p{IsLao}\p{IsKhmer}\p{IsMyanmar}]"
 
@@ -44,18 +47,28 @@ def _spaced(line: Column) -> Column:
     return F.when(line.rlike(_UNSPACED), F.regexp_replace(line, f"({_UNSPACED})", " $1 ")).otherwise(line)
 
 
-def template_keys(tokens: Column, depth: int = DEPTH, block_tokens: int = BLOCK_TOKENS) -> tuple[Column, Column]:
-    """Leaf key and template keys of a line's tokens."""
+def _constant(tokens: Column) -> Column:
+    """Whether enough of the tokens are no variable fields."""
+    return F.size(F.filter(tokens, lambda t: t != "<*>")) * CONSTANT >= F.size(tokens)
+
+
+def template_keys(tokens: Column, depth: int = DEPTH, block_tokens: int = BLOCK_TOKENS,
+                  whole: bool = False) -> tuple[Column, Column]:
+    """Leaf key and template keys of a line's tokens; with ``whole``, only of blocks that leave enough constant tokens."""
     n = F.size(tokens)
     leaf = F.xxhash64(n, F.slice(tokens, 1, depth))
     rest = F.greatest(n - depth, F.lit(0))
     step = F.ceil(rest / BLOCKS).cast("int")
     starts = [F.lit(depth + 1) + step * j for j in range(BLOCKS)]
     block = F.array(*[F.xxhash64(F.slice(tokens, s, F.greatest(F.least(step, n + 1 - s), F.lit(0)))) for s in starts])
-    whole = F.xxhash64(F.slice(tokens, depth + 1, rest))
-    but_one = F.transform(F.array(*map(F.lit, range(BLOCKS))), lambda j: F.xxhash64(
+    all_rest = F.xxhash64(F.slice(tokens, depth + 1, rest))
+    left_out = F.array(*map(F.lit, range(BLOCKS)))
+    if whole:
+        outside = lambda j: F.filter(tokens, lambda _, i: (i < depth + step * j) | (i >= depth + step * (j + 1)))
+        left_out = F.filter(left_out, lambda j: _constant(outside(j)))
+    but_one = F.transform(left_out, lambda j: F.xxhash64(
         j, F.filter(block, lambda _, k: k != j)))
-    return leaf, F.when(n >= block_tokens, F.concat(F.array(whole), but_one)).otherwise(F.array(whole))
+    return leaf, F.when(n >= block_tokens, F.concat(F.array(all_rest), but_one)).otherwise(F.array(all_rest))
 
 
 def _marked(docs: DataFrame) -> DataFrame:
@@ -76,8 +89,8 @@ def recurring_lines(docs: DataFrame, depth: int = DEPTH, min_tokens: int = MIN_T
 
     def any_keyed(body: Column, line: Column) -> Column:
         tokens, exact = body["tokens"], body["exact"]
-        leaf, keys = template_keys(tokens, depth, block_tokens)
-        alone = F.size(tokens) < min_tokens
+        leaf, keys = template_keys(tokens, depth, block_tokens, whole=True)
+        alone = (F.size(tokens) < min_tokens) | ~_constant(tokens)
         by_text = F.xxhash64(F.lit("exact"), exact)
         return F.struct(line.alias("_line"), F.length(exact).alias("_n"), F.when(alone, by_text).otherwise(leaf).alias("_leaf"),
                         F.when(alone, F.array(by_text)).otherwise(keys).alias("_keys"))

@@ -79,3 +79,13 @@ def test_whole_has_no_shortest_line(docs, rng):
     got = sorted((r.doc_id, r.text) for r in L.drop_recurring(docs(texts), whole=True).collect())
     assert got == [(0, texts[0]), (1, "second one\n\nPage 7"), (2, "")]
     assert [n for _, n in brute(texts)] == [0, 0, 0]  # what the rule with min_tokens drops
+
+
+def test_whole_keeps_rows_of_numbers(docs):
+    """Number tables of clean documents stay; an equal row, and a line with enough constant tokens, still goes."""
+    line = "Posted on {} by the editors of our weekly news letter for all the readers"
+    half = "a b c d e f g 8 9 10 11 12 13 14"  # constant in half its places, but not without its first block
+    texts = ["12 15 18 20 22\n1 2 3 4 5\n" + line.format("2024-01-05") + "\n" + half, "31 7 9 11 40\n" + line.format("3 May"),
+             "1 2 3 4 5\nown\n" + line.format("2023-11-30") + "\n" + half.replace("d e f", "x y z")]
+    got = {r.doc_id: r.text for r in L.drop_recurring(docs(texts), whole=True).collect()}
+    assert got == {0: texts[0], 1: texts[1], 2: "own\n" + half.replace("d e f", "x y z")}

@@ -6,10 +6,9 @@ import pytest
 ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 sys.path.insert(0, ROOT)
 
+from core_helpers import TESTDATA  # noqa: E402
 from roadlens.session import get_spark  # noqa: E402
 
-TESTDATA = "/root/testdata/sf0.001"
-
 
 @pytest.fixture(scope="session")
 def spark(tmp_path_factory):
@@ -37,8 +36,3 @@ def tables(spark, sf, tmp_path_factory):
     for name in ("raw", "filtered", "unique"):
         getattr(T, name)(spark, sf).write.parquet(f"{root}/{name}")
     return {name: spark.read.parquet(f"{root}/{name}") for name in ("raw", "filtered", "unique")}
-
-
-def rows(df):
-    """Rows as a sorted list, for comparison without order."""
-    return sorted((tuple(r) for r in df.collect()), key=repr)

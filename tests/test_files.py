@@ -6,7 +6,7 @@ import glob
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import rows
+from core_helpers import rows
 from roadlens.operators import documents as D
 from roadlens.operators import snapshot
 from roadlens.schemas import POSITIONAL, index_schema, snapshot_dataset

@@ -6,7 +6,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry_point
-from conftest import TESTDATA
+from core_helpers import TESTDATA
 from roadlens.plans import catalog
 
 QUERIES = {name: run for name, run in entry_point.queries().items() if name in catalog.QUERIES}

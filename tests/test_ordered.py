@@ -6,7 +6,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import rows
+from core_helpers import rows
 from roadlens.operators import access, dedup, ordered
 
 

@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from conftest import rows
+from core_helpers import rows
 from roadlens.operators import reports
 from roadlens.plans import pipeline
 from roadlens.schemas import REPORT_SCHEMAS

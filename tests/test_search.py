@@ -4,7 +4,7 @@ import datetime as dt
 
 import pytest
 
-from conftest import rows
+from core_helpers import rows
 from roadlens.operators import documents as D
 from roadlens.operators import search as S
 from roadlens.operators import snapshot

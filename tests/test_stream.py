@@ -5,7 +5,7 @@ import random
 
 import pytest
 
-from conftest import rows
+from core_helpers import rows
 from roadlens.operators import dedup
 from roadlens.sources import feed
 from roadlens.streaming import changes

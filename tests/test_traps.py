@@ -6,7 +6,7 @@ import time
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from conftest import rows
+from core_helpers import rows
 from roadlens.functions import text, typing
 from roadlens.operators import clean, dedup, reports
 from roadlens.operators import documents as D

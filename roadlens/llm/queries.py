@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from roadlens.llm import ann_tree, bpe, decontaminate, html_crf, jaccard, language_id, line_templates, oracle, shards, token_scan, toxicity
+from roadlens.llm import ann_tree, bpe, conversations, decontaminate, html_crf, jaccard, language_id, line_templates, oracle, shards, token_scan, toxicity
 from roadlens.llm.common import fold, table
 from roadlens.session import scratch_path
 
@@ -93,3 +93,8 @@ def op2_kneser_ney(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op1_dom_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages")
     return html_crf.extract(pages, html_crf.train(pages)).select("page_id", "url", "text", "n_chars")
+
+
+@_query("op12_run_length")
+def op12_run_length(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversations.audits(conversations.damage(table(spark, sf_dir, "conversations")))

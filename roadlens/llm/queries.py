@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from roadlens.llm import ann_tree, bpe, conversations, decontaminate, html_crf, jaccard, language_id, line_templates, oracle, shards, token_scan, toxicity
+from roadlens.llm import ann_tree, bpe, conversations, decontaminate, hard_negatives, html_crf, jaccard, language_id, line_templates, oracle, shards, token_scan, toxicity
 from roadlens.llm.common import fold, table
 from roadlens.session import scratch_path
 
@@ -98,3 +98,10 @@ def op1_dom_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query("op12_run_length")
 def op12_run_length(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conversations.audits(conversations.damage(table(spark, sf_dir, "conversations")))
+
+
+@_query("op11_hyperplane_tree", oracle.HARD_NEGATIVES)
+def op11_hyperplane_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    rows = hard_negatives.quantised(table(spark, sf_dir, "embeddings").withColumn("label", moved))
+    return hard_negatives.mined(rows, F.col("vec_id") % 100 == 0)

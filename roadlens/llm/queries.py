@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from roadlens.llm import ann_tree, bpe, conversations, decontaminate, hard_negatives, html_crf, jaccard, language_id, line_templates, oracle, shards, token_scan, toxicity
+from roadlens.llm import ann_tree, bpe, conversations, decontaminate, hard_negatives, html_crf, jaccard, language_id, line_templates, lm_trie, oracle, shards, token_scan, toxicity
 from roadlens.llm.common import fold, table
 from roadlens.session import scratch_path
 
@@ -105,3 +105,10 @@ def op11_hyperplane_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
     rows = hard_negatives.quantised(table(spark, sf_dir, "embeddings").withColumn("label", moved))
     return hard_negatives.mined(rows, F.col("vec_id") % 100 == 0)
+
+
+@_query("op13_elias_fano")
+def op13_elias_fano(spark: SparkSession, sf_dir: str) -> DataFrame:
+    remainder = fold(F.col("doc_id"), 5)
+    scored = lm_trie.score(table(spark, sf_dir, "documents"), remainder != 1)
+    return scored.select("doc_id", (remainder == 1).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")

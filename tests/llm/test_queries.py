@@ -27,10 +27,10 @@ def test_sql(spark, sf, duck, name):
 
 
 def test_one_query_for_each_operator():
-    assert sorted(int(n[2:].split("_")[0]) for n in Q.QUERIES) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in Q.QUERIES) == list(range(1, 14))
 
 
 @pytest.mark.parametrize(("name", "rows"), [("op1_dom_crf", "pages"), ("op2_kneser_ney", "documents"), ("op5_separator_scan", "documents"),
-                                            ("op6_naive_bayes", "documents"), ("op7_label_propagation", "documents"), ("op8_byte_bpe", "documents")])
+                                            ("op6_naive_bayes", "documents"), ("op7_label_propagation", "documents"), ("op8_byte_bpe", "documents"), ("op13_elias_fano", "documents")])
 def test_whole_tables(spark, sf, name, rows):
     assert Q.QUERIES[name](spark, sf).count() == spark.read.parquet(f"{sf}/{rows}.parquet").count()

@@ -8,7 +8,6 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window, WindowSpec
@@ -19,27 +18,34 @@ CHUNK_ROWS = 1_000_000
 MAX_CHUNKS = 10_000
 
 
-def _cuts(df: DataFrame, order: str, chunk_rows: int) -> list[float]:
-    """Where to cut ``order`` so that a piece has about ``chunk_rows`` rows, however the numbers lie.
+def _cuts(df: DataFrame, order: str, chunk_rows: int, rows: int | None = None) -> list[int]:
+    """Where to cut the whole number ``order`` so that a piece has about ``chunk_rows`` rows, however the numbers lie.
 
-    One pass over the order column; at most ``MAX_CHUNKS`` pieces, larger ones beyond.
+    One pass over the order column (with ``rows``, their number, no second one); at most ``MAX_CHUNKS`` pieces, larger ones beyond.
     """
-    rows = df.count()
+    rows = df.count() if rows is None else rows
     pieces = min(-(-rows // chunk_rows), MAX_CHUNKS)
     if pieces < 2:
         return []
     shares = [i / pieces for i in range(1, pieces)]
-    found = df.agg(F.percentile_approx(F.col(order).cast("double"), shares, 10 * pieces).alias("at")).first()["at"]
+    found = df.agg(F.percentile_approx(F.col(order).cast("long"), shares, 10 * pieces).alias("at")).first()["at"]
     return sorted(set(found or []))
 
 
-def _chunked(df: DataFrame, order: str, cuts: list[float]) -> DataFrame:
-    """Adds ``_chunk``, the piece of each row; equal numbers share one."""
+def _chunked(df: DataFrame, order: str, cuts: list[int]) -> DataFrame:
+    """Adds ``_chunk``, the piece of each row, ascending; equal numbers share one. Rows without a number come first, in piece -1."""
     if not cuts:
         return df.withColumn("_chunk", F.lit(0))
-    split = Bucketizer(splits=[-float("inf"), *cuts, float("inf")], inputCol="_order", outputCol="_piece")
-    placed = split.transform(df.withColumn("_order", F.col(order).cast("double")))
-    return placed.withColumn("_chunk", F.col("_piece").cast("int")).drop("_order", "_piece")
+    number = F.col(order).cast("long")
+    return df.withColumn("_chunk", F.when(number.isNull(), -1).otherwise(cuts_below(number, cuts)))
+
+
+def cuts_below(number: Column, cuts: Sequence[int]) -> Column:
+    """How many of the ascending whole numbers ``cuts`` are at or below ``number``; a binary search in steps of powers of two."""
+    table = F.array(*[F.lit(c).cast("long") for c in cuts])
+    steps = F.array(*[F.lit(1 << k) for k in reversed(range(len(cuts).bit_length()))])
+    return F.aggregate(steps, F.lit(0), lambda at, step: at + F.when(
+        at + step <= len(cuts), F.when(F.element_at(table, at + step) <= number, step).otherwise(0)).otherwise(0))
 
 
 def _partition(keys: Sequence[str]) -> WindowSpec:
@@ -48,20 +54,21 @@ def _partition(keys: Sequence[str]) -> WindowSpec:
 
 
 def previous_in_key(df: DataFrame, keys: Sequence[str], order: str, value: str,
-                    chunk_rows: int = CHUNK_ROWS) -> DataFrame:
+                    chunk_rows: int = CHUNK_ROWS, rows: int | None = None) -> DataFrame:
     """Adds ``is_first`` and ``previous``: the ``value`` of the key's row before this one.
 
-    ``order`` is a unique whole number. The table is cut into pieces of about ``chunk_rows`` rows
+    ``order`` is a unique whole number; rows that share one, or have none (these come first), stand in the order of
+    ``value``, so the answer does not depend on the pieces. The table is cut into pieces of about ``chunk_rows`` rows
     by that number, so a hot key spreads over many tasks. Of each key and piece the last value is
     found on the map side; it stands as an extra row before the key's next piece, so one
-    window pass answers all rows. A table of one piece is a plain window.
+    window pass answers all rows. A table of one piece is a plain window. ``rows`` is the table's size, if known.
     """
-    cuts = _cuts(df, order, chunk_rows)
-    local = _partition([*keys, "_chunk"]).orderBy(F.col("_seed").desc(), order)
+    cuts = _cuts(df, order, chunk_rows, rows)
+    local = _partition([*keys, "_chunk"]).orderBy(F.col("_seed").desc(), order, value)
     boxed = F.struct(F.col(value).alias("v"))
     rows = _chunked(df, order, cuts).withColumns({"_seed": F.lit(False), "_value": boxed})
     if cuts:
-        tails = rows.groupBy(*keys, "_chunk").agg(F.max_by("_value", order).alias("_value"))
+        tails = rows.groupBy(*keys, "_chunk").agg(F.max_by("_value", F.struct(order, value)).alias("_value"))
         across = _partition(keys).orderBy("_chunk")
         seeds = (tails.withColumn("_value", F.lag("_value").over(across)).filter(F.col("_value").isNotNull())
                  .withColumn("_seed", F.lit(True)))
@@ -72,18 +79,25 @@ def previous_in_key(df: DataFrame, keys: Sequence[str], order: str, value: str,
 
 def running_total(df: DataFrame, order: str, value: str, name: str,
                   chunk_rows: int = CHUNK_ROWS) -> DataFrame:
-    """Adds the running sum of a whole-number ``value`` over the table in ``order``."""
-    chunked = _chunked(df, order, _cuts(df, order, chunk_rows))
+    """Adds the running sum of a whole-number ``value`` over the table in ``order``.
+
+    Rows that share a number share a total. Rows without one come before all others and share theirs, which is the
+    sum of their piece, so any number of them spreads over tasks. A missing value adds nothing.
+    """
+    added = F.coalesce(F.col(value), F.lit(0))
+    chunked = _chunked(df, order, _cuts(df, order, chunk_rows)).withColumn("_chunk", F.when(F.col(order).isNull(), -1).otherwise(F.col("_chunk")))
     before = (Window.orderBy("_chunk")
               .rowsBetween(Window.unboundedPreceding, -1))
-    # One row per chunk reaches the window without a partition, MAX_CHUNKS at most.
-    offsets = (chunked.groupBy("_chunk").agg(F.sum(value).alias("_sum"))
-               .select("_chunk", F.coalesce(F.sum("_sum").over(before), F.lit(0)).alias("_base")))
-    local = Window.partitionBy("_chunk").orderBy(order)
-    return (chunked.withColumn(name, F.sum(value).over(local))
+    # One row per chunk reaches the window without a partition, MAX_CHUNKS and one at most.
+    offsets = (chunked.groupBy("_chunk").agg(F.sum(added).alias("_sum"))
+               .select("_chunk", "_sum", F.coalesce(F.sum("_sum").over(before), F.lit(0)).alias("_base")))
+    salt = F.when(F.col("_chunk") < 0, F.pmod(F.xxhash64(value, F.monotonically_increasing_id()), F.lit(1000))).otherwise(0)
+    local = Window.partitionBy("_chunk", "_salt").orderBy(order)
+    inside = F.when(F.col("_chunk") < 0, F.col("_sum")).otherwise(F.col(name) + F.col("_base"))
+    return (chunked.withColumn("_salt", salt).withColumn(name, F.sum(added).over(local))
             .join(F.broadcast(offsets), "_chunk")
-            .withColumn(name, F.col(name) + F.col("_base"))
-            .drop("_chunk", "_base"))
+            .withColumn(name, inside)
+            .drop("_chunk", "_salt", "_sum", "_base"))
 
 
 def with_rank(df: DataFrame, order: Sequence[str], name: str = "rank") -> DataFrame:

@@ -1,4 +1,11 @@
-"""Live feed: landing folder → event records → new and changed ones → event store."""
+"""Live feed: landing folder → event records → new and changed ones → event store.
+
+``start_ingest`` works in numbered micro-batches with DataFrame operators only. A poll delivered again, under whatever
+file name, is known by the hash of its number and content and left out. The last stamp of every key is a table in
+buckets by key hash; a micro-batch joins the rows of its own keys. Store and both tables carry the batch number, so a batch that is
+run again after a crash, wherever that was, adds nothing twice. ``changed_events`` is the same rule as a stateful
+operator inside any stream, with state in Spark's own store.
+"""
 
 from __future__ import annotations
 
@@ -7,13 +14,15 @@ from collections.abc import Iterator
 
 import pandas as pd
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
-from roadlens.schemas import EVENT_COLUMNS, FEED
-from roadlens.sources.feed import flatten_feed, flatten_in_order
+from roadlens.operators.ordered import CHUNK_ROWS, previous_in_key
+from roadlens.schemas import EVENT_COLUMNS, FEED, FEED_KINDS
+from roadlens.sinks.batches import LastValues, append_batch
+from roadlens.sources.feed import flatten_in_order
 
 # The two Python functions travel with the job, so executors need not have this package.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -32,12 +41,16 @@ EVENTS = ("tipo string, subtipo string, ubicacion string, ciudad string, "
 
 def feed_stream(spark: SparkSession, landing: str, multi_line: bool = False,
                 max_files: int | None = MAX_FILES) -> DataFrame:
-    """Payloads as they land, the oldest files first. A payload without ``poll`` takes its file's time."""
+    """Payloads as they land, the oldest files first. A payload without ``poll`` takes its file's time.
+
+    With ``landed`` and ``file``, when and where, and whether the payload is ``numbered`` itself.
+    """
     reader = spark.readStream.schema(FEED).option("multiLine", multi_line)
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
     arrived = F.unix_millis(F.col("_metadata.file_modification_time"))
-    return reader.json(landing).withColumn("poll", F.coalesce("poll", arrived))
+    return (reader.json(landing).withColumns({"landed": arrived, "file": F.col("_metadata.file_path"), "numbered": F.col("poll").isNotNull()})
+            .withColumn("poll", F.coalesce("poll", "landed")))
 
 
 def _compact(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -106,21 +119,90 @@ def changed_events(payloads: DataFrame, ttl_seconds: int | None = None) -> DataF
 def start_store(events: DataFrame, store: str, checkpoint: str,
                 available_now: bool = False, interval: str = POLL_INTERVAL) -> StreamingQuery:
     """Appends a stream of event records to the store."""
-    trigger = {"availableNow": True} if available_now else {"processingTime": interval}
     return (events.writeStream.format("parquet").outputMode("append")
-            .option("checkpointLocation", checkpoint).trigger(**trigger).start(store))
+            .option("checkpointLocation", checkpoint).trigger(**_trigger(available_now, interval)).start(store))
+
+
+def _trigger(available_now: bool, interval: str) -> dict:
+    return {"availableNow": True} if available_now else {"processingTime": interval}
+
+
+def arrival(poll: Column, pos: Column) -> Column:
+    """One whole number in the order of (poll, pos): polls to 2**42 (milliseconds until 2109), 2**21 alerts each."""
+    fits = poll.between(0, (1 << 42) - 1) & (pos < (1 << 21))
+    return F.when(fits, F.shiftleft(poll, 21) + pos).otherwise(F.raise_error(F.lit("a poll number or place is too large")))
+
+
+class Ingest:
+    """What happens to one micro-batch of payloads."""
+
+    def __init__(self, store: str, checkpoint: str, changes_only: bool = True, ttl_seconds: int | None = None,
+                 chunk_rows: int = CHUNK_ROWS):
+        self.store, self.checkpoint, self.changes_only, self.chunk_rows = store, checkpoint, changes_only, chunk_rows
+        self.ttl = ttl_seconds and 1000 * ttl_seconds
+        self.polls = LastValues(f"{checkpoint}/polls", "digest", "poll bigint")
+        self.seen = LastValues(f"{checkpoint}/last-seen", "clave", "hora string")
+        self._writer: str | None = None
+
+    def writer(self, spark: SparkSession) -> str:
+        """The identity of the checkpoint: batch numbers begin anew with another one."""
+        if self._writer is None:
+            self._writer = spark.read.schema("id string").json(f"{self.checkpoint}/metadata").first()["id"]
+        return self._writer
+
+    def fresh(self, payloads: DataFrame, number: int, since: int | None) -> DataFrame:
+        """The payloads that no earlier batch has taken, one of equal ones. Without a poll number none are equal."""
+        told = payloads.withColumn("digest", F.when(F.col("numbered"), F.sha2(F.to_json(F.struct("poll", *FEED_KINDS)).cast("binary"), 256)))
+        own = F.coalesce("digest", F.concat_ws(":", "file", F.monotonically_increasing_id()))
+        first = told.withColumn("_own", own).dropDuplicates(["_own"]).drop("_own")
+        known = self.polls.before(payloads.sparkSession, number, since).select("digest")
+        return first.join(known, "digest", "left_anti")
+
+    def __call__(self, payloads: DataFrame, number: int) -> None:
+        spark = payloads.sparkSession
+        spark.conf.set("spark.sql.adaptive.enabled", "true")  # no operator keeps state by shuffle partition
+        now = payloads.agg(F.max("landed")).first()[0] if self.ttl else None
+        since = now - self.ttl if now is not None else None
+        fresh = self.fresh(payloads, number, since).persist()
+        try:
+            size = F.coalesce(F.sum(F.coalesce(F.size("alerts"), F.lit(0)) + F.coalesce(F.size("traffic"), F.lit(0))), F.lit(0))
+            n = fresh.agg(size).first()[0]
+            rows = flatten_in_order(fresh, extra=("landed",))
+            if self.changes_only:
+                rows = rows.withColumn("seq", arrival(F.col("poll"), F.col("pos")))
+                found = self._changed(rows, n, number, since)
+            else:
+                found = rows
+            append_batch(found.select(*EVENT_COLUMNS), self.store, self.writer(spark), number)
+            if self.changes_only:
+                last = rows.groupBy("clave").agg(F.max_by("hora", "seq").alias("hora"), F.max("landed").alias("stamp"))
+                self.seen.put(last, number, since)
+            self.polls.put(fresh.filter("digest IS NOT NULL").select("digest", "poll", F.col("landed").alias("stamp")), number, since)
+        finally:
+            fresh.unpersist()
+
+    def _changed(self, rows: DataFrame, n: int, number: int, since: int | None) -> DataFrame:
+        """The rows whose key is new or whose stamp differs from the key's preceding row, here or in the table."""
+        keys = rows.select("clave", self.seen.bucket().alias("bucket")).distinct()
+        before = (self.seen.before(rows.sparkSession, number, since).join(keys, ["bucket", "clave"], "left_semi")
+                  .select("clave", "hora", F.lit(-1).cast("long").alias("seq")))
+        both = rows.select("clave", "seq", *EVENT_COLUMNS).unionByName(before, allowMissingColumns=True)
+        marked = previous_in_key(both, ["clave"], "seq", "hora", self.chunk_rows, rows=2 * n)
+        return marked.filter((F.col("seq") >= 0) & (F.col("is_first") | ~F.col("previous").eqNullSafe(F.col("hora"))))
 
 
 def start_ingest(spark: SparkSession, landing: str, store: str, checkpoint: str,
                  changes_only: bool = True, available_now: bool = False,
                  max_files: int | None = MAX_FILES, interval: str = POLL_INTERVAL,
                  ttl_seconds: int | None = None) -> StreamingQuery:
-    """The whole loop: poll, flatten, keep changes, append.
+    """The whole loop: poll, leave out what was delivered before, flatten, keep changes, append.
 
-    A time-to-live is measured by a clock, so it needs a stream that keeps running.
+    With ``ttl_seconds`` keys and polls that landed longer ago than that, seen from the newest file of a batch, are
+    forgotten; then a key's next record counts as new. It is meant for a stream that keeps running.
     """
     if ttl_seconds and available_now:
         raise ValueError("a time-to-live needs a running stream, not one that stops when it has caught up")
     payloads = feed_stream(spark, landing, max_files=max_files)
-    events = changed_events(payloads, ttl_seconds) if changes_only else flatten_feed(payloads)
-    return start_store(events, store, checkpoint, available_now, interval)
+    return (payloads.writeStream.option("checkpointLocation", checkpoint)
+            .foreachBatch(Ingest(store, checkpoint, changes_only, ttl_seconds))
+            .trigger(**_trigger(available_now, interval)).start())

@@ -149,3 +149,36 @@ def test_repeat_and_ttl(spark):
     for chunk_rows in (1, 2, 100):
         hits = access.ttl_access(data, "k", "seq", "ts", 10, chunk_rows)
         assert [r.hit for r in hits.orderBy("seq").collect()] == [False, True, False, False, True]
+
+
+BIG = 1 << 60
+
+
+def awkward_numbers(n=200, seed=4):
+    """Rows without a number, with equal ones and with numbers beyond 2**53; some values are missing."""
+    draw = random.Random(seed)
+    return [(draw.choice([None, i // 3, BIG + i, BIG + i // 2, -i]), draw.choice("ab") if i % 3 else "hot", draw.choice([1, 2, 3, None]))
+            for i in range(n)]
+
+
+@pytest.mark.parametrize("chunk_rows", [1, 20, 10**6])
+def test_no_row_is_lost_by_chunks(spark, chunk_rows):
+    data = awkward_numbers()
+    df = spark.createDataFrame(data, "seq bigint, k string, v bigint").repartition(5)
+    place = lambda r: (r[0] is not None, r[0] or 0, r[2] is not None, r[2] or 0)
+    last, expected = {}, []
+    for seq, k, v in sorted(data, key=place):
+        expected.append((seq, k, v, k not in last, last.get(k)))
+        last[k] = v
+    assert rows(ordered.previous_in_key(df, ["k"], "seq", "v", chunk_rows)) == sorted(expected, key=repr)
+    totals = {s: sum(v or 0 for t, _, v in data if t is None or (s is not None and t <= s)) for s, _, _ in data}
+    got = rows(ordered.running_total(df, "seq", "v", "t", chunk_rows))
+    assert got == sorted(((s, k, v, totals[s]) for s, k, v in data), key=repr)
+
+
+@pytest.mark.parametrize("n", [1, 2, 3, 7, 8, 1000])
+def test_cuts_below(spark, n):
+    cuts = sorted(random.Random(n).sample(range(BIG, BIG + 5 * n), n))
+    asked = [c + d for c in cuts for d in (-1, 0, 1)] + [0, -5, 1 << 62]
+    df = spark.createDataFrame([(x,) for x in asked], "x bigint")
+    assert rows(df.select("x", ordered.cuts_below(F.col("x"), cuts))) == sorted(((x, sum(c <= x for c in cuts)) for x in asked), key=repr)

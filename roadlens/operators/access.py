@@ -11,7 +11,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from roadlens.operators.ordered import CHUNK_ROWS, previous_in_key, running_total, with_rank
+from roadlens.operators.ordered import CHUNK_ROWS, Ranked, previous_in_key, range_of_position, running_total
+from roadlens.session import scratch_path
 
 CONCENTRATION = 5
 
@@ -41,29 +42,42 @@ def exponential_rank(u: Column, population: Column) -> Column:
 RANKS = {"uniform": uniform_rank, "exponential": exponential_rank}
 
 
-def sampled_ranks(trace: DataFrame, table: DataFrame, law: str = "exponential") -> DataFrame:
+def sampled_ranks(trace: DataFrame, table: DataFrame | Ranked, law: str = "exponential") -> DataFrame:
     """Adds ``rank``: the row of ``table`` each access goes to."""
-    size = table.agg(F.count(F.lit(1)).alias("n")).scalar()
+    size = F.lit(table.rows).cast("long") if isinstance(table, Ranked) else table.agg(F.count(F.lit(1)).alias("n")).scalar()
     return (trace.withColumn("_n", size)
             .filter(F.col("_n") > 0)
             .withColumn("rank", RANKS[law](F.col("u"), F.col("_n")).cast("bigint")).drop("_n"))
 
 
-def rank_lookup(ranks: DataFrame, ranked: DataFrame) -> DataFrame:
-    """The row behind each rank; ``ranked`` has one row per rank."""
-    return ranks.join(ranked, "rank")
+def rank_lookup(ranks: DataFrame, ranked: DataFrame | Ranked) -> DataFrame:
+    """The row behind each rank; ``ranked`` has one row per rank. Of a written one only the ranges asked for are read."""
+    return ranks.join(ranked.holding(ranks) if isinstance(ranked, Ranked) else ranked, "rank")
 
 
-def sample(trace: DataFrame, table: DataFrame, order: Sequence[str],
+def ranked(table: DataFrame, order: Sequence[str], path: str | None = None, ranges: int | None = None) -> Ranked:
+    """``table`` written in ranges of its rank, below the shared folder unless a ``path`` is given."""
+    return Ranked.write(table, order, path or scratch_path(table.sparkSession, "ranked"), ranges)
+
+
+def sample(trace: DataFrame, table: DataFrame | Ranked, order: Sequence[str],
            law: str = "exponential") -> DataFrame:
-    """Rows of ``table`` drawn with replacement, one per access of ``trace``."""
-    ranked = with_rank(table, order)
-    return rank_lookup(sampled_ranks(trace, ranked, law), ranked)
+    """Rows of ``table`` drawn with replacement, one per access of ``trace``.
+
+    The table is written once in ranges of its rank; a ``Ranked`` one is used as it is, for any number of traces.
+    """
+    table = table if isinstance(table, Ranked) else ranked(table, order)
+    return rank_lookup(sampled_ranks(trace, table, law), table)
+
 
+def offset_fetch(df: DataFrame, order: Sequence[str], skip: int, enough: int = CHUNK_ROWS) -> DataFrame:
+    """The one row after ``skip`` rows, near or far. ``order`` should identify a row.
 
-def offset_fetch(df: DataFrame, order: Sequence[str], skip: int) -> DataFrame:
-    """The one row after ``skip`` rows, by its rank, near or far. ``order`` should identify a row."""
-    return with_rank(df, order, "_rank").filter(F.col("_rank") == skip).drop("_rank")
+    Rows are counted by ranges; only the range that holds the row is put in order, and of it each task keeps what can
+    come before the row.
+    """
+    inside, position = range_of_position(df, order, skip, enough)
+    return inside.orderBy(*order).offset(position).limit(1)
 
 
 def trace_intervals(trace: DataFrame, law: str = "exponential",

@@ -8,8 +8,9 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType, LongType, StructField, StructType
 from pyspark.sql.window import Window, WindowSpec
 
 from roadlens.session import shared_dir
@@ -100,6 +101,112 @@ def running_total(df: DataFrame, order: str, value: str, name: str,
             .drop("_chunk", "_salt", "_sum", "_base"))
 
 
+def _order_key(df: DataFrame, order: Sequence[str]) -> Column:
+    return F.struct(*[F.col(f"`{c}`").alias(f"k{i}") for i, c in enumerate(order)])
+
+
+def _splits(df: DataFrame, order: Sequence[str], rows: int, parts: int, seed: int = 3) -> list:
+    """At most ``parts`` - 1 ascending keys that cut ``df`` into ranges of similar size, from a sample of at most some 40 keys a part."""
+    share = min(1.0, 20 * parts / max(rows, 1))
+    drawn = df.select(_order_key(df, order).alias("k")).sample(share, seed).limit(40 * parts)
+    found = [r["k"] for r in drawn.orderBy("k").collect()]
+    cuts = found[len(found) // parts::max(1, len(found) // parts)]
+    return [k for i, k in enumerate(cuts) if i == 0 or k != cuts[i - 1]][:parts - 1]
+
+
+def _literal(df: DataFrame, order: Sequence[str], key) -> Column:
+    return F.struct(*[F.lit(v).cast(df.schema[c].dataType).alias(f"k{i}") for i, (c, v) in enumerate(zip(order, key, strict=True))])
+
+
+def range_of_position(df: DataFrame, order: Sequence[str], position: int, enough: int = CHUNK_ROWS,
+                      parts: int = 64) -> tuple[DataFrame, int]:
+    """The rows of a range of ``order`` that holds ``position``, ``enough`` of them at most, and the position inside it.
+
+    Rows per range of a sampled split are counted in one pass, without a shuffle of rows; the range that holds the
+    position is split again while it is too long. Its bounds stand as filters on the first column too, so files that
+    lie outside are not read. Rows that share the whole key cannot be parted and stay together. Without such a position
+    no row is returned.
+    """
+    key, rows = _order_key(df, order), df.count()
+    inside = df
+    if position >= rows:
+        return df.limit(0), 0
+    while rows > enough:
+        splits = _splits(inside, order, rows, parts)
+        at = [_literal(df, order, k) for k in splits]
+        # How many rows lie below each split: sums made in each task.
+        below = inside.agg(*[F.count_if(key < x).alias(f"n{i}") for i, x in enumerate(at)]).first() if at else []
+        i = sum(n <= position for n in below)
+        first, last = (below[i - 1] if i else 0), (below[i] if i < len(splits) else rows)
+        if last - first == rows:
+            break  # one key, or none that the sample could part
+        if i:
+            inside = _from_first(inside.filter(key >= at[i - 1]), order, splits[i - 1], True)
+        if i < len(splits):
+            inside = _from_first(inside.filter(key < at[i]), order, splits[i], False)
+        position, rows = position - first, last - first
+    return inside, position
+
+
+def _from_first(df: DataFrame, order: Sequence[str], key, low: bool) -> DataFrame:
+    """The bound on the first column alone, in a form that reaches the files. Missing values come first."""
+    value, c = key[0], F.col(f"`{order[0]}`")
+    if value is None:
+        return df if low else df.filter(c.isNull())
+    bound = F.lit(value).cast(df.schema[order[0]].dataType)
+    return df.filter(c >= bound) if low else df.filter(c.isNull() | (c <= bound))
+
+
+def _laid(df: DataFrame, order: Sequence[str], ranges: int | None = None) -> DataFrame:
+    """The rows in ranges of ``order``, with the number of their range and their place in it."""
+    laid = df.repartitionByRange(ranges, *order) if ranges else df.repartitionByRange(*order)
+    return (laid.sortWithinPartitions(*order).withColumn("_at", F.monotonically_increasing_id())
+            .withColumns({"_part": F.shiftright("_at", 33).cast("int"), "_pos": F.col("_at").bitwiseAND(F.lit((1 << 33) - 1))}).drop("_at"))
+
+
+class Ranked:
+    """A table written once in ranges of its rank: a folder a range, rows sorted by rank.
+
+    The first rank of each range, one number a range, is all that is kept besides the files. What asks for few
+    ranks reads the folders that hold them.
+    """
+
+    def __init__(self, spark: SparkSession, path: str, schema: StructType):
+        self.schema = schema
+        ddl = StructType([*schema.fields, StructField("_pos", LongType()), StructField("_part", IntegerType())])
+        self._files = spark.read.schema(ddl).parquet(path)
+        sizes = sorted(tuple(r) for r in self._files.groupBy("_part").count().collect())  # from the files' footers
+        self.parts = [p for p, _ in sizes]
+        self.firsts = [0]
+        for _, n in sizes:
+            self.firsts.append(self.firsts[-1] + n)
+        self.rows = self.firsts.pop()
+
+    @classmethod
+    def write(cls, df: DataFrame, order: Sequence[str], path: str, ranges: int | None = None) -> Ranked:
+        """Ranks ``df`` by ``order``, which should identify a row. Tasks that run again write the same ranges."""
+        _laid(df, order, ranges).write.mode("overwrite").partitionBy("_part").parquet(path)
+        return cls(df.sparkSession, path, df.schema)
+
+    def _ranked(self, files: DataFrame, name: str) -> DataFrame:
+        if not self.parts:
+            return files.select(*self.schema.names, F.col("_pos").alias(name))
+        first = F.element_at(F.create_map(*[F.lit(x) for p in zip(self.parts, self.firsts, strict=True) for x in p]), F.col("_part"))
+        return files.select(*[F.col(f"`{c}`") for c in self.schema.names], (F.col("_pos") + first.cast("long")).alias(name))
+
+    def table(self, name: str = "rank") -> DataFrame:
+        """All rows with their 0-based rank."""
+        return self._ranked(self._files, name)
+
+    def holding(self, ranks: DataFrame, name: str = "rank") -> DataFrame:
+        """The rows of the ranges that hold one of ``ranks``, read from their folders alone. One number a range comes to the driver."""
+        if not self.parts:
+            return self.table(name)
+        asked = ranks.filter(F.col(name).between(0, self.rows - 1)).select(cuts_below(F.col(name), self.firsts).alias("i")).distinct().collect()
+        wanted = sorted({self.parts[r["i"] - 1] for r in asked})
+        return self._ranked(self._files.filter(F.col("_part").isin(wanted)) if len(wanted) < len(self.parts) else self._files, name)
+
+
 def with_rank(df: DataFrame, order: Sequence[str], name: str = "rank") -> DataFrame:
     """Adds the 0-based position of each row in ``order``, without a global window.
 

@@ -884,8 +884,17 @@ def _(spark, sf):
 
 @query("rank_lookup", O.traced(f"SELECT rank, row_id, {O.EVENTS} FROM ranked"))
 def _(spark, sf):
-    ranked = ordered.with_rank(tables.raw(spark, sf), ["row_id"])
-    return _rounded(access.rank_lookup(ranked.select("rank"), ranked))
+    ranked = access.ranked(tables.raw(spark, sf), ["row_id"])
+    return _rounded(access.rank_lookup(ranked.table().select("rank"), ranked))
+
+
+@query("rank_lookup_few", O.traced(
+    f"SELECT rank, row_id, {O.EVENTS} FROM ranked WHERE rank IN (SELECT event_id % 3 FROM events)"))
+def _(spark, sf):
+    """Few ranks of a table in many ranges: only the folders that hold them are read."""
+    ranked = access.ranked(tables.raw(spark, sf), ["row_id"], ranges=16)
+    asked = tables.table(spark, sf, "events").select((F.col("event_id") % 3).alias("rank")).distinct()
+    return _rounded(access.rank_lookup(asked, ranked))
 
 
 @query("trace_intervals", O.traced("""

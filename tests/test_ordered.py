@@ -182,3 +182,64 @@ def test_cuts_below(spark, n):
     asked = [c + d for c in cuts for d in (-1, 0, 1)] + [0, -5, 1 << 62]
     df = spark.createDataFrame([(x,) for x in asked], "x bigint")
     assert rows(df.select("x", ordered.cuts_below(F.col("x"), cuts))) == sorted(((x, sum(c <= x for c in cuts)) for x in asked), key=repr)
+
+
+@pytest.mark.parametrize("enough", [1, 30, 10**6])
+def test_offset_by_range_counts(spark, enough):
+    """Several columns, missing and equal first values, every place, against a sort of all rows."""
+    draw = random.Random(8)
+    data = [(draw.choice([None, "a", "b", "c", f"x{i}"]), draw.choice([None, i]), i) for i in range(300)]
+    df = spark.createDataFrame(data, "s string, n bigint, id bigint").repartition(6).cache()
+    low = lambda v: (v is not None, v or "")
+    order = sorted(data, key=lambda r: (low(r[0]), (r[1] is not None, r[1] or 0), r[2]))
+    for skip in (0, 1, 57, 149, 298, 299):
+        assert rows(access.offset_fetch(df, ["s", "n", "id"], skip, enough)) == [order[skip]]
+    assert access.offset_fetch(df, ["s", "n", "id"], 300, enough).count() == 0
+    assert access.offset_fetch(df.filter("id < 0"), ["id"], 0, enough).count() == 0
+    copies = spark.range(500).selectExpr("1 AS k").repartition(4)
+    assert access.offset_fetch(copies, ["k"], 400, enough).count() == 1
+
+
+def test_only_the_range_of_the_position_is_sorted(spark, tmp_path):
+    spark.range(20_000).repartitionByRange(10, "id").write.parquet(str(tmp_path / "t"))
+    df = spark.read.parquet(str(tmp_path / "t"))
+    inside, position = ordered.range_of_position(df, ["id"], 15_777, 500)
+    assert inside.count() <= 1000 and inside.orderBy("id").collect()[position].id == 15_777
+    text = inside._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in text and "GreaterThanOrEqual(id" in text and "LessThanOrEqual(id" in text
+
+
+def test_ranked_layout(spark, tmp_path):
+    ids = random.Random(5).sample(range(100_000), 3000)
+    df = spark.createDataFrame([(i, f"v{i}") for i in ids], "id bigint, v string").repartition(6)
+    ranked = ordered.Ranked.write(df, ["id"], str(tmp_path / "r"), ranges=20)
+    assert ranked.rows == 3000 and len(ranked.parts) == 20
+    assert rows(ranked.table()) == sorted(((i, f"v{i}", n) for n, i in enumerate(sorted(ids))), key=repr)
+    again = ordered.Ranked(spark, str(tmp_path / "r"), df.schema)
+    asked = spark.createDataFrame([(n,) for n in (0, 5, 5, 2999, 3000, -1)], "rank bigint")
+    assert rows(access.rank_lookup(asked, again)) == sorted(((n, sorted(ids)[n], f"v{sorted(ids)[n]}") for n in (0, 5, 5, 2999)), key=repr)
+    empty = ordered.Ranked.write(df.filter("id < 0"), ["id"], str(tmp_path / "e"))
+    assert empty.rows == 0 and empty.table().count() == 0 and access.rank_lookup(asked, empty).count() == 0
+
+
+def test_few_ranks_read_few_files(spark, tmp_path):
+    ranked = ordered.Ranked.write(spark.range(5000), ["id"], str(tmp_path / "r"), ranges=25)
+    found = access.rank_lookup(spark.createDataFrame([(7,), (4321,)], "rank bigint"), ranked)
+    found.collect()
+    scan = found._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [_part" in scan
+
+    def files(node):
+        own = [node.metrics().apply("numFiles").value()] if node.metrics().contains("numFiles") else []
+        kids = node.children()
+        return own + [x for i in range(kids.size()) for x in files(kids.apply(i))]
+
+    plan = found._jdf.queryExecution().executedPlan()
+    plan = plan.finalPhysicalPlan() if hasattr(plan, "finalPhysicalPlan") else plan
+    leaves = plan.collectLeaves()
+    read = [leaves.apply(i) for i in range(leaves.size())]
+    counts = []
+    for leaf in read:
+        inner = leaf.plan() if leaf.getClass().getSimpleName() in ("ShuffleQueryStageExec", "BroadcastQueryStageExec") else leaf
+        counts += files(inner)
+    assert counts and max(counts) <= 2 < len(ranked.parts)

@@ -72,3 +72,30 @@ def doc_mapping(name: str, df: DataFrame) -> dict[str, str]:
     """Field types of a dataset: declared for the named ones, else from its columns."""
     declared = index_mapping(name) or {f.name: _generic_type(f) for f in df.schema.fields}
     return {**COMMON_MAPPING, **declared}
+
+
+def content_mapping(name: str, df: DataFrame) -> DataFrame:
+    """``dataset, field, type`` of a dataset from what its columns hold: one aggregate of typed counts per column.
+
+    A column whose values are all whole numbers, without a gap, is an integer; all numbers, or nothing, a float; all
+    dates, a date; others are keywords, or text if a value holds white space. A declared type stands as long as every value
+    has it (keyword and text take any), else the content's type takes its place.
+    """
+    declared = index_mapping(name) or {}
+    counts = []
+    for f in df.schema.fields:
+        c = F.col(f"`{f.name}`")
+        as_text, stamp = c.cast("string"), typing.to_date(c, f.dataType)
+        counts.append(F.struct(
+            F.lit(f.name).alias("field"), F.lit(declared.get(f.name)).cast("string").alias("declared"), F.count(c).alias("some"),
+            F.count_if(as_text.rlike(typing.INTEGER_TEXT) & as_text.try_cast("bigint").isNotNull()).alias("integers"),
+            F.count_if(as_text.rlike(typing.FLOAT_TEXT)).alias("floats"), F.count_if(stamp.isNotNull()).alias("dates"),
+            F.count_if(as_text.rlike(r"\s")).alias("spaced"), F.count(F.lit(1)).alias("rows")))
+    some = F.col("some")
+    found = (F.when((F.col("integers") == F.col("rows")) & (some > 0), "integer").when(F.col("floats") == some, "float")
+             .when(F.col("dates") == some, "date").when(F.col("spaced") > 0, "text").otherwise("keyword"))
+    fits = (F.when(F.col("declared") == "integer", F.col("integers") == some).when(F.col("declared") == "float", F.col("floats") == some)
+            .when(F.col("declared") == "date", F.col("dates") == some).otherwise(F.col("declared").isNotNull()))
+    typed = df.agg(F.array(*counts).alias("c")).select(F.inline("c")).select("field", F.when(fits, F.col("declared")).otherwise(found).alias("type"))
+    common = F.explode(F.create_map(*[F.lit(x) for pair in COMMON_MAPPING.items() for x in pair])).alias("field", "type")
+    return df.sparkSession.range(1).select(common).unionAll(typed).select(F.lit(name).alias("dataset"), "field", "type")

@@ -128,6 +128,31 @@ def index_counts(frames: Mapping[str, DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionAll, parts).orderBy("dataset")
 
 
+def footer_counts(spark: SparkSession, paths: Mapping[str, str]) -> DataFrame:
+    """Documents per written dataset, sorted by name, from the footers of its Parquet files: no row is read.
+
+    The count is pushed into the scan, which Spark's newer Parquet reader does; the setting that picks the reader is
+    put back. A dataset written without rows shows 0.
+    """
+    listed, pushed = "spark.sql.sources.useV1SourceList", "spark.sql.parquet.aggregatePushdown"
+    spark.conf.set(pushed, "true")
+    before = spark.conf.get(listed)
+    spark.conf.set(listed, ",".join(x for x in before.split(",") if x != "parquet"))
+    try:
+        frames = {name: spark.read.parquet(path) for name, path in paths.items()}
+    finally:
+        spark.conf.set(listed, before)
+    return index_counts(frames)
+
+
+def indexed_listing(spark: SparkSession, root: str, prefix: str) -> DataFrame:
+    """Names of the datasets of a written index, ascending, empty ones too: one listing of its folders, no file is opened."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(root).select("path")
+    folder = F.element_at(F.split("path", "/"), -2)
+    return (files.select(folder.alias("folder")).filter(F.col("folder").startswith(prefix)).distinct()
+            .select(F.substring("folder", len(prefix) + 1, 1000).alias("dataset")).orderBy("dataset"))
+
+
 def sorted_listing(spark: SparkSession, frames: Mapping[str, DataFrame]) -> DataFrame:
     """Names of all datasets, ascending, empty ones too; no rows are read."""
     return spark.createDataFrame([(name,) for name in sorted(frames)], "dataset string").orderBy("dataset")

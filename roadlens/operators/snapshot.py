@@ -5,11 +5,11 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from roadlens.functions.text import content_key
-from roadlens.schemas import snapshot_dataset
+from roadlens.schemas import SNAPSHOT_DATASETS, snapshot_dataset
 
 
 def kv_snapshot(df: DataFrame, namespace: str) -> DataFrame:
@@ -44,6 +44,14 @@ def load_stats(frames: Mapping[str, DataFrame]) -> DataFrame:
         F.sum("n").alias("total_documentos"))
 
 
+def load_stats_of(counts: DataFrame) -> DataFrame:
+    """The same row from the documents per dataset, as the files' footers give them."""
+    aliases = [a for d in SNAPSHOT_DATASETS for a in d.aliases]
+    known = reduce(Column.__or__, [F.col("dataset").contains(a) for a in aliases])
+    return counts.filter(known).agg(F.count(F.lit(1)).alias("archivos_procesados"),
+                                    F.coalesce(F.sum("doc_count"), F.lit(0)).cast("bigint").alias("total_documentos"))
+
+
 def completeness(counts: DataFrame, expected: Sequence[str]) -> DataFrame:
     """Per expected dataset its documents and whether it has any.
 

@@ -4,13 +4,14 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from roadlens.functions import text, typing
-from roadlens.operators import access, clean, dedup, ordered, reports, snapshot
+from roadlens.operators import access, clean, dedup, incremental, ordered, reports, snapshot
 from roadlens.operators import documents as D
 from roadlens.operators import search as S
 from roadlens.plans import incident_tables as tables
@@ -511,15 +512,31 @@ def _(spark, sf):
     return D.doc_reject(rows)
 
 
-MAPPINGS = [(name, field, kind) for name, fields in (
-    ("data_unique", "tipo keyword, subtipo keyword, calle text, comuna keyword, fecha date, latitud float, longitud float"),
-    ("filtered_events", "tipo keyword, subtipo keyword, calle text, comuna keyword, fecha date, latitud float, longitud float"),
-    ("event_counts", "tipo_evento keyword, cantidad integer"),
-    ("evolucion_por_tipo", ", ".join(f"campo_{i} {k}" for i, k in enumerate(["text", "text", "integer", *["float"] * 7]))))
-    for field, kind in [x.split() for x in f"@timestamp date, location geo_point, {fields}".split(", ")]]
+NAMED_FIELDS = [("tipo", "tipo", "keyword"), ("subtipo", "subtipo", "keyword"), ("calle", "ubicacion", "text"), ("comuna", "ciudad", "keyword"),
+                ("fecha", "hora", "date"), ("latitud", "lat", "float"), ("longitud", "lon", "float")]
 
 
-@query("doc_mapping", "SELECT * FROM (VALUES " + ", ".join(map(str, MAPPINGS)) + ") m(dataset, field, type)")
+def _type_sql(dataset: str, source: str, field: str, column: str, declared: str | None) -> str:
+    """The type of one column by its content, or the declared one while every value has it."""
+    text, some = f"CAST({column} AS VARCHAR)", f"count({column})"
+    integers, floats, dates = (f"count(TRY_CAST({text} AS {t}))" for t in ("BIGINT", "DOUBLE", "TIMESTAMP"))
+    found = (f"CASE WHEN count(*) = {integers} AND {some} > 0 THEN 'integer' WHEN {some} = {floats} THEN 'float' "
+             f"WHEN {some} = {dates} THEN 'date' WHEN bool_or(regexp_matches({text}, '\\s')) THEN 'text' ELSE 'keyword' END")
+    fits = {"integer": f"{some} = {integers}", "float": f"{some} = {floats}", "date": f"{some} = {dates}", None: "false"}.get(declared, "true")
+    return f"SELECT '{dataset}' AS dataset, '{field}' AS field, CASE WHEN {fits} THEN '{declared}' ELSE {found} END AS type FROM {source}"
+
+
+_BY_DAY_TYPE = f"(SELECT fecha, tipo, count(tipo) AS total FROM (SELECT *, substring(hora, 1, 10) AS fecha FROM uniq WHERE regexp_full_match(substring(hora, 1, 10), '\\d{{4}}-\\d{{2}}-\\d{{2}}')) q GROUP BY fecha, tipo) m"
+MAPPING_SQL = " UNION ALL ".join([
+    *(_type_sql(d, t, *f) for d, t in (("data_unique", "uniq"), ("filtered_events", "filtered")) for f in NAMED_FIELDS),
+    *(_type_sql("event_counts", "(SELECT tipo, count(tipo) AS total FROM uniq GROUP BY tipo) m", *f)
+      for f in (("tipo_evento", "tipo", "keyword"), ("cantidad", "total", "integer"))),
+    *(_type_sql("evolucion_por_tipo", _BY_DAY_TYPE, f"campo_{i}", c, None) for i, c in enumerate(["fecha", "tipo", "total", *["CAST(NULL AS DOUBLE)"] * 7])),
+    "SELECT d, f, t FROM (VALUES ('data_unique'), ('filtered_events'), ('event_counts'), ('evolucion_por_tipo')) a(d), "
+    "(VALUES ('@timestamp', 'date'), ('location', 'geo_point')) b(f, t)"])
+
+
+@query("doc_mapping", O.derived(MAPPING_SQL))
 def _(spark, sf):
     root = scratch_path(spark, "mapping")
     unique = tables.unique(spark, sf)
@@ -528,12 +545,9 @@ def _(spark, sf):
     sinks.store_delimited(unique, f"{root}/data_unique")
     sinks.publish(reports.event_counts(unique), f"{root}/event_counts")
     sinks.publish(reports.daily_evolution_by_type(unique), f"{root}/evolucion_por_tipo")
-    rows = []
     sinks.store_delimited(tables.filtered(spark, sf).drop("row_id"), f"{root}/filtered_events")
-    for name in ("data_unique", "filtered_events", "event_counts", "evolucion_por_tipo"):
-        loaded = sources.load_named(spark, f"{root}/{name}", name)
-        rows += [(name, f, t) for f, t in D.doc_mapping(name, loaded).items()]
-    return spark.createDataFrame(rows, "dataset string, field string, type string")
+    names = ("data_unique", "filtered_events", "event_counts", "evolucion_por_tipo")
+    return reduce(DataFrame.unionAll, [D.content_mapping(n, sources.load_named(spark, f"{root}/{n}", n)) for n in names])
 
 
 # ---- dedup and keyed state ---------------------------------------------------------------
@@ -673,17 +687,47 @@ COUNTS_SQL = ("SELECT 'data_unique' AS dataset, count(*) AS doc_count FROM uniq
               "SELECT 'no_processing_data', count(*) FROM raw")
 
 
+def _written_datasets(spark: SparkSession, sf: str) -> dict[str, str]:
+    """Raw, filtered and unique events, each written once, the later ones from the files of the earlier."""
+    root = scratch_path(spark, "datasets")
+    paths = {name: f"{root}/{name}" for name in ("no_processing_data", "filtered_events", "data_unique")}
+    sinks.replace_output(tables.raw(spark, sf), paths["no_processing_data"])
+    sinks.replace_output(clean.clean_events(spark.read.parquet(paths["no_processing_data"])), paths["filtered_events"])
+    sinks.replace_output(dedup.dedup_minute(spark.read.parquet(paths["filtered_events"])), paths["data_unique"])
+    return paths
+
+
 @query("index_counts", O.derived(COUNTS_SQL))
 def _(spark, sf):
-    return S.index_counts(_datasets(spark, sf))
+    return S.footer_counts(spark, _written_datasets(spark, sf))
 
 
 @query("load_stats", O.derived(
     "SELECT count(*) AS archivos_procesados, CAST(sum(doc_count) AS BIGINT) AS total_documentos "
     f"FROM ({COUNTS_SQL}) q"))
 def _(spark, sf):
-    frames = _datasets(spark, sf)
-    return snapshot.load_stats({**frames, "not_known": frames["data_unique"]})
+    paths = _written_datasets(spark, sf)
+    return snapshot.load_stats_of(S.footer_counts(spark, {**paths, "not_known": paths["data_unique"]}))
+
+
+@query("publish_stats", O.derived(
+    "SELECT count(*) AS archivos_procesados, CAST(sum(doc_count) AS BIGINT) AS total_documentos "
+    f"FROM ({COUNTS_SQL}) q"))
+def _(spark, sf):
+    path = scratch_path(spark, "stats")
+    pipeline.publish_stats({n: spark.read.parquet(p) for n, p in _written_datasets(spark, sf).items()}, path)
+    return sources.result_read(spark, path, "archivos_procesados bigint, total_documentos bigint")
+
+
+@query("freshness", O.derived(
+    "SELECT NOT bool_and(coalesce(n, 0) > 0) AS reload, count(*) FILTER (coalesce(n, 0) > 0) AS present "
+    "FROM (VALUES ('data_unique'), ('filtered_events'), ('distribucion_horaria')) e(dataset) LEFT JOIN "
+    "(SELECT 'data_unique' AS dataset, count(*) AS n FROM uniq UNION ALL SELECT 'filtered_events', count(*) FROM filtered) q USING (dataset)"))
+def _(spark, sf):
+    """The hour report is not indexed, so the index must be loaded again."""
+    root = scratch_path(spark, "index")
+    pipeline.index_events(_datasets(spark, sf), root, AS_OF)
+    return pipeline.freshness(spark, root, EXPECTED)
 
 
 @query("completeness_check", O.derived(
@@ -691,7 +735,7 @@ def _(spark, sf):
     "present FROM (VALUES ('data_unique'), ('filtered_events'), ('distribucion_horaria')) "
     f"e(dataset) LEFT JOIN ({COUNTS_SQL}) q ON q.dataset = e.dataset"))
 def _(spark, sf):
-    return snapshot.completeness(S.index_counts(_datasets(spark, sf)), EXPECTED)
+    return snapshot.completeness(S.footer_counts(spark, _written_datasets(spark, sf)), EXPECTED)
 
 
 # ---- order, limits, set operations -------------------------------------------------------
@@ -727,9 +771,13 @@ def _(spark, sf):
     return _rounded(access.offset_fetch(tables.raw(spark, sf), ["row_id"], 1150))
 
 
-@query("sorted_listing", O.derived(f"SELECT dataset FROM ({COUNTS_SQL}) q"))
+@query("sorted_listing", O.derived(
+    "SELECT 'data-unique' AS dataset FROM uniq UNION SELECT 'filtered-events' FROM filtered"))
 def _(spark, sf):
-    return S.sorted_listing(spark, _datasets(spark, sf))
+    """What the written index holds; the raw events are not indexed."""
+    root = scratch_path(spark, "index")
+    pipeline.index_events(_datasets(spark, sf), root, AS_OF)
+    return S.indexed_listing(spark, root, sinks.INDEX_PREFIX)
 
 
 @query("feed_union", O.derived(
@@ -970,13 +1018,35 @@ def _(spark, sf):
 
 # ---- drawing in the engine ---------------------------------------------------------------
 
-@query("access_draws", "SELECT count(*) AS total, true AS in_bounds, true AS repeatable, true AS first_fifth FROM events")
+@query("access_draws", O.traced("""
+SELECT CAST(t.rank * 10 // p.n AS BIGINT) AS tenth, count(*) AS accesses, count(DISTINCT r.row_id) AS row_ids, count(DISTINCT r.ciudad) AS cities
+FROM trace_exponential t JOIN ranked r ON r.rank = t.rank, population p GROUP BY 1"""))
+def _(spark, sf):
+    """Accesses by tenth of the ranked table, with the rows and cities they meet."""
+    ranked = access.ranked(tables.raw(spark, sf).select("row_id", "ciudad"), ["row_id"])
+    drawn = access.sample(_trace(spark, sf), ranked, ["row_id"])
+    return (drawn.groupBy(F.floor(F.col("rank") * 10 / F.lit(max(ranked.rows, 1))).alias("tenth"))
+            .agg(F.count(F.lit(1)).alias("accesses"), F.countDistinct("row_id").alias("row_ids"), F.countDistinct("ciudad").alias("cities")))
+
+
+# ---- late rows ---------------------------------------------------------------------------
+
+def _in_batches(spark: SparkSession, df: DataFrame, keys: list[str], order: str, value: str, width: int) -> incremental.PreviousByPieces:
+    """``df`` added in three batches: every fifth number comes last, long after its place was settled; the second batch runs twice."""
+    history = incremental.PreviousByPieces(spark, scratch_path(spark, "pieces"), df.schema, keys, order, value, width)
+    late, far = F.col(order) % 5 == 2, F.floor(F.col(order) / width) % 2 == 1
+    for number, rows in enumerate((df.filter(~late & ~far), df.filter(~late & far), df.filter(~late & far), df.filter(late))):
+        history.add(rows, max(0, number - (number > 1)))
+    return history
+
+
+@query("change_only_late", ORACLES["change_only"])
+def _(spark, sf):
+    raw = tables.raw(spark, sf)
+    return _rounded(incremental.change_only(_in_batches(spark, raw, list(dedup.CHANGE_KEY), "row_id", "hora", 50_000)))
+
+
+@query("ttl_access_late", ORACLES["ttl_access"])
 def _(spark, sf):
-    """Properties of as many draws as there are events: an exponential law puts 63.6 % into the first fifth."""
-    n = tables.table(spark, sf, "events").count()
-    rank = access.exponential_rank(F.col("u"), F.lit(1000))
-    drawn = access.draws(spark, n, 17).withColumn("again", access.unit_draw(F.col("seq"), 17)).withColumn("rank", rank)
-    share = F.avg((F.col("rank") < 200).cast("double"))
-    return drawn.agg(F.count(F.lit(1)).alias("total"), F.bool_and(F.col("u").between(0, 1) & (F.col("u") < 1) & F.col("rank").between(0, 999)).alias("in_bounds"),
-                     F.bool_and(F.col("u") == F.col("again")).alias("repeatable"),
-                     (F.abs(share - 0.6364) < 4 * 0.481 / F.sqrt(F.count(F.lit(1)))).alias("first_fifth"))
+    accesses = _accesses(spark, sf).select("seq", "rank", "ts")
+    return incremental.ttl_access(_in_batches(spark, accesses, ["rank"], "seq", "ts", 25_000), 3600).select("seq", "rank", "hit")

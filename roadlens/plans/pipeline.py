@@ -6,6 +6,7 @@ import datetime as dt
 import logging
 from collections.abc import Mapping
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -61,6 +62,17 @@ def index_events(events: Mapping[str, DataFrame], root: str,
     return {name: spark.read.parquet(path) for name, path in paths.items()}
 
 
+def index_paths(spark: SparkSession, root: str, prefix: str = sinks.INDEX_PREFIX) -> dict[str, str]:
+    """Where each dataset of a written index lies, by dataset; what is there is listed, not read."""
+    return {r["dataset"].replace("-", "_"): f"{root}/{prefix}{r['dataset']}" for r in S.indexed_listing(spark, root, prefix).collect()}
+
+
+def freshness(spark: SparkSession, root: str, expected: list[str]) -> DataFrame:
+    """One row: whether the index below ``root`` must be loaded again, since an expected dataset is missing or empty."""
+    counts = S.footer_counts(spark, {n: p for n, p in index_paths(spark, root).items() if n in expected})
+    return completeness(counts, expected).agg((~F.bool_and("present")).alias("reload"), F.count_if("present").alias("present"))
+
+
 def needs_reload(indexed: Mapping[str, DataFrame], expected: list[str]) -> bool:
     """True unless every expected dataset is indexed and holds documents."""
     present = {n: f for n, f in indexed.items() if n in expected}
@@ -75,7 +87,7 @@ def static_report(docs: DataFrame, out: str, as_of: dt.datetime,
 
     The saved summary is one row: requests made and the names of the saved results.
 
-    A request that fails is logged and left out; the others still run.
+    A request that cannot be answered is logged and left out; the others still run. Any other failure ends the report.
     """
     spark = docs.sparkSession
     requests = S.STATIC_REQUESTS if requests is None else requests
@@ -91,8 +103,8 @@ def static_report(docs: DataFrame, out: str, as_of: dt.datetime,
                 checks.append((name, path, roundtrip_verify(answer, loaded).first().matches))
             finally:
                 answer.unpersist()
-        except Exception:
-            log.exception("request %s failed", name)
+        except (ValueError, AnalysisException):
+            log.exception("request %s cannot be answered", name)
     summary = spark.createDataFrame([(as_of, len(requests), [name for name, _, _ in checks])],
                                     "`timestamp` timestamp_ntz, total_consultas bigint, "
                                     "archivos_generados array<string>")

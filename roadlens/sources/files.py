@@ -64,10 +64,11 @@ def _read_text_columns(spark: SparkSession, path: str, ddl: str, header: bool,
     return rows if multi_line else _texts(rows, line_breaks_in)
 
 
-def _width(spark: SparkSession, path: str) -> int:
-    """The most columns a line has: its commas outside quotes, and one."""
+def _width(spark: SparkSession, path: str, multi_line: bool = False) -> int:
+    """The most columns a line has: its commas outside quotes, and one. With ``multi_line`` a quoted break is no end of a line."""
     bare = F.regexp_replace("value", '"(?:[^"]|"")*"', "")
-    found = spark.read.text(path).agg(F.max(F.regexp_count(bare, F.lit(","))).alias("n")).first().n
+    lines = spark.read.text(path, wholetext=multi_line).select(F.explode(F.split(bare, "\n")) if multi_line else bare).toDF("line")
+    found = lines.agg(F.max(F.regexp_count("line", F.lit(","))).alias("n")).first().n
     return (found or 0) + 1
 
 
@@ -86,7 +87,7 @@ def load_named(spark: SparkSession, path: str, name: str, side: str = "index",
     else:
         ddl = index_schema(name)
         if ddl is None:
-            return load_generic(spark, path)
+            return load_generic(spark, path, header=header, multi_line=multi_line)
     rows = _read_text_columns(spark, path, ddl, header, multi_line)
     present = {}
     for field in rows.schema.fields:
@@ -98,14 +99,15 @@ def load_named(spark: SparkSession, path: str, name: str, side: str = "index",
     return rows.withColumns(present)
 
 
-def load_generic(spark: SparkSession, path: str, width: int = GENERIC_WIDTH) -> DataFrame:
-    """An unknown headerless CSV as ``campo_0 …``; types come from one pass over all rows.
+def load_generic(spark: SparkSession, path: str, width: int = GENERIC_WIDTH, header: bool = False,
+                 multi_line: bool = False) -> DataFrame:
+    """An unknown CSV as ``campo_0 …``; types come from one pass over all rows. With ``header`` each file's first line is left out.
 
     There are as many columns as the widest line has, and at least ``width``. Whole numbers without gaps are bigint, other numbers and empty columns double,
     the rest text. The pass brings one row of counts to the driver.
     """
-    names = [f"campo_{i}" for i in range(max(width, _width(spark, path)))]
-    text = _read_text_columns(spark, path, ", ".join(f"{n} string" for n in names), False)
+    names = [f"campo_{i}" for i in range(max(width, _width(spark, path, multi_line)))]
+    text = _read_text_columns(spark, path, ", ".join(f"{n} string" for n in names), header, multi_line)
     text = text.select([_present(F.col(n)).alias(n) for n in names])
     counts = text.agg(
         F.count(F.lit(1)).alias("rows"),

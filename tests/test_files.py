@@ -203,3 +203,28 @@ def test_line_breaks_and_their_signs_survive(spark, tmp_path):
     (tmp_path / "foreign.csv").write_text('"Av\n1",7\n')
     foreign = sources.load_positional(spark, str(tmp_path / "foreign.csv"), schema="street string, n int", multi_line=True)
     assert rows(foreign) == [("Av\n1", 7)]
+
+
+def test_options_reach_unknown_datasets(spark, tmp_path):
+    (tmp_path / "x.csv").write_text('name,number\n"a\nb",1\n"c, d",2\n')
+    df = sources.load_named(spark, str(tmp_path / "x.csv"), "unknown", header=True, multi_line=True)
+    assert [(r.campo_0, r.campo_1) for r in df.orderBy("campo_1").collect()] == [("a\nb", 1), ("c, d", 2)]
+    assert dict(df.dtypes)["campo_1"] == "bigint" and len(df.columns) == 10
+    (tmp_path / "y.csv").write_text("name,number\na,1\nb,2\n")
+    assert rows(sources.load_named(spark, str(tmp_path / "y.csv"), "unknown", header=True).select("campo_0", "campo_1")) == [("a", 1), ("b", 2)]
+
+
+def mapped(df, name):
+    return {r.field: r.type for r in D.content_mapping(name, df).collect()}
+
+
+def test_the_mapping_follows_the_content(spark):
+    schema = "tipo string, fecha string, latitud double, nota string"
+    first = spark.createDataFrame([("JAM", "2025-01-01T10:00:00", 1.5, "7"), (None, None, None, "8")], schema)
+    common = {"@timestamp": "date", "location": "geo_point"}
+    assert mapped(first, "data_unique") == {**common, "tipo": "keyword", "fecha": "date", "latitud": "float", "nota": "integer"}
+    other = spark.createDataFrame([("JAM", "no date", 1.5, "two words"), (None, None, None, "8")], schema)
+    assert mapped(other, "data_unique") == {**common, "tipo": "keyword", "fecha": "text", "latitud": "float", "nota": "text"}
+    assert mapped(first.filter("false"), "other")["nota"] == "float"
+    text = D.content_mapping("other", first)._jdf.queryExecution().executedPlan().toString()
+    assert text.count("ExistingRDD") == 1  # one pass

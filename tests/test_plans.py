@@ -150,3 +150,16 @@ def test_a_hot_rank_is_split_by_the_join(spark):
     finally:
         for key in settings:
             spark.conf.unset(key)
+
+
+def test_counts_come_from_footers(spark, tables, tmp_path):
+    paths = {}
+    for name, df in (("b", tables["raw"]), ("a", tables["raw"].filter("false"))):
+        paths[name] = str(tmp_path / name)
+        df.write.parquet(paths[name])
+    before = spark.conf.get("spark.sql.sources.useV1SourceList")
+    counts = S.footer_counts(spark, paths)
+    text = plan(counts)
+    assert text.count("PushedAggregation: [COUNT(*)]") == 2 and "FileScan" not in text
+    assert [tuple(r) for r in counts.collect()] == [("a", 0), ("b", tables["raw"].count())]
+    assert spark.conf.get("spark.sql.sources.useV1SourceList") == before

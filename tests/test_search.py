@@ -82,6 +82,23 @@ def test_counts_listing_and_completeness(spark, docs):
     assert pipeline.needs_reload({}, ["b"]) is True
 
 
+def test_freshness_and_listing_of_a_written_index(spark, tables, tmp_path):
+    frames = {"data_unique": tables["unique"], "filtered_events": tables["filtered"].filter("false")}
+    pipeline.index_events(frames, str(tmp_path), AS_OF)
+    assert [r.dataset for r in S.indexed_listing(spark, str(tmp_path), "incidents_").collect()] == ["data-unique", "filtered-events"]
+    for expected, reload in ((["data_unique"], False), (["data_unique", "filtered_events"], True), (["data_unique", "hours"], True)):
+        assert pipeline.freshness(spark, str(tmp_path), expected).first().reload is reload
+
+
+def test_a_failure_that_is_not_the_request_s_ends_the_report(spark, docs, tmp_path, monkeypatch):
+    def lost(*args):
+        raise RuntimeError("executor lost")
+
+    monkeypatch.setattr(pipeline.sinks, "result_save", lost)
+    with pytest.raises(RuntimeError):
+        pipeline.static_report(docs, str(tmp_path), AS_OF)
+
+
 def test_static_report_survives_a_failing_request(spark, docs, tmp_path):
     requests = {"bad": {"size": 0, "aggs": {"a": {"avg": {}}}}, **S.STATIC_REQUESTS}
     saved = pipeline.static_report(docs, str(tmp_path), AS_OF, requests)

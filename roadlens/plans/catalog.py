@@ -19,6 +19,7 @@ from roadlens.plans import oracle as O
 from roadlens.plans import pipeline
 from roadlens.schemas import POSITIONAL, REPORT_SCHEMAS
 from roadlens.session import scratch_path
+from roadlens.sinks.batches import children
 from roadlens.sinks import files as sinks
 from roadlens.sources import feed
 from roadlens.sources import files as sources
@@ -140,13 +141,14 @@ def _(spark, sf):
 
 def _ingested(spark: SparkSession, sf: str, changes_only: bool) -> DataFrame:
     root = scratch_path(spark, "ingest")
-    # The polls land in order, a file each time, and are read a file at a time: state crosses batches.
-    landing = tables.land_feed(spark, sf, f"{root}/landing", writes=3)
+    # The polls land in order, in three parts, and are read a part at a time: state crosses batches.
+    landing = tables.land_feed(spark, sf, f"{root}/landing", writes=3, files=4)
+    files = max(1, sum(n.startswith("part-") for n in children(spark, landing)) // 3)
     run = lambda: changes.start_ingest(spark, landing, f"{root}/store", f"{root}/checkpoint", changes_only,
-                                       available_now=True, max_files=1).awaitTermination()
+                                       available_now=True, max_files=files).awaitTermination()
     run()
-    if not changes_only:  # all polls are delivered again under another name, and the loop starts anew
-        spark.read.text(landing).coalesce(1).write.mode("append").text(landing)
+    if not changes_only:  # all polls are delivered again under other names, and the loop starts anew
+        spark.read.text(landing).write.mode("append").text(landing)
         run()
     return _rounded(sources.store_scan_all(spark, f"{root}/store"))
 

@@ -96,10 +96,10 @@ def unique(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _written(spark, sf_dir, "unique") or dedup_minute(filtered(spark, sf_dir))
 
 
-def land_feed(spark: SparkSession, sf_dir: str, path: str, writes: int = 1) -> str:
+def land_feed(spark: SparkSession, sf_dir: str, path: str, writes: int = 1, files: int = 1) -> str:
     """The incidents as feed payloads, one per ``POLL_ROWS`` numbers of the arrival order.
 
-    With several ``writes`` the polls land in that many parts, the earliest first, one file each.
+    With several ``writes`` the polls land in that many parts, the earliest first, ``files`` files each.
     """
     alert = F.struct(
         F.col("tipo").alias("type"), F.col("subtipo").alias("subtype"),
@@ -126,5 +126,5 @@ def land_feed(spark: SparkSession, sf_dir: str, path: str, writes: int = 1) -> s
     step = -(-(payloads.agg(F.max("poll")).first()[0] + 1) // writes)
     for i in range(writes):
         part = payloads.filter(F.col("poll").between(i * step, (i + 1) * step - 1))
-        part.coalesce(1).write.mode("append").json(path)
+        part.repartition(files).write.mode("append").json(path)
     return path

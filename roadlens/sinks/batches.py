@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-BUCKETS = 16
+BUCKETS = 8
 COMPACT_AFTER = 20
 
 

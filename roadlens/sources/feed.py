@@ -43,9 +43,14 @@ def flatten_feed(payloads: DataFrame, kinds: Sequence[str] = FEED_KINDS) -> Data
     return payloads.select(F.explode(alerts_of(kinds)).alias("a")).select(*event_record("a"))
 
 
-def flatten_in_order(payloads: DataFrame, kinds: Sequence[str] = FEED_KINDS, extra: Sequence[str] = ()) -> DataFrame:
-    """Event records with their arrival place ``(poll, pos)``, natural key and ``extra`` columns of their payload."""
-    return (payloads.select("poll", *extra, F.posexplode(alerts_of(kinds)).alias("pos", "a"))
+def flatten_in_order(payloads: DataFrame, kinds: Sequence[str] = FEED_KINDS, extra: Sequence[str] = (),
+                     empty: bool = False) -> DataFrame:
+    """Event records with their arrival place ``(poll, pos)``, natural key and ``extra`` columns of their payload.
+
+    With ``empty`` a payload without alerts gives a row without ``pos``.
+    """
+    spread = F.posexplode_outer if empty else F.posexplode
+    return (payloads.select("poll", *extra, spread(alerts_of(kinds)).alias("pos", "a"))
             .select("poll", "pos", *extra, *event_record("a"))
             .withColumn("clave", natural_key(F.col("tipo"), F.col("lat"),
                                              F.col("lon"), F.col("subtipo"))))

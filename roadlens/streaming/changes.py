@@ -11,9 +11,10 @@ from __future__ import annotations
 
 import sys
 from collections.abc import Iterator
+from concurrent.futures import ThreadPoolExecutor
 
 import pandas as pd
-from pyspark import cloudpickle
+from pyspark import cloudpickle, inheritable_thread_target
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -140,7 +141,7 @@ class Ingest:
                  chunk_rows: int = CHUNK_ROWS):
         self.store, self.checkpoint, self.changes_only, self.chunk_rows = store, checkpoint, changes_only, chunk_rows
         self.ttl = ttl_seconds and 1000 * ttl_seconds
-        self.polls = LastValues(f"{checkpoint}/polls", "digest", "poll bigint")
+        self.polls = LastValues(f"{checkpoint}/polls", "digest", "poll bigint", buckets=1)  # a row a poll
         self.seen = LastValues(f"{checkpoint}/last-seen", "clave", "hora string")
         self._writer: str | None = None
 
@@ -152,9 +153,12 @@ class Ingest:
 
     def fresh(self, payloads: DataFrame, number: int, since: int | None) -> DataFrame:
         """The payloads that no earlier batch has taken, one of equal ones. Without a poll number none are equal."""
-        told = payloads.withColumn("digest", F.when(F.col("numbered"), F.sha2(F.to_json(F.struct("poll", *FEED_KINDS)).cast("binary"), 256)))
+        content = [F.hex(F.xxhash64(F.lit(i), *FEED_KINDS)) for i in range(2)]  # 128 bits, beside the number itself
+        told = payloads.withColumn("digest", F.when(F.col("numbered"), F.concat_ws(":", "poll", *content)))
         own = F.coalesce("digest", F.concat_ws(":", "file", F.monotonically_increasing_id()))
-        first = told.withColumn("_own", own).dropDuplicates(["_own"]).drop("_own")
+        # Payloads are few and large: dealt out by number, so that small ones are not put together in one task.
+        tasks = payloads.sparkSession.sparkContext.defaultParallelism
+        first = told.withColumn("_own", own).repartition(tasks, "_own").dropDuplicates(["_own"]).drop("_own")
         known = self.polls.before(payloads.sparkSession, number, since).select("digest")
         return first.join(known, "digest", "left_anti")
 
@@ -163,23 +167,29 @@ class Ingest:
         spark.conf.set("spark.sql.adaptive.enabled", "true")  # no operator keeps state by shuffle partition
         now = payloads.agg(F.max("landed")).first()[0] if self.ttl else None
         since = now - self.ttl if now is not None else None
-        fresh = self.fresh(payloads, number, since).persist()
+        # Parsed once. A payload without alerts stays as a row without a place.
+        rows = flatten_in_order(self.fresh(payloads, number, since), extra=("landed", "digest"), empty=True).persist()
         try:
-            size = F.coalesce(F.sum(F.coalesce(F.size("alerts"), F.lit(0)) + F.coalesce(F.size("traffic"), F.lit(0))), F.lit(0))
-            n = fresh.agg(size).first()[0]
-            rows = flatten_in_order(fresh, extra=("landed",))
+            n = rows.count()
+            there = rows.filter("pos IS NOT NULL")
+            tasks = []
             if self.changes_only:
-                rows = rows.withColumn("seq", arrival(F.col("poll"), F.col("pos")))
-                found = self._changed(rows, n, number, since)
+                there = there.withColumn("seq", arrival(F.col("poll"), F.col("pos")))
+                found = self._changed(there, n, number, since)
+                last = there.groupBy("clave").agg(F.max_by("hora", "seq").alias("hora"), F.max("landed").alias("stamp"))
+                tasks.append(lambda: self.seen.put(last, number, since))
             else:
-                found = rows
-            append_batch(found.select(*EVENT_COLUMNS), self.store, self.writer(spark), number)
-            if self.changes_only:
-                last = rows.groupBy("clave").agg(F.max_by("hora", "seq").alias("hora"), F.max("landed").alias("stamp"))
-                self.seen.put(last, number, since)
-            self.polls.put(fresh.filter("digest IS NOT NULL").select("digest", "poll", F.col("landed").alias("stamp")), number, since)
+                found = there
+            polls = rows.filter("digest IS NOT NULL").groupBy("digest").agg(F.first("poll").alias("poll"), F.max("landed").alias("stamp"))
+            tasks.append(lambda: self.polls.put(polls, number, since))
+            writer = self.writer(spark)
+            tasks.append(lambda: append_batch(found.select(*EVENT_COLUMNS), self.store, writer, number))
+            # Each write replaces itself and reads only what earlier batches wrote, so their order does not matter.
+            with ThreadPoolExecutor(len(tasks)) as pool:
+                for done in [pool.submit(inheritable_thread_target(spark)(task)) for task in tasks]:
+                    done.result()
         finally:
-            fresh.unpersist()
+            rows.unpersist()
 
     def _changed(self, rows: DataFrame, n: int, number: int, since: int | None) -> DataFrame:
         """The rows whose key is new or whose stamp differs from the key's preceding row, here or in the table."""

@@ -48,14 +48,21 @@ _BLOCKS_CLOSE_P = frozenset("article aside blockquote div dl fieldset footer for
                             "p pre section table ul".split())
 _WORDS = frozenset("cookie cookies copyright subscribe newsletter login sign share comment comments reply advertisement "
                    "sponsored privacy terms menu search related".split())
+_ARTICLE = {"article", "main"}
+# Attribute words of what is no article text, also where it stands inside the article.
+_NO_TEXT = set("ad ads advert advertisement sponsored promo comment comments replies responses discussion cookie notice alert consent gdpr "
+               "disclaimer newsletter popup modal banner share social sidebar widget related recommended popular subscribe login search menu "
+               "navbar breadcrumbs navigation copyright".split())
 _GOLD = "\ue000"  # marks article text in made pages
 
 
 class Block:
-    __slots__ = ("tags", "names", "text", "linked")
+    """``inner`` are the ancestors' attribute words below the innermost article or main."""
 
-    def __init__(self, tags: tuple[str, ...], names: tuple[str, ...], text: str, linked: int):
-        self.tags, self.names, self.text, self.linked = tags, names, text, linked
+    __slots__ = ("tags", "names", "text", "linked", "inner")
+
+    def __init__(self, tags: tuple[str, ...], names: tuple[str, ...], text: str, linked: int, inner: tuple[str, ...] = ()):
+        self.tags, self.names, self.text, self.linked, self.inner = tags, names, text, linked, inner
 
 
 def blocks(page: str | None) -> list[Block]:
@@ -69,7 +76,9 @@ def blocks(page: str | None) -> list[Block]:
         nonlocal linked
         text = " ".join(html.unescape("".join(parts)).split())
         if text:
-            out.append(Block(tuple(t for t, _ in stack), tuple(n for _, names in stack for n in names), text, linked))
+            below = max((i + 1 for i, (t, _) in enumerate(stack) if t in _ARTICLE), default=len(stack))
+            out.append(Block(tuple(t for t, _ in stack), tuple(n for _, names in stack for n in names), text, linked,
+                             tuple(n for _, names in stack[below:] for n in names)))
         parts.clear()
         linked = 0
 
@@ -216,9 +225,9 @@ def _labelled(pages: list[str], made: int, seed: int) -> list[tuple[list[Block],
     for page in pages:
         found = blocks(page)
         prose += [w for b in found for w in b.text.split()[:50]]
-        if any({"article", "main"} & set(b.tags) for b in found):
-            out.append((found, [int(bool({"article", "main"} & set(b.tags))
-                                    and not {"nav", "aside", "footer", "form"} & set(b.tags)) for b in found]))
+        if any(_ARTICLE & set(b.tags) for b in found):
+            out.append((found, [int(bool(_ARTICLE & set(b.tags)) and not {"nav", "aside", "footer", "form"} & set(b.tags)
+                                    and not _NO_TEXT & set(b.inner)) for b in found]))
     rng = np.random.default_rng(seed)
     prose = prose or ["one", "two", "three", "four", "five"]
     for _ in range(made):

@@ -88,3 +88,26 @@ def test_noise_inside_the_article(field):
             '<div class="advertisement">Buy this now.</div><p>Second paragraph, of text.</p><form><label>Name</label></form>'
             '<section id="comments"><p>I do not agree, at all.</p></section></article><aside>Other</aside><footer>&copy; us</footer></div>')
     assert H.main_text(page, field) == "Title of it First paragraph, of text. Second paragraph, of text."
+
+
+def test_training_on_pages_with_noise_inside_the_article():
+    """Marked pages whose articles hold comments and adverts: both are learned as no text, and left out of new pages."""
+    words = "river stone market letter window garden bridge paper morning village".split()
+    rng = np.random.default_rng(3)
+    some = lambda n: " ".join(rng.choice(words, n)).capitalize() + "."
+
+    def page():
+        text = [some(int(rng.integers(8, 30))) for _ in range(int(rng.integers(2, 6)))]
+        body = "".join(f"<p>{t}</p>" for t in text)
+        extra = f'<div class="ad">{some(6)}</div>', f'<section id="comments"><h3>Comments</h3><p>{some(9)}</p><p>{some(20)}</p></section>'
+        return (f'<body class="popular"><nav><a href=x>{some(1)}</a></nav><article class="post">{body[:body.index("</p>") + 4]}{extra[0]}'
+                f'{body[body.index("</p>") + 4:]}{extra[1]}</article><footer>{some(4)}</footer></body>'), " ".join(text)
+
+    marked = [page()[0] for _ in range(200)]
+    labelled = H._labelled(marked, 0, 5)
+    assert all(y == 0 for found, ys in labelled for b, y in zip(found, ys, strict=True) if "comments" in b.names or "ad" in b.names)
+    assert all(y == 1 for found, ys in labelled for b, y in zip(found, ys, strict=True) if b.tags[-2:] == ("article", "p"))
+    field = H.fit(H._labelled(marked, 200, 5), epochs=150)
+    for _ in range(20):
+        html_, want = page()
+        assert H.main_text(html_, field) == want

@@ -14,7 +14,7 @@ the smallest ids can be among k neighbours, so Spark cuts copies to those before
 Defined results: null vectors, zero vectors and those with null or non-finite components take no part,
 nor do vectors whose length is not the most frequent one. Ties go to the smaller id. With fewer than
 k candidates, all are returned. Rows without an id take no part; of rows that repeat an id with equal
-vectors each may be found. Columns besides the two named are ignored.
+vectors each may be found, and each query row gets its k neighbours, repeated ones too. Columns besides the two named are ignored.
 """
 
 from __future__ import annotations
@@ -134,9 +134,10 @@ def indexed(rows: DataFrame, tree: Tree) -> DataFrame:
     return rows.withColumn("leaf", leaf_of("embedding"))
 
 
-def _best(queries: np.ndarray, names: np.ndarray, rows: np.ndarray, ids: np.ndarray, k: int) -> pd.DataFrame:
-    """Exact k nearest rows of each query among ``rows``; both are original vectors."""
+def _best(queries: np.ndarray, names: np.ndarray, rows: np.ndarray, ids: np.ndarray, k: int, keys: np.ndarray | None = None) -> pd.DataFrame:
+    """Exact k nearest rows of each query among ``rows``; both are original vectors. Queries are called by ``keys``, or else ``names``."""
     out = []
+    keys = names if keys is None else keys
     norms = np.sqrt((rows * rows).sum(axis=1))
     scores = (queries / np.sqrt((queries * queries).sum(axis=1, keepdims=True))) @ (rows / norms[:, None]).T
     scores[names[:, None] == ids[None, :]] = -2
@@ -146,7 +147,7 @@ def _best(queries: np.ndarray, names: np.ndarray, rows: np.ndarray, ids: np.ndar
         dots = (rows[at] * queries[q]).sum(axis=1)  # the same order of additions for every pair
         exact = dots / (norms[at] * np.sqrt((queries[q] * queries[q]).sum()))
         best = np.lexsort((ids[at], -exact))[:k]
-        out.append(pd.DataFrame({"query_id": names[q], "vec_id": ids[at][best], "score": exact[best]}))
+        out.append(pd.DataFrame({"query_id": keys[q], "vec_id": ids[at][best], "score": exact[best]}))
     return pd.concat(out) if out else pd.DataFrame({"query_id": [], "vec_id": [], "score": []})
 
 
@@ -174,12 +175,11 @@ def exact(queries: pd.DataFrame, rows: DataFrame, k: int) -> DataFrame:
 
 def calibrate(tree: Tree, index: DataFrame, k: int, probes: int = PROBES, target: float = TARGET) -> int:
     """The number of leaves to visit so that ``target`` of the probes' true neighbours are found."""
-    asked = sampled(index, probes, "vec_id", F.lit(1)).select("vec_id", "embedding").toPandas()
+    asked = sampled(index, probes, "vec_id", F.lit(1)).select("vec_id", "embedding").toPandas().drop_duplicates("vec_id")
     if not len(asked):
         return 1
     near = exact(asked, index, k)
     leaves = near.join(index.select("vec_id", "leaf"), "vec_id").select("query_id", "leaf").toPandas()
-    asked = asked.drop_duplicates("vec_id")
     place = {name: {leaf: i for i, leaf in enumerate(tree.best_first(row))}
              for name, row in zip(asked["vec_id"], _unit(asked["embedding"]), strict=True)}
     needed = np.sort([place[q][leaf] + 1 for q, leaf in leaves.itertuples(index=False)])
@@ -205,23 +205,25 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 5, target: float = TA
                 out.append([leaf for leaf, _ in zip(order, range(visits), strict=False)])
             yield pd.Series(out)
 
-    asked = (rows.filter(is_query).select(F.col("vec_id").alias("query_id"), F.col("embedding").alias("q"))
-             .repartition("query_id").withColumn("leaf", F.explode(visited("q"))))
+    # Equal query rows are answered once; a query is known by its id and vector.
+    queries = rows.filter(is_query).select(F.xxhash64("vec_id", "embedding").alias("query"), F.col("vec_id").alias("query_id"), F.col("embedding").alias("q"))
+    asked = queries.dropDuplicates(["query"]).repartition("query").withColumn("leaf", F.explode(visited("q")))
     cut = lambda df, name: df.groupBy("leaf").agg(F.ceil(F.count(F.lit(1)) / chunk).cast("int").alias(name))
     pieces = cut(index, "rows_in").join(cut(asked, "queries_in"), "leaf")  # one row per leaf, bounded by the sample
     every = lambda n: F.sequence(F.lit(0), F.col(n) - 1)
     of = lambda key, n: F.pmod(F.xxhash64(key), F.col(n)).cast("int")
     left = (index.join(F.broadcast(pieces), "leaf").withColumn("a", of("vec_id", "rows_in"))
             .withColumn("b", F.explode(every("queries_in"))).select("leaf", "a", "b", "vec_id", "embedding"))
-    right = (asked.join(F.broadcast(pieces), "leaf").withColumn("b", of("query_id", "queries_in"))
-             .withColumn("a", F.explode(every("rows_in"))).select("leaf", "a", "b", "query_id", "q"))
+    right = (asked.join(F.broadcast(pieces), "leaf").withColumn("b", of("query", "queries_in"))
+             .withColumn("a", F.explode(every("rows_in"))).select("leaf", "a", "b", "query", "query_id", "q"))
 
     def search(mine: pd.DataFrame, queries: pd.DataFrame) -> pd.DataFrame:
         if not len(mine) or not len(queries):
             return pd.DataFrame({"query_id": [], "vec_id": [], "score": []})
         return _best(np.array(queries["q"].tolist()), queries["query_id"].to_numpy(),
-                     np.array(mine["embedding"].tolist()), mine["vec_id"].to_numpy(), k)
+                     np.array(mine["embedding"].tolist()), mine["vec_id"].to_numpy(), k, queries["query"].to_numpy())
 
     key = ["leaf", "a", "b"]
     found = left.groupBy(*key).cogroup(right.groupBy(*key)).applyInPandas(search, _FOUND)
-    return _top(found, k).select("query_id", "rank", "vec_id", "score")
+    found = _top(found, k).select(F.col("query_id").alias("query"), "rank", "vec_id", "score")
+    return queries.select("query", "query_id").join(found, "query").select("query_id", "rank", "vec_id", "score")

@@ -67,3 +67,16 @@ def test_best_first_meets_every_leaf_once(rng):
     tree.add(rows, rng)
     order = list(tree.best_first(rows[0]))
     assert sorted(order) == list(range(tree.leaves)) and tree.assign(rows[:1])[0] == order[0]
+
+
+def test_repeated_query_rows_lose_no_neighbour(spark, rng):
+    rows = [(i, v.tolist()) for i, v in enumerate(rng.normal(size=(30, 4)).astype(np.float32))]
+    want = brute([i for i, _ in rows], [v for _, v in rows], [0, 10, 20])
+    again = rows + [rows[10]] * 2 + [(20, rows[20][1])]
+    got = A.nearest(table(spark, again), F.col("vec_id") % 10 == 0, target=1.0).collect()
+    for q, copies in ((0, 1), (10, 3), (20, 2)):
+        mine = sorted((r["rank"], r["vec_id"]) for r in got if r["query_id"] == q)
+        ids = [i for i, _ in want[q]]
+        if not {10, 20} & set(ids):  # a repeated candidate may be found more than once
+            assert mine == sorted((n + 1, i) for n, i in enumerate(ids) for _ in range(copies))
+        assert [n for n, _ in mine] == [n for n in range(1, 6) for _ in range(copies)]

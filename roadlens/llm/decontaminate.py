@@ -21,7 +21,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from roadlens.llm.common import lower_az, packed
+from roadlens.llm.common import lower_az, packed, stored
 
 #: Characters between words: all of ASCII but digits and letters (A-Z count as letters once lowered).
 BREAKS = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
@@ -101,20 +101,28 @@ def hits(docs: DataFrame, items: DataFrame, window: int = WINDOW, gram: int = GR
         prints = prints.union(items.filter(F.col("_n") == n)
                               .withColumn("_h", F.transform("_words", lambda w: F.xxhash64(F.lower(w))))
                               .select(F.lit(n), _hashed("_h", n, F.lit(0))))
-    prints = prints.distinct().select(F.col("_len").alias("_l"), F.col("_fp").alias("_f"), F.lit(True).alias("_hit"))
-    if prints.count() <= broadcast_rows:
-        prints = F.broadcast(prints)
-
+    prints = prints.distinct().select(F.col("_len").alias("_l"), F.col("_fp").alias("_f"))
+    same = (F.col("_fp") == F.col("_f")) & (F.col("_len") == F.col("_l"))
     numbered = docs.select(F.monotonically_increasing_id().alias("_row"), "doc_id", words(F.col(text)).alias("_words"))
-    kept = _looked_up(_with_minima(numbered, window, gram), window, gram, lengths)
-    kept = kept.join(prints, (F.col("_fp") == F.col("_f")) & (F.col("_len") == F.col("_l")), "left")
-    kept = kept.filter("_hit OR _start = -1")
+    if prints.count() <= broadcast_rows:
+        kept = _looked_up(_with_minima(numbered, window, gram), window, gram, lengths)
+        kept = kept.join(F.broadcast(prints.withColumn("_hit", F.lit(True))), same, "left").filter("_hit OR _start = -1")
+    else:  # place and fingerprint alone are shuffled; the words come back by row, once, for all its hits
+        numbered = stored(numbered, "numbered")
+        places = _looked_up(_with_minima(numbered, window, gram), window, gram, lengths).filter("_start >= 0")
+        found = places.select("_row", "_len", "_start", "_fp").join(prints, same, "left_semi")
+        per_row = found.groupBy("_row").agg(F.collect_list(F.struct("_len", "_start")).alias("_hits"))
+        none = F.array(F.struct(F.lit(0).alias("_len"), F.lit(-1).alias("_start")))
+        kept = (numbered.join(per_row, "_row", "left").withColumn("_n", F.size("_words"))
+                .withColumn("_at", F.explode(F.concat(none, F.coalesce("_hits", F.slice(none, 1, 0))))).select("*", "_at.*"))
     # A fingerprint stands for the windows that begin in the next places; those of short items for themselves.
     last = F.least(F.col("_start") + (window - gram), F.col("_n") - window)
     starts = F.when(F.col("_len") == window, F.sequence(F.col("_start"), F.greatest(last, F.col("_start"))))
     kept = kept.withColumn("start", F.explode(F.coalesce(starts, F.array("_start"))))
+    # A row that stands for its document alone gets a text of its own that no window is, so such rows do not meet in one task.
+    alone = F.concat(F.lit("\0"), F.col("_row").cast("string"))
     near = kept.select("_row", "doc_id", F.col("_n").alias("n_words"), "start", F.col("_len").alias("length"),
-                       F.when(F.col("start") >= 0, _window_text(F.col("start"), F.col("_len"))).alias("window"))
+                       F.when(F.col("start") >= 0, _window_text(F.col("start"), F.col("_len"))).otherwise(alone).alias("window"))
     exact = near.join(windows.select("window").distinct().withColumn("_same", F.lit(True)), "window", "left")
     return exact.filter("_same OR start = -1").drop("_same"), windows
 

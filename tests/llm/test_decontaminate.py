@@ -83,3 +83,20 @@ def test_main_path_is_native(spark, docs):
     plan = D.contamination(docs(["a b c"]), items)._jdf.queryExecution().executedPlan().toString()
     assert not any(x in plan for x in ("Python", "Pandas", "Arrow"))
     assert np.all([c not in plan for c in ("CartesianProduct", "NestedLoop")])
+
+
+def test_shuffled_lookup_sends_places_not_words(spark, docs, rng):
+    """A text of 20,000 words crosses the network as places and fingerprints, and comes back by row; rows without hits stay apart."""
+    long = prose(rng, 20_000)
+    items = [(i, " ".join(long.split()[900 * i:900 * i + 30])) for i in range(20)] + [(50, "ka lo"), (51, None)]
+    texts = [long, prose(rng, 30), None, "", "ka lo mi", long]
+    items_df = spark.createDataFrame(items, "item_id long, text string")
+    small, _ = D.hits(docs(texts), items_df, broadcast_rows=10**9)
+    large, _ = D.hits(docs(texts), items_df, broadcast_rows=0)
+    rows = lambda df: sorted(tuple(r) for r in df.filter("start >= 0").select("doc_id", "n_words", "start", "length", "window").distinct().collect())
+    assert rows(small) == rows(large) and len(rows(large)) > 100
+    assert sorted(r.doc_id for r in large.filter("start = -1").collect()) == list(range(6))
+    text = large._jdf.queryExecution().optimizedPlan().toString()
+    join = text[text.index("Join LeftSemi"):]
+    side = join.split("\n")[1]
+    assert "_words" not in side and "Project" in side

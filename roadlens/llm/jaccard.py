@@ -223,7 +223,7 @@ def _compared(docs: DataFrame, pairs: DataFrame, percent: int, keep: int = 0) ->
 
     ids = pairs.select(F.explode(F.array("a", "b")).alias("set_id")).distinct()
     sets = docs.mapInPandas(fetch, "set_id long, members binary").join(ids, "set_id", "left_semi")
-    sets = sets.groupBy("set_id").agg(F.first("members").alias("members"))
+    sets = stored(sets.groupBy("set_id").agg(F.first("members").alias("members")), "members")  # read twice, the texts once
 
     def compare(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -416,14 +416,14 @@ def link_components(docs: DataFrame, percent: int = PERCENT, sketch_bits: int =
 
 
 def keep_first(docs: DataFrame, percent: int = PERCENT, sketch_bits: int = SKETCH_BITS) -> DataFrame:
-    """One row of each component, the one with the smallest id. Rows without an id or without words stay.
+    """One row of each component, the one with the smallest id; a row without an id comes last. Rows without words stay.
 
     A row is known by its doc_id and text together: of equal rows one stays, and rows that share only an
     id are decided each by its own text.
     """
     key = F.xxhash64("doc_id", "text")
     sets, found = links(docs.select(key.alias("doc_id"), "text"), percent, sketch_bits)
-    ids = docs.filter("doc_id IS NOT NULL").select(key.alias("_key"), F.col("doc_id").alias("_id")).distinct()
+    ids = docs.select(key.alias("_key"), F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("id")).alias("_id")).distinct()
     rows = sets.filter("n > 0").groupBy(F.col("doc_id").alias("_key"), "set_id").agg(F.count(F.lit(1)).alias("_rows"))
     named = (rows.join(ids, "_key").join(components(found), "set_id", "left")
              .select("_key", "_id", "_rows", F.coalesce("root", "set_id").alias("root")))

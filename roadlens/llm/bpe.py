@@ -38,9 +38,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from roadlens.llm.common import text_bytes
+from roadlens.llm.common import give_back, text_bytes
 
-BLOCK_CHARS = 8_000_000
+BLOCK_CHARS = 4_000_000
 _LONG = 2_000_000
 _CHUNK = 500_000
 
@@ -184,8 +184,12 @@ def blocks(docs: DataFrame, buckets: int, pattern: str = public_tokenizers.PATTE
                     made += 1
                     words.clear()
                     ids, numbers, chars = [], [], 0
+                    give_back()
         if ids:
             yield from flush()
+        words.clear()
+        ids, numbers = [], []
+        give_back()
 
     return docs.select(F.col("doc_id").cast("long"), "text", F.spark_partition_id().alias("part")).mapInArrow(split, _BLOCK)
 
@@ -216,6 +220,9 @@ def encode(docs: DataFrame, path: str, pattern: str = public_tokenizers.PATTERN,
                 flat = np.fromiter(chain.from_iterable(rows), np.uint32, int(counts.sum()))
                 out.append((bucket, block, seal, at, _planes(np.concatenate([counts, flat])), None, None))
             yield pd.DataFrame(out, columns=_COLUMNS)
+            out = None
+        known.clear()
+        give_back()
 
     def reassemble(block: pd.DataFrame) -> pd.DataFrame:
         if block["seal"].nunique() != 1 or (block["bucket"] < 0).sum() != 1:
@@ -251,6 +258,8 @@ def encode(docs: DataFrame, path: str, pattern: str = public_tokenizers.PATTERN,
                 begin = end
             done, first = int(ends[last - 1]), last
         ids = pd.array([None if pd.isna(i) else i for i in texts["doc_ids"]], "Int64")
+        del table, words, counts, starts, parts, flat
+        give_back()
         return pd.DataFrame({"doc_id": ids, "n_tokens": [len(x) // 4 for x in out], "ids": out})
 
     encoded = (blocks(docs, buckets, pattern, block_chars).repartition("bucket").sortWithinPartitions("bucket")

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import ctypes
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -46,6 +49,15 @@ def sampled(df: DataFrame, n: int, *by: str | Column) -> DataFrame:
     return df.filter(place < F.lit(int(share * (1 << 40)))).orderBy(place, *by).limit(n)
 
 
+def give_back() -> None:
+    """Returns what a task's Python has freed to the system; a worker that waits for its next task would hold it."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # another C library
+        pass
+
+
 def packed(df: DataFrame, *keep: str) -> tuple[DataFrame, dict[str, Column]]:
     """``df`` as the columns ``keep`` and one struct of all others, and how to select each column back.
 

@@ -28,21 +28,30 @@ FROM d LEFT JOIN cover USING (doc_id) LEFT JOIN which USING (doc_id)"""
 
 _SPACE = r"[ \t\n\x0B\f\r]"
 _NOSPACE = r"[^ \t\n\x0B\f\r]"
-DROPPED = rf"""
-lines AS (SELECT doc_id, i - 1 AS line, parts[i] AS body
-          FROM (SELECT doc_id, parts, unnest(range(1, len(parts) + 1)) AS i
-                FROM (SELECT doc_id, string_split(text, chr(10)) AS parts FROM {{docs}}))),
-tokens AS (SELECT doc_id, line, string_split_regex(regexp_replace(regexp_replace(body, '{_NOSPACE}*[0-9]{_NOSPACE}*', '<*>', 'g'),
-                  '^{_SPACE}+|{_SPACE}+$', '', 'g'), '{_SPACE}+') AS t FROM lines),
-cut AS (SELECT doc_id, line, t, len(t) AS n, CAST(ceil((len(t) - 3) / 4.0) AS BIGINT) AS s FROM tokens WHERE len(t) >= 5),
-keys AS (SELECT doc_id, line, unnest(CASE WHEN n >= 12 THEN
-             [{{{{'j': -1, 'n': n, 't': t}}}}] || [{{{{'j': j, 'n': n, 't': t[:3 + s * j] || ['<block>'] || t[4 + s * (j + 1):]}}}} for j in [0, 1, 2, 3]]
-             ELSE [{{{{'j': -1, 'n': n, 't': t}}}}] END) AS k FROM cut),
-firsts AS (SELECT k, min(doc_id) AS first_id FROM keys GROUP BY k),
-gone AS (SELECT DISTINCT doc_id, line FROM keys JOIN firsts USING (k) WHERE first_id < doc_id)""".replace("{{{{", "{{").replace("}}}}", "}}")
+_UNSPACED = r"[\p{Han}\p{Hiragana}\p{Katakana}\p{Thai}\p{Lao}\p{Khmer}\p{Myanmar}]"
+
+
+def _constant(tokens: str) -> str:
+    return f"len(list_filter({tokens}, lambda x: x <> '<*>'))"
 
+
+_OUTSIDE = "t[:3 + s * j] || t[4 + s * (j + 1):]"
 LINE_TEMPLATES = f"""
-WITH {DROPPED.format(docs="documents")}
+WITH lines AS (SELECT doc_id, i - 1 AS line, parts[i] AS body
+          FROM (SELECT doc_id, parts, unnest(range(1, len(parts) + 1)) AS i
+                FROM (SELECT doc_id, string_split(text, chr(10)) AS parts FROM documents))),
+tokens AS (SELECT doc_id, line, regexp_replace(body, '^{_SPACE}+|{_SPACE}+$', '', 'g') AS exact,
+                  string_split_regex(regexp_replace(regexp_replace(regexp_replace(body, '({_UNSPACED})', ' \1 ', 'g'),
+                  '{_NOSPACE}*[0-9]{_NOSPACE}*', '<*>', 'g'), '^{_SPACE}+|{_SPACE}+$', '', 'g'), '{_SPACE}+') AS t FROM lines),
+cut AS (SELECT doc_id, line, exact, t, len(t) AS n, CAST(ceil((len(t) - 3) / 4.0) AS BIGINT) AS s FROM tokens WHERE exact <> ''),
+keys AS (SELECT doc_id, line, unnest(CASE
+           WHEN n < 5 OR 2 * {_constant("t")} < n THEN [{{'j': -2, 'n': 0, 't': [exact]}}]
+           WHEN n >= 12 THEN [{{'j': -1, 'n': n, 't': t}}] || list_transform(
+             list_filter([0, 1, 2, 3], lambda j: 2 * {_constant(_OUTSIDE)} >= len({_OUTSIDE})),
+             lambda j: {{'j': j, 'n': n, 't': t[:3 + s * j] || ['<block>'] || t[4 + s * (j + 1):]}})
+           ELSE [{{'j': -1, 'n': n, 't': t}}] END) AS k FROM cut),
+firsts AS (SELECT k, min(doc_id) AS first_id FROM keys GROUP BY k),
+gone AS (SELECT DISTINCT doc_id, line FROM keys JOIN firsts USING (k) WHERE first_id < doc_id)
 SELECT doc_id, count(*) AS n_lines, count(gone.line) AS n_dropped,
        sha256(coalesce(string_agg(body, chr(10) ORDER BY lines.line) FILTER (gone.line IS NULL), '')) AS kept_sha256
 FROM lines LEFT JOIN gone USING (doc_id, line) GROUP BY doc_id"""

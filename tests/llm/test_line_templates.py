@@ -1,5 +1,7 @@
 import re
 
+import regex
+
 from roadlens.llm import line_templates as L
 from llm_helpers import prose
 
@@ -7,14 +9,19 @@ from llm_helpers import prose
 def brute(texts, depth=3, min_tokens=5, block_tokens=12):
     """(text kept, lines dropped) by text; ids are places."""
     def keys(line):
-        t = re.split(r"[ \t\n\x0b\f\r]+", re.sub(r"^[ \t\n\x0b\f\r]+|[ \t\n\x0b\f\r]+$", "", re.sub(
-            r"[^ \t\n\x0b\f\r]*[0-9][^ \t\n\x0b\f\r]*", "<*>", line)))
-        if len(t) < min_tokens:
+        exact = line.strip(" \t\n\x0b\f\r")
+        if not exact:
             return []
+        spaced = regex.sub(r"([\p{Han}\p{Hiragana}\p{Katakana}\p{Thai}\p{Lao}\p{Khmer}\p{Myanmar}])", r" \1 ", line)
+        enough = lambda some: 2 * sum(x != "<*>" for x in some) >= len(some)
+        t = re.split(r"[ \t\n\x0b\f\r]+", re.sub(r"^[ \t\n\x0b\f\r]+|[ \t\n\x0b\f\r]+$", "", re.sub(
+            r"[^ \t\n\x0b\f\r]*[0-9][^ \t\n\x0b\f\r]*", "<*>", spaced)))
+        if len(t) < min_tokens or not enough(t):
+            return [exact]
         out = [(len(t), tuple(t))]
         if len(t) >= block_tokens:
             s = -(-(len(t) - depth) // 4)
-            out += [(len(t), j, tuple(t[:depth + s * j]), tuple(t[depth + s * (j + 1):])) for j in range(4)]
+            out += [(len(t), j, tuple(a), tuple(b)) for j in range(4) for a, b in [(t[:depth + s * j], t[depth + s * (j + 1):])] if enough(a + b)]
         return out
 
     first = {}
@@ -73,19 +80,20 @@ def test_main_path_is_native(docs):
     assert not any(x in plan for x in ("Python", "Pandas", "Arrow", "CartesianProduct", "NestedLoop"))
 
 
-def test_whole_has_no_shortest_line(docs, rng):
+def test_no_line_is_too_short(docs, rng):
     han = "".join(map(chr, rng.integers(0x4E00, 0x9F00, 40)))
     texts = [f"first own line\nAll rights reserved.\n\nPage 3\n{han}", f"second one\n All rights reserved. \n\nPage 7\n{han[:20]}変変{han[22:]}", "Page 3\n" + han]
-    got = sorted((r.doc_id, r.text) for r in L.drop_recurring(docs(texts), whole=True).collect())
+    got = sorted((r.doc_id, r.text) for r in L.drop_recurring(docs(texts)).collect())
     assert got == [(0, texts[0]), (1, "second one\n\nPage 7"), (2, "")]
-    assert [n for _, n in brute(texts)] == [0, 0, 0]  # what the rule with min_tokens drops
+    assert [t for t, _ in brute(texts)] == [t for _, t in got]
 
 
-def test_whole_keeps_rows_of_numbers(docs):
+def test_rows_of_numbers_stay(docs):
     """Number tables of clean documents stay; an equal row, and a line with enough constant tokens, still goes."""
     line = "Posted on {} by the editors of our weekly news letter for all the readers"
     half = "a b c d e f g 8 9 10 11 12 13 14"  # constant in half its places, but not without its first block
     texts = ["12 15 18 20 22\n1 2 3 4 5\n" + line.format("2024-01-05") + "\n" + half, "31 7 9 11 40\n" + line.format("3 May"),
              "1 2 3 4 5\nown\n" + line.format("2023-11-30") + "\n" + half.replace("d e f", "x y z")]
-    got = {r.doc_id: r.text for r in L.drop_recurring(docs(texts), whole=True).collect()}
+    got = {r.doc_id: r.text for r in L.drop_recurring(docs(texts)).collect()}
+    assert [t for t, _ in brute(texts)] == [got[i] for i in range(3)]
     assert got == {0: texts[0], 1: texts[1], 2: "own\n" + half.replace("d e f", "x y z")}

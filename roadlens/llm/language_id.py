@@ -15,24 +15,27 @@ columns named are read.
 from __future__ import annotations
 
 import functools
-import re
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from roadlens.llm.common import packed
+from roadlens.llm.common import give_back, packed
 
 BUCKETS = 1 << 18
 ORDERS = (1, 2, 3)
 ALPHA = 0.5
-PIECE = 500_000
-_LETTER = re.compile(r"[^\W\d_]")
+PIECE = 250_000
 _PAD = max(ORDERS) - 1
 
 
+def has_letter(text: Column) -> Column:
+    """Whether a text has a letter; the one rule for what has no language."""
+    return text.rlike(r"\p{L}")
+
+
 @functools.cache
 def _letters() -> np.ndarray:
     """For each code point: itself if it is a letter, else a space."""
@@ -125,13 +128,14 @@ def predict(docs: DataFrame, model: tuple[list[str], np.ndarray, np.ndarray], te
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
+    # Told to be nondeterministic, so that a filter on the prediction does not make Spark score every text twice.
     @F.pandas_udf("lang_pred string, score double")
     def scored(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         langs, logs, prior = shared.value
         buckets = len(logs) - 1
         for texts in batches:
             totals = np.zeros((len(texts), len(langs))) + prior
-            some = [(i, t) for i, t in enumerate(texts) if t and _LETTER.search(t)] if langs else []
+            some = [(i, t) for i, t in enumerate(texts) if t] if langs else []
             for codes, own, starts, names in pieces(iter(some)):
                 sums = np.zeros((len(codes), len(langs)), np.float32)
                 for h in grams(codes, own, buckets):
@@ -146,7 +150,9 @@ def predict(docs: DataFrame, model: tuple[list[str], np.ndarray, np.ndarray], te
                 out.loc[rows, "lang_pred"] = [langs[b] for b in best]
                 out.loc[rows, "score"] = 1 / share.sum(axis=1)
             yield out
+            give_back()
 
     alone, rest = packed(docs, text)
     kept = [rest[c] for c in rest if c not in ("lang_pred", "score")]
-    return alone.withColumn("_found", scored(F.col(f"`{text}`"))).select(*kept, "_found.*")
+    asked = F.when(has_letter(F.col(f"`{text}`")), F.col(f"`{text}`"))
+    return alone.withColumn("_found", scored.asNondeterministic()(asked)).select(*kept, "_found.*")

@@ -63,3 +63,20 @@ def test_ties_go_to_the_first_language(spark, docs):
     train = spark.createDataFrame([("abc", "zz"), ("abc", "aa")], "text string, lang string")
     got = N.predict(docs(["abc"]), N.train(train)).first()
     assert got.lang_pred == "aa" and abs(got.score - 0.5) < 1e-6
+
+
+def test_one_rule_for_a_letter(spark, docs):
+    """Numbers, fractions and circled digits are no letters, whatever a regular expression's word class says."""
+    texts = ["the words of a text", "les mots du texte", "½ ②", "٣ Ⅷ ﬀ" , "x", "12 !", "_", None, ""]
+    df = docs(texts)
+    model = N.train(docs(texts[:2]).withColumn("lang", F.when(F.col("doc_id") == 0, "en").otherwise("fr")))
+    got = {r.doc_id: (r.lang_pred, r.score) for r in N.predict(df, model).collect()}
+    has = {r.doc_id for r in df.filter(N.has_letter(F.col("text"))).collect()}
+    assert has == {0, 1, 3, 4} and {i for i, (lang, _) in got.items() if lang != "und"} == has
+    assert got[2] == ("und", 0.0)
+
+
+def test_a_filter_on_the_prediction_scores_once(spark, docs):
+    model = N.train(docs(["the words", "other words"]))
+    text = N.predict(docs(["a"]), model).filter("lang_pred != 'und'").select("doc_id", "lang_pred")._jdf.queryExecution().executedPlan().toString()
+    assert text.count("ArrowEvalPython") == 1

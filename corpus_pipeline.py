@@ -24,7 +24,7 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     model = language_id.train(docs)
     alone, rest = packed(docs, "text", "lang")
     found = language_id.predict(alone, model)
-    kept = found.filter("lang_pred != 'und'" if model[0] else r"text RLIKE '\\p{L}'")
+    kept = found.filter(F.col("lang_pred") != "und" if model[0] else language_id.has_letter(F.col("text")))
     named = F.coalesce("lang", F.when(F.col("lang_pred") != "und", F.col("lang_pred")))
     return kept.select(*[named.alias("lang") if c == "lang" else rest[c] for c in docs.columns])
 
@@ -32,7 +32,7 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Recurring lines of any length go, and documents of which nothing is left; ``n_chars`` follows the text."""
     alone, rest = packed(docs, "doc_id", "text", "n_chars")
-    found = line_templates.drop_recurring(alone, whole=True).filter("n_dropped = 0 OR trim(text) != ''")
+    found = line_templates.drop_recurring(alone).filter("n_dropped = 0 OR trim(text) != ''")
     n = F.when(F.col("n_dropped") > 0, F.length("text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars"))
     return found.select(*[n.alias("n_chars") if c == "n_chars" else rest[c] for c in docs.columns])
 

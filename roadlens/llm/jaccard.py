@@ -19,8 +19,8 @@ between sets already answer:
    and the last shared positions bound the overlap, and pairs that pass are compared in full.
 5. Components of all links, by contraction.
 
-Lists and groups longer than ``TILE`` are split into tiles that meet pairwise in different tasks. Sets are
-computed from the texts when they are needed; a fixed-size filter keeps the sets of candidates.
+Lists and groups longer than ``TILE`` are split into tiles that meet pairwise in different tasks. The texts are
+read once: the sets are written (8 bytes a shingle) and read again where they are needed, a fixed-size filter keeping those of candidates.
 
 Defined results: a text without words, or null, has no shingles and is alone. Rows that repeat an id
 each give a row. Rows without an id take part, but never name a component. Only doc_id and text are read.
@@ -37,7 +37,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from roadlens.llm.common import packed, stored
+from roadlens.llm.common import give_back, packed, stored
 
 SHINGLE = 5
 PERCENT = 80
@@ -47,6 +47,7 @@ FILTER_BITS = 24
 TILE = 1000
 LONG = 50
 GROUP_PERCENT = 50
+_ROWS = 1000  # rows that become arrays at a time
 _M1, _M2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 
 
@@ -77,12 +78,6 @@ def _set_id(s: np.ndarray) -> int:
     return xxhash.xxh64_intdigest(s.tobytes(), seed=len(s) & 0xFFFFFFFF) - (1 << 63)
 
 
-def _sets(batch: pd.DataFrame, words: _WordHashes) -> Iterator[tuple[int, np.ndarray]]:
-    for text in batch["text"].tolist():
-        s = shingle_set(text, words)
-        yield _set_id(s), s
-
-
 def _summed(df: DataFrame, dtype: type, size: int, add) -> np.ndarray:
     """The arrays in the one binary column of ``df``, reduced in a tree of tasks."""
     arrays = df.rdd.map(lambda r: np.frombuffer(zlib.decompress(r[0]), dtype))
@@ -90,7 +85,8 @@ def _summed(df: DataFrame, dtype: type, size: int, add) -> np.ndarray:
 
 
 def _scan(docs: DataFrame, bits: int) -> DataFrame:
-    """doc_id, n and set_id of each row; and per task the sketch of shingles that its distinct sets share."""
+    """doc_id, n and set_id of each row, with the set itself where a task meets it first; and per task the sketch of
+    shingles that its distinct sets share."""
 
     def scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         words, seen = _WordHashes(), set()
@@ -104,42 +100,57 @@ def _scan(docs: DataFrame, bits: int) -> DataFrame:
             np.add.at(sketch, (values[again] >> np.uint64(64 - bits)).astype(np.int64), often[again].astype(np.uint32))
             parts.clear()
 
-        for batch in batches:
-            rows = []
-            for key, s in _sets(batch, words):
-                rows.append((len(s), key))
-                if key not in seen:
-                    seen.add(key)
-                    parts.append(s)
-                    held += len(s)
-                    if held >= COUNTED:
-                        count()
-                        held = 0
-            out = pd.DataFrame(rows, columns=["n", "set_id"])
-            out.insert(0, "doc_id", batch["doc_id"].astype("Int64").to_numpy())
-            yield out.assign(kind=0, sketch=None)
+        for whole in batches:
+            for begin in range(0, len(whole), _ROWS):
+                batch = whole[begin:begin + _ROWS]
+                rows = []
+                for text in batch["text"].tolist():
+                    s = shingle_set(text, words)
+                    key = _set_id(s)
+                    new = key not in seen and len(s) > 0
+                    rows.append((len(s), key, s.tobytes() if new else None))
+                    if new:
+                        seen.add(key)
+                        parts.append(s)
+                        held += len(s)
+                        if held >= COUNTED:
+                            count()
+                            held = 0
+                out = pd.DataFrame(rows, columns=["n", "set_id", "members"])
+                out.insert(0, "doc_id", batch["doc_id"].astype("Int64").to_numpy())
+                yield out.assign(kind=0, sketch=None)
         if parts:
             count()
-        yield pd.DataFrame({"doc_id": [None], "n": [0], "set_id": [0], "kind": [1],
+        yield pd.DataFrame({"doc_id": [None], "n": [0], "set_id": [0], "members": [None], "kind": [1],
                             "sketch": [zlib.compress(sketch.tobytes(), 1)]})
+        words.clear()
+        give_back()
+
+    return docs.mapInPandas(scan, "doc_id long, n long, set_id long, members binary, kind int, sketch binary")
+
 
-    return docs.mapInPandas(scan, "doc_id long, n long, set_id long, kind int, sketch binary")
+def _members(batches: Iterator[pd.DataFrame]) -> Iterator[list[tuple[int, np.ndarray]]]:
+    """Some written sets at a time, by id."""
+    for batch in batches:
+        for begin in range(0, len(batch), _ROWS):
+            rows = batch[begin:begin + _ROWS]
+            yield [(key, np.frombuffer(m, np.uint64)) for key, m in zip(rows["set_id"].tolist(), rows["members"].tolist(), strict=True)]
 
 
 def _prefix(n: int | np.ndarray, percent: int) -> int | np.ndarray:
     return n - (percent * n + 99) // 100 + 1
 
 
-def _index(docs: DataFrame, sketch, bits: int, percent: int) -> DataFrame:
+def _index(sets: DataFrame, sketch, bits: int, percent: int) -> DataFrame:
     """Prefix entries: token, set, size and position."""
 
     def entries(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        words, seen = _WordHashes(), set()
+        seen = set()
         counts = sketch.value
-        for batch in batches:
+        for batch in _members(batches):
             tokens, keys, sizes, lengths = [], [], [], []
-            for key, s in _sets(batch, words):
-                if len(s) and key not in seen:
+            for key, s in batch:
+                if key not in seen:
                     seen.add(key)
                     rank = counts[s >> np.uint64(64 - bits)].astype(np.uint64) << np.uint64(32) | s & np.uint64(0xFFFFFFFF)
                     p = _prefix(len(s), percent)
@@ -153,7 +164,7 @@ def _index(docs: DataFrame, sketch, bits: int, percent: int) -> DataFrame:
                     "token": np.concatenate(tokens).view(np.int64), "set_id": np.repeat(keys, lengths), "n": n,
                     "pos": np.concatenate([np.arange(p) for p in lengths])})
 
-    return docs.mapInPandas(entries, "token long, set_id long, n int, pos int")
+    return sets.mapInPandas(entries, "token long, set_id long, n int, pos int")
 
 
 def _lists(entries: DataFrame) -> DataFrame:
@@ -193,12 +204,12 @@ def _leaders(lists: DataFrame) -> DataFrame:
             .groupBy("set_id").agg(F.max_by("leader", F.struct("m", "leader")).alias("leader")))
 
 
-def _compared(docs: DataFrame, pairs: DataFrame, percent: int, keep: int = 0) -> DataFrame:
+def _compared(written: DataFrame, pairs: DataFrame, percent: int, keep: int = 0) -> DataFrame:
     """Pairs a, b of sets that link (100 |a and b| >= percent |a or b|), or reach ``keep`` percent.
 
     With the size of a, the places in a that b lacks, and what only b has (both empty without ``keep``).
     """
-    sc = docs.sparkSession.sparkContext
+    sc = pairs.sparkSession.sparkContext
     size = 1 << (FILTER_BITS - 3)
 
     def bits(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -211,19 +222,19 @@ def _compared(docs: DataFrame, pairs: DataFrame, percent: int, keep: int = 0) ->
     wanted = sc.broadcast(_summed(pairs.mapInPandas(bits, "bits binary"), np.uint8, size, np.bitwise_or))
 
     def fetch(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        words, seen = _WordHashes(), set()
+        seen = set()
         want = np.unpackbits(wanted.value)
-        for batch in batches:
+        for batch in _members(batches):
             out = []
-            for key, s in _sets(batch, words):
+            for key, s in batch:
                 if key not in seen and want[(key & 0xFFFFFFFFFFFFFFFF) >> (64 - FILTER_BITS)]:
                     seen.add(key)
                     out.append((key, s.tobytes()))
             yield pd.DataFrame(out, columns=["set_id", "members"])
 
     ids = pairs.select(F.explode(F.array("a", "b")).alias("set_id")).distinct()
-    sets = docs.mapInPandas(fetch, "set_id long, members binary").join(ids, "set_id", "left_semi")
-    sets = stored(sets.groupBy("set_id").agg(F.first("members").alias("members")), "members")  # read twice, the texts once
+    sets = written.mapInPandas(fetch, "set_id long, members binary").join(ids, "set_id", "left_semi")
+    sets = stored(sets.groupBy("set_id").agg(F.first("members").alias("members")), "wanted")  # joined twice
 
     def compare(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -393,15 +404,16 @@ def links(docs: DataFrame, percent: int = PERCENT, sketch_bits: int = SKETCH_BIT
     docs = docs.select(F.col("doc_id").cast("long"), "text")
     scanned = stored(_scan(docs, sketch_bits), "sets")
     sketch = _summed(scanned.filter("kind = 1").select("sketch"), np.uint32, 1 << sketch_bits, np.add)
-    lists = stored(_lists(_index(docs, sc.broadcast(sketch), sketch_bits, percent)), "lists")
+    sets = scanned.filter("members IS NOT NULL").select("set_id", "members")
+    lists = stored(_lists(_index(sets, sc.broadcast(sketch), sketch_bits, percent)), "lists")
 
     best = stored(_leaders(lists).filter("set_id != leader").select(F.col("leader").alias("a"), F.col("set_id").alias("b")), "leaders")
-    members = stored(_compared(docs, best, percent, GROUP_PERCENT), "members")
+    members = stored(_compared(sets, best, percent, GROUP_PERCENT), "members")
     inside = members.filter("linked").select("a", "b").union(_inside_groups(members, percent))
     inside = stored(inside, "links")
     groups = members.select(F.col("b").alias("set_id"), F.col("a").alias("grp"))
     pairs = stored(_pairs(lists, groups, components(inside), percent), "pairs")
-    rest = _compared(docs, pairs, percent).select("a", "b")
+    rest = _compared(sets, pairs, percent).select("a", "b")
     return scanned.filter("kind = 0").select("doc_id", "n", "set_id"), stored(inside.union(rest), "links")
 
 

@@ -86,6 +86,10 @@ def odd_characters() -> dict[int, str]:
     return {ord(c): next((like for theirs, like in classes if c in theirs), "#") for c in odd}
 
 
+def _joined(ids: bytes, table: list[bytes]) -> bytes:
+    return b"".join([table[i] for i in np.frombuffer(ids, "<u4").tolist()])
+
+
 def _pack(data: bytes | np.ndarray) -> bytes:
     return zstandard.ZstdCompressor(level=3).compress(bytes(data) if isinstance(data, bytes) else data.tobytes())
 
@@ -195,8 +199,12 @@ def blocks(docs: DataFrame, buckets: int, pattern: str = public_tokenizers.PATTE
 
 
 def encode(docs: DataFrame, path: str, pattern: str = public_tokenizers.PATTERN,
-           block_chars: int = BLOCK_CHARS) -> DataFrame:
-    """Per row of ``docs``: doc_id, n_tokens and ``ids``, the token ids as little-endian 32-bit numbers."""
+           block_chars: int = BLOCK_CHARS, decoded: bool = False) -> DataFrame:
+    """Per row of ``docs``: doc_id, n_tokens and ``ids``, the token ids as little-endian 32-bit numbers.
+
+    With ``decoded`` also what ``decode`` adds, made from the ids by the same worker: a second worker beside it
+    would hold every block once more.
+    """
     spark = docs.sparkSession
     file = spark.sparkContext.broadcast(vocabulary(path))
     buckets = 64 * max(1, math.ceil(math.sqrt(text_bytes(docs) / 1e9)))
@@ -260,12 +268,16 @@ def encode(docs: DataFrame, path: str, pattern: str = public_tokenizers.PATTERN,
         ids = pd.array([None if pd.isna(i) else i for i in texts["doc_ids"]], "Int64")
         del table, words, counts, starts, parts, flat
         give_back()
-        return pd.DataFrame({"doc_id": ids, "n_tokens": [len(x) // 4 for x in out], "ids": out})
+        made = {"doc_id": ids, "n_tokens": [len(x) // 4 for x in out], "ids": out}
+        if decoded:
+            spelled = _token_bytes(file.value)
+            made["decoded"] = [_joined(x, spelled) for x in out]
+        return pd.DataFrame(made)
 
     encoded = (blocks(docs, buckets, pattern, block_chars).repartition("bucket").sortWithinPartitions("bucket")
                .mapInPandas(encode_words, _BLOCK))
     return (encoded.union(blocks(docs, 0, pattern, block_chars)).groupBy("block")
-            .applyInPandas(reassemble, "doc_id long, n_tokens long, ids binary"))
+            .applyInPandas(reassemble, "doc_id long, n_tokens long, ids binary" + (", decoded binary" if decoded else "")))
 
 
 def decode(encoded: DataFrame, path: str) -> DataFrame:
@@ -275,8 +287,7 @@ def decode(encoded: DataFrame, path: str) -> DataFrame:
     def join_bytes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = _token_bytes(file.value)
         for batch in _slices(batches):
-            out = [None if x is None else b"".join([table[i] for i in np.frombuffer(x, "<u4").tolist()])
-                   for x in batch.column("ids").to_pylist()]
+            out = [None if x is None else _joined(x, table) for x in batch.column("ids").to_pylist()]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(out, pa.binary())], names=[*batch.schema.names, "decoded"])
 
     encoded = encoded.drop("decoded")

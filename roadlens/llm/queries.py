@@ -50,8 +50,7 @@ def op6_naive_bayes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @_query("op8_byte_bpe")
 def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = public_tokenizers.path(VOCABULARY)
-    decoded = bpe.decode(bpe.encode(table(spark, sf_dir, "documents"), path), path)
+    decoded = bpe.encode(table(spark, sf_dir, "documents"), public_tokenizers.path(VOCABULARY), decoded=True)
     return decoded.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"),
                           F.sha2("decoded", 256).alias("decoded_sha256"))
 

@@ -48,3 +48,9 @@ def test_small_blocks(docs, rng, library, monkeypatch):
 def test_repeated_and_missing_ids(docs, library):
     rows = bpe.encode(docs([(1, "a b"), (1, "a b"), (None, "c")]), PATH).collect()
     assert sorted((r.doc_id is None, r.n_tokens) for r in rows) == [(False, 2), (False, 2), (True, 1)]
+
+
+def test_decoded_by_the_same_worker(docs, awkward):
+    df = docs(awkward + ["naïve 𝒳 don't  stop\n\n"], extra=True)
+    rows = lambda found: sorted((r.doc_id, r.n_tokens, bytes(r.ids), bytes(r.decoded)) for r in found.collect())
+    assert rows(bpe.encode(df, PATH, decoded=True)) == rows(bpe.decode(bpe.encode(df, PATH), PATH))

@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 
 from roadlens.session import scratch_path
 
+ARROW_BYTES = 4 << 20
+_BATCH = "spark.sql.execution.arrow.maxBytesPerBatch"
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
 
@@ -17,6 +19,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Texts go to Python in Arrow batches of about ``ARROW_BYTES``, unless the session says otherwise.
+
+    By default only the rows of a batch are bounded, and executor and worker hold a batch of long texts several times.
+    """
+    if spark.conf.get(_BATCH, None) is None:
+        spark.conf.set(_BATCH, str(ARROW_BYTES))
+
+
 def lower_az(text: Column) -> Column:
     """Lower-cases A-Z and nothing else."""
     return F.translate(text, UPPER, UPPER.lower())

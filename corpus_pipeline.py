@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from roadlens.llm import bpe, decontaminate, jaccard, language_id, line_templates
-from roadlens.llm.common import packed, stored, table
+from roadlens.llm.common import packed, small_batches, stored, table
 from roadlens.llm.queries import VOCABULARY
 
 
@@ -21,6 +21,7 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
     If no row names a language, none can be learned and all documents with a letter stay.
     """
+    small_batches(spark)
     model = language_id.train(docs)
     alone, rest = packed(docs, "text", "lang")
     found = language_id.predict(alone, model)
@@ -39,6 +40,7 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group stays, the one with the smallest id."""
+    small_batches(spark)
     return jaccard.keep_first(docs)
 
 
@@ -49,8 +51,8 @@ def benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, n_tokens, the ids as little-endian 32-bit numbers, and the hash of the bytes they decode to."""
-    path = public_tokenizers.path(VOCABULARY)
-    decoded = bpe.decode(bpe.encode(docs, path), path)
+    small_batches(spark)
+    decoded = bpe.encode(docs, public_tokenizers.path(VOCABULARY), decoded=True)
     return decoded.select("doc_id", "n_tokens", "ids", F.sha2("decoded", 256).alias("decoded_sha256"))
 
 

@@ -149,3 +149,15 @@ def test_hot_words_are_split_and_levels_are_files(spark, docs, rng):
     assert sum(t.tri.n for t in found) == len({x for i, t in enumerate(texts) if i % 2 == 0 for w in [["<", "<", *split(t)]] for x in zip(w, w[1:], w[2:])})  # noqa: B905
     out = L.score(df, F.lit(True), shard_bytes=500).collect()
     assert sum(r["score"] for r in out) > sum(r["base_score"] for r in out)
+
+
+def test_shards_and_parts_do_not_change_scores(spark, docs, rng):
+    """Discounts come from all counts and a split word's pairs are counted whole: the layout decides nothing."""
+    texts = prose_table(rng, 200) + ["Hot pair " * 50] * 10 + [None, ""]
+    df = docs(texts)
+    learned = F.col("doc_id") % 4 != 1
+    _, _, hot = L._plan(df.withColumn("learned", learned), 500, 2000)
+    assert len(hot[0])
+    one = sorted(L.score(df, learned).collect())
+    assert sorted(L.score(df, learned, shard_bytes=500, block_tokens=300).collect()) == one
+    assert sorted(L.score(df, learned, shard_bytes=4000, sample=0).collect()) == one

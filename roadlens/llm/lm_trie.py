@@ -435,10 +435,7 @@ def blocks(docs: DataFrame, shards: int, word_shards: int, hot: tuple[np.ndarray
             counts = np.bincount(back[taught], minlength=len(hv)).astype(np.uint32)
             del back
             for shard, at in _by_shard(hv % np.uint64(shards)):
-                mine = hv[at]
-                new = np.flatnonzero(np.append(True, mine[1:] != mine[:-1]))
-                head = np.concatenate([mine[new], np.diff(new, append=len(mine)).astype(np.uint64)])
-                yield _batch((block, seal, shard, head.tobytes(), wu[at].tobytes(), _pack(counts[at]), None, None))
+                yield _batch((block, seal, shard, *_head_and_body(hv[at], wu[at]), _pack(counts[at]), None, None))
             of_words = np.bincount(tokens[taught], minlength=len(hashes)).astype(np.uint32)
             for shard, at in _by_shard(hashes % np.uint64(word_shards)):
                 yield _batch((block, seal, shards + shard, hashes[at].tobytes(), None, _pack(of_words[at]), None, None))
@@ -474,9 +471,21 @@ def blocks(docs: DataFrame, shards: int, word_shards: int, hot: tuple[np.ndarray
 
 # ---- shards --------------------------------------------------------------------------------
 
+def _head_and_body(hv: np.ndarray, wu: np.ndarray) -> tuple[bytes, bytes]:
+    """Distinct trigrams ascending: each v and its length, then every u, where a pair (v, w) begins, and the w of each pair."""
+    v, w = np.append(True, hv[1:] != hv[:-1]), (wu >> _32).astype(np.uint32)
+    new, pair = np.flatnonzero(v), v | np.append(True, w[1:] != w[:-1])
+    head = np.concatenate([hv[new], np.diff(new, append=len(hv)).astype(np.uint64)])
+    return head.tobytes(), wu.astype(np.uint32).tobytes() + np.packbits(pair).tobytes() + w[pair].tobytes()
+
+
 def _cell(head: bytes, body: bytes) -> tuple[np.ndarray, np.ndarray]:
     both = np.frombuffer(head, np.uint64).reshape(2, -1)
-    return np.repeat(both[0], both[1].astype(np.int64)), np.frombuffer(body, np.uint64)
+    hv = np.repeat(both[0], both[1].astype(np.int64))
+    n, bits = len(hv), (len(hv) + 7) // 8
+    pair = np.unpackbits(np.frombuffer(body, np.uint8, bits, 4 * n), count=n)
+    w = np.frombuffer(body[4 * n + bits:], np.uint32)[np.cumsum(pair, dtype=np.int64) - 1]
+    return hv, w.astype(np.uint64) << _32 | np.frombuffer(body, np.uint32, n)
 
 
 def _merged(cells: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -511,7 +520,7 @@ def _answered(shards: int, word_shards: int, hot: tuple[np.ndarray, np.ndarray])
             sums[2:6], sums[6:] = trie.pair_histogram(parts(hot)[0]), histogram(counts)
             elsewhere = split_word(hv[np.append(True, hv[1:] != hv[:-1])[:len(hv)]], hot) >= 0
             tri[1, elsewhere[word]], middle[:, elsewhere] = 0, 0
-            ends = np.cumsum([len(b) // 8 for b in cells["body"].to_pylist()]).tolist()
+            ends = np.cumsum([np.frombuffer(h, np.uint64).reshape(2, -1)[1].sum() for h in cells["head"].to_pylist()]).tolist()
             for (block, seal), a, b in zip(names, [0, *ends], ends):  # noqa: B905  one more start
                 mine = word[back[a:b]]
                 mine = mine[np.append(True, mine[1:] != mine[:-1])]

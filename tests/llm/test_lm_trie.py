@@ -161,3 +161,12 @@ def test_shards_and_parts_do_not_change_scores(spark, docs, rng):
     one = sorted(L.score(df, learned).collect())
     assert sorted(L.score(df, learned, shard_bytes=500, block_tokens=300).collect()) == one
     assert sorted(L.score(df, learned, shard_bytes=4000, sample=0).collect()) == one
+
+
+@pytest.mark.parametrize("n", [1, 8, 9, 3000])
+def test_cells_keep_their_trigrams(rng, n):
+    hv = rng.integers(0, 20, n).astype(np.uint64) << np.uint64(50)
+    wu = rng.integers(0, 9, n).astype(np.uint64) << np.uint64(60) | rng.integers(0, 1 << 32, n).astype(np.uint64)
+    hv, wu, _, _ = L.distinct(hv, wu)
+    back = L._cell(*L._head_and_body(hv, wu))
+    assert (back[0] == hv).all() and (back[1] == wu).all()

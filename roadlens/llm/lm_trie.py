@@ -310,7 +310,7 @@ def trigrams(hashes: np.ndarray, tokens: np.ndarray, lengths: np.ndarray, hot: t
     if len(hot[0]):
         at = np.minimum(np.searchsorted(hot[0], v), len(hot[0]) - 1)
         split = hot[0][at] == v
-        v[split] = (v[split] + (u[split] * _M2 >> _32) % hot[1][at[split]]) * _M1
+        v[split] = (v[split] + ((u[split] >> _32) * _M2 >> _32) % hot[1][at[split]]) * _M1  # by the bits of u that a trie knows
     return v, wu
 
 

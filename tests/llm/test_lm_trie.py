@@ -170,3 +170,12 @@ def test_cells_keep_their_trigrams(rng, n):
     hv, wu, _, _ = L.distinct(hv, wu)
     back = L._cell(*L._head_and_body(hv, wu))
     assert (back[0] == hv).all() and (back[1] == wu).all()
+
+
+def test_words_that_a_trie_takes_for_one_share_a_part(rng):
+    """Only 32 bits of the word before are kept, so those alone choose the part of a split word."""
+    upper = np.uint64(12345) << np.uint64(32)
+    hashes = np.array([L.END, 777, 888, *(upper + np.arange(1, 60, dtype=np.uint64))], np.uint64)
+    tokens = np.array([x for i in range(59) for x in (i + 3, 1, 2)])
+    hv, wu = L.trigrams(hashes, tokens, np.full(59, 3), (np.array([777], np.uint64), np.array([64], np.uint64)))
+    assert len(set(zip(hv[2::3].tolist(), wu[2::3].tolist()))) == 1  # noqa: B905

@@ -8,7 +8,8 @@ between sets already answer:
    shingles that repeat within about ``COUNTED`` shingles of one task, which tells passages of many
    documents from the mass of single ones. The sketch only orders: what it misses costs time and
    never results. Each set is indexed under the first ``n - ceil(t n) + 1`` shingles in that order;
-   two sets that link meet in at least one list.
+   two sets that link meet in at least one list. An entry stays if the next smaller or larger set of its list is near
+   enough in size to link; the others meet nobody there.
 2. Of each list longer than ``LONG`` one set leads: the one whose own lists are longest, as the original
    of many copies has. Every set there is compared in full with the leader it meets most often. Sets
    similar to it by half form the leader's group and are kept as their difference to it.
@@ -167,30 +168,30 @@ def _index(sets: DataFrame, sketch, bits: int, percent: int) -> DataFrame:
     return sets.mapInPandas(entries, "token long, set_id long, n int, pos int")
 
 
-def _lists(entries: DataFrame) -> DataFrame:
-    """Without the entries of lists with one set only, and without copies from several tasks."""
+def _lists(entries: DataFrame, percent: int) -> DataFrame:
+    """Without copies from several tasks, and without entries that no other one of their list comes near enough in size to link."""
 
     def shared(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         held: pd.DataFrame | None = None  # the last row, until the next one is seen
-        alone = True  # whether the held row's token was not seen before it
+        near = False  # whether the row before it has its token and a size near enough
         for batch in batches:
             rows = batch if held is None else pd.concat([held, batch], ignore_index=True)
-            token, key = rows["token"].to_numpy(), rows["set_id"].to_numpy()
+            token, key, n = rows["token"].to_numpy(), rows["set_id"].to_numpy(), rows["n"].to_numpy().astype(np.int64)
             new = np.ones(len(rows), bool)
             new[1:] = (token[1:] != token[:-1]) | (key[1:] != key[:-1])
-            rows, token = rows[new], token[new]
+            rows, token, n = rows[new], token[new], n[new]
             if not len(rows):
                 continue
-            same = token[1:] == token[:-1]
-            before = np.concatenate([[not alone], same])
-            keep = before[:-1] | same
+            after = (token[1:] == token[:-1]) & (100 * n[:-1] >= percent * n[1:])  # in order of size the next one is nearest
+            before = np.concatenate([[near], after])
+            keep = before[:-1] | after
             if keep.any():
                 yield rows[:-1][keep]
-            held, alone = rows[-1:], not before[-1]
-        if held is not None and not alone:
+            held, near = rows[-1:], before[-1]
+        if held is not None and near:
             yield held
 
-    return (entries.repartition("token").sortWithinPartitions("token", "set_id")
+    return (entries.repartition("token").sortWithinPartitions("token", "n", "set_id")
             .mapInPandas(shared, "token long, set_id long, n int, pos int"))
 
 
@@ -405,7 +406,7 @@ def links(docs: DataFrame, percent: int = PERCENT, sketch_bits: int = SKETCH_BIT
     scanned = stored(_scan(docs, sketch_bits), "sets")
     sketch = _summed(scanned.filter("kind = 1").select("sketch"), np.uint32, 1 << sketch_bits, np.add)
     sets = scanned.filter("members IS NOT NULL").select("set_id", "members")
-    lists = stored(_lists(_index(sets, sc.broadcast(sketch), sketch_bits, percent)), "lists")
+    lists = stored(_lists(_index(sets, sc.broadcast(sketch), sketch_bits, percent), percent), "lists")
 
     best = stored(_leaders(lists).filter("set_id != leader").select(F.col("leader").alias("a"), F.col("set_id").alias("b")), "leaders")
     members = stored(_compared(sets, best, percent, GROUP_PERCENT), "members")
@@ -439,6 +440,7 @@ def keep_first(docs: DataFrame, percent: int = PERCENT, sketch_bits: int = SKETC
     rows = sets.filter("n > 0").groupBy(F.col("doc_id").alias("_key"), "set_id").agg(F.count(F.lit(1)).alias("_rows"))
     named = (rows.join(ids, "_key").join(components(found), "set_id", "left")
              .select("_key", "_id", "_rows", F.coalesce("root", "set_id").alias("root")))
+    named = stored(named, "named")  # read twice
     first = (named.groupBy("root").agg(F.min(F.struct("_id", "_key"))["_key"].alias("_first"), F.sum("_rows").alias("_all"))
              .filter("_all > 1").drop("_all"))
     fate = (named.join(first, "root").select("_key", (F.col("_key") != F.col("_first")).alias("_later"), "_rows")

@@ -124,3 +124,35 @@ def test_components_of_random_graphs(spark, rng):
         got = {r.set_id: r.root for r in J.components(edges).collect()}
         seen = set(pairs[pairs[:, 0] != pairs[:, 1]].ravel().tolist())
         assert got == {i: label[i] for i in seen}
+
+
+def test_lists_keep_entries_near_in_size(spark, rng):
+    """An entry stays if another set of its list could link by its size, also across batches; copies go."""
+    size = {int(k): int(rng.integers(1, 200)) for k in rng.permutation(10_000)[:300]} | {-1: 10, -2: 8, -3: 7, -4: 1}
+    keys = list(size)
+    rows = {(t, k, size[k], t % 3) for t in range(200) for k in rng.choice(keys, int(rng.integers(1, 6)))}
+    rows = {(t, int(k), n, p) for t, k, n, p in rows} | {(t, k, size[k], 0) for t, k in ((900, -1), (900, -2), (901, -2), (901, -3), (901, -4), (902, -1), (902, -3))}
+    entries = spark.createDataFrame([*rows, *rows], "token long, set_id long, n int, pos int").repartition(3)
+    want = sorted(r for r in rows if any(
+        r[:1] == s[:1] and r[1] != s[1] and 100 * min(r[2], s[2]) >= 80 * max(r[2], s[2]) for s in rows))
+    assert {r[0] for r in want} & {900, 901, 902} == {900, 901} and 0 < len(want) < len(rows)
+    old = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    try:
+        for batch in (old, "3", "1"):
+            spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", batch)
+            assert sorted(map(tuple, J._lists(entries, 80).collect())) == want
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", old)
+
+
+def test_keep_first_looks_components_up_once(docs, rng, monkeypatch):
+    plans, stored = {}, J.stored
+
+    def noted(df, name):
+        plans[name] = df._jdf.queryExecution().optimizedPlan().toString()
+        return stored(df, name)
+
+    monkeypatch.setattr(J, "stored", noted)
+    text = prose(rng, 50)
+    assert J.keep_first(docs([text, text + " end", "own"]), sketch_bits=10).count() == 2
+    assert "LeftOuter" in plans["named"] and "LeftOuter" not in plans["fate"]
